@@ -1,7 +1,13 @@
 """The queries of this folder by name."""
 
+from docroute.llm.language_id import op6_language_id
+from docroute.llm.media import op1_media_columns
+from docroute.llm.mixing import op3_source_mixing
+from docroute.llm.packing import op8_best_fit_packing
+from docroute.llm.quality_classifier import op5_quality_classifier
 from docroute.llm.quality_rules import ORACLE as _op10
 from docroute.llm.quality_rules import op10_quality_rules
+from docroute.llm.toxicity import op2_toxicity
 
-QUERIES = {f.__name__: f for f in (op10_quality_rules,)}
+QUERIES = {f.__name__: f for f in (op1_media_columns, op2_toxicity, op3_source_mixing, op5_quality_classifier, op6_language_id, op8_best_fit_packing, op10_quality_rules)}
 ORACLES = {"op10_quality_rules": _op10}
