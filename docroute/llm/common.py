@@ -25,6 +25,9 @@ def prepare(spark: SparkSession) -> None:
     """Keep Arrow batches small: a batch of very long texts must fit a worker's memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    # Rows that a join with a small written table will drop are dropped before their shuffle; the filters are at most 8 MB.
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "0")
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold", "1g")
 
 
 def shared_dir(spark: SparkSession) -> str:

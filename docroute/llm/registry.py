@@ -1,5 +1,7 @@
 """The queries of this folder by name."""
 
+from docroute.llm.jaccard_join import ORACLE as _op4
+from docroute.llm.jaccard_join import op4_ngram_jaccard_join
 from docroute.llm.language_id import op6_language_id
 from docroute.llm.media import op1_media_columns
 from docroute.llm.mixing import op3_source_mixing
@@ -9,5 +11,5 @@ from docroute.llm.quality_rules import ORACLE as _op10
 from docroute.llm.quality_rules import op10_quality_rules
 from docroute.llm.toxicity import op2_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_media_columns, op2_toxicity, op3_source_mixing, op5_quality_classifier, op6_language_id, op8_best_fit_packing, op10_quality_rules)}
-ORACLES = {"op10_quality_rules": _op10}
+QUERIES = {f.__name__: f for f in (op1_media_columns, op2_toxicity, op3_source_mixing, op4_ngram_jaccard_join, op5_quality_classifier, op6_language_id, op8_best_fit_packing, op10_quality_rules)}
+ORACLES = {"op4_ngram_jaccard_join": _op4, "op10_quality_rules": _op10}
