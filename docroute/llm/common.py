@@ -66,6 +66,13 @@ def text_hash(text: Column | str = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
 
 
+def with_texts(documents: DataFrame, places: DataFrame, schema: str, run) -> DataFrame:
+    """Bring lists of places (doc_, th_, places) to their texts."""
+    d = documents.select(F.col("doc_id").cast("long"), text_hash().alias("th"), as_bytes().alias("text"))
+    joined = d.join(places, (F.col("th") == F.col("th_")) & F.col("doc_id").eqNullSafe(F.col("doc_")))
+    return joined.select("doc_id", "th", "text", "places").mapInArrow(run, schema)
+
+
 def as_bytes(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit("")).cast("binary")
 

@@ -9,7 +9,13 @@ from docroute.llm.packing import op8_best_fit_packing
 from docroute.llm.quality_classifier import op5_quality_classifier
 from docroute.llm.quality_rules import ORACLE as _op10
 from docroute.llm.quality_rules import op10_quality_rules
+from docroute.llm.substring_dedup import op7_substring_dedup
+from docroute.llm.suffix_dedup import op9_suffix_array_dedup
 from docroute.llm.toxicity import op2_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_media_columns, op2_toxicity, op3_source_mixing, op4_ngram_jaccard_join, op5_quality_classifier, op6_language_id, op8_best_fit_packing, op10_quality_rules)}
+_ALL = (
+    op1_media_columns, op2_toxicity, op3_source_mixing, op4_ngram_jaccard_join, op5_quality_classifier,
+    op6_language_id, op7_substring_dedup, op8_best_fit_packing, op9_suffix_array_dedup, op10_quality_rules,
+)
+QUERIES = {f.__name__: f for f in _ALL}
 ORACLES = {"op4_ngram_jaccard_join": _op4, "op10_quality_rules": _op10}
