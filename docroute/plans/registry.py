@@ -1,4 +1,6 @@
 """Every query by name, with its DuckDB form where there is one."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from docroute.plans import identify
+
+QUERIES: dict = {**identify.QUERIES}
+ORACLES: dict = {**identify.ORACLES}
