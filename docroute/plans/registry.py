@@ -1,6 +1,7 @@
 """Every query by name, with its DuckDB form where there is one."""
 
-from docroute.plans import identify
+from docroute.plans import batches, identify, pages, tracking
 
-QUERIES: dict = {**identify.QUERIES}
-ORACLES: dict = {**identify.ORACLES}
+_PARTS = (identify, pages, batches, tracking)
+QUERIES: dict = {name: q for part in _PARTS for name, q in part.QUERIES.items()}
+ORACLES: dict = {name: q for part in _PARTS for name, q in part.ORACLES.items()}
