@@ -224,28 +224,31 @@ def by_unit(df: DataFrame, *then: str) -> DataFrame:
 
 
 def components(work: Scratch, edges: DataFrame) -> DataFrame:
-    """(node, component) for edges (a, b); a component is named by its least node. Nodes may be of any ordered type.
+    """(node, component) for edges (a, b); a component is named by one of its nodes. Nodes are hashes, of any ordered type.
 
-    Least labels are passed along edges and then along labels (pointer jumping), so that the number of
-    rounds grows with the logarithm of a component's diameter. Every round is a written table; only the
-    number of changed labels comes to the driver.
+    In each round every node hooks onto its least neighbour and edges are drawn between the hooks, so that edges vanish;
+    as nodes are in random order, the rounds grow with the logarithm of the component. Every round is a written table; the
+    driver only learns whether edges are left.
     """
-    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = work.table(both.where("a <> b").distinct(), "edges")
-    labels = work.table(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")), "labels")
+    left = work.table(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "edges")
+    hooks = []
     while True:
-        near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("label").alias("m"))
-        step = labels.join(near, labels.node == near.a).select("node", F.col("label").alias("old"), F.least("label", "m").alias("label"))
-        step = work.table(step, "step")
-        up = step.select(F.col("node").alias("up"), F.col("label").alias("top"))
-        step2 = step.join(up, step.label == up.up, "left").select("node", "old", F.coalesce(F.least("label", "top"), "label").alias("label"))
-        new = work.table(step2, "labels")
-        changed = new.where("label <> old").limit(1).count()
-        work.drop(step, labels)
-        labels = new
-        if not changed:
-            work.drop(both)
-            return labels.select("node", F.col("label").alias("component"))
+        both = left.union(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        hook = work.table(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias(f"n{len(hooks)}"), F.least("a", "m").alias(f"to{len(hooks)}")), "hooks")
+        n, to = hook.columns
+        hooks.append(hook)
+        once = left.join(hook, F.col("a") == F.col(n)).select(F.col(to).alias("a"), "b")
+        moved = once.join(hook, F.col("b") == F.col(n)).select(F.least("a", to).alias("a"), F.greatest("a", to).alias("b"))
+        new = work.table(moved.where("a <> b").distinct(), "edges")
+        work.drop(left)
+        left = new
+        if left.isEmpty():
+            break
+    out = hooks[0].select(F.col("n0").alias("node"), F.col("to0").alias("component"))
+    for hook in hooks[1:]:
+        n, to = hook.columns
+        out = out.join(hook, F.col("component") == F.col(n), "left").select("node", F.coalesce(to, "component").alias("component"))
+    return out
 
 
 def ranked(work: Scratch, df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:

@@ -83,16 +83,19 @@ def tokenize(documents: DataFrame, capacity: int = CAPACITY, vocabulary: str = V
     return documents.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, schema)
 
 
-def sweeps(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:
-    """Best-fit decreasing on classes: (length, first rank, end rank, first sequence, offset) of every match.
+def sweeps(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:
+    """Best-fit decreasing on classes: (length, first rank, end rank, first sequence, offset, pieces of each) of every match.
 
-    A run is a range of sequences with equal contents; runs wait by their gap. Each step uses up a class or a run.
+    A run is a range of sequences with equal contents; runs wait by their gap. A sequence takes as many pieces of a
+    class as its gap holds, since what is left of the least gap is the next least. Each step uses up a class or a run.
     """
     waiting: dict[int, list[tuple[int, int]]] = {}
     gaps: list[int] = []
     out, sequences = [], 0
 
     def wait(gap: int, run: tuple[int, int]) -> None:
+        if not gap:
+            return
         if gap not in waiting:
             waiting[gap] = []
             insort(gaps, gap)
@@ -109,15 +112,15 @@ def sweeps(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
                 continue
             gap = gaps[at]
             first, many = waiting[gap].pop()
-            took = min(many, n - rank)
+            each = min(gap // length, n - rank)
+            took = min(many, (n - rank) // each)
             if took < many:
                 waiting[gap].append((first + took, many - took))
             if not waiting[gap]:
                 del waiting[gap], gaps[at]
-            out.append((length, rank, rank + took, first, capacity - gap))
-            if gap > length:
-                wait(gap - length, (first, took))
-            rank += took
+            out.append((length, rank, rank + took * each, first, capacity - gap, each))
+            wait(gap - each * length, (first, took))
+            rank += took * each
     return out
 
 
@@ -132,11 +135,12 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     for length in sorted(counts):
         before[length] = total
         total += counts[length]
-    plan = [(length, before[length] + a, before[length] + b, first, offset) for length, a, b, first, offset in sweeps(counts, capacity)]
+    plan = [(length, before[length] + a, before[length] + b, *rest) for length, a, b, *rest in sweeps(counts, capacity)]
     # A row for each match of classes: bounded by the capacity, whatever the input.
-    match = spark.createDataFrame(plan, "of long, low long, high long, first long, offset long")
+    match = spark.createDataFrame(plan, "of long, low long, high long, first long, at long, each long")
     joined = rows.join(F.broadcast(match), (rows.length == match.of) & (rows["rank"] >= match.low) & (rows["rank"] < match.high))
-    return joined.select(*pieces.columns, (F.col("first") + F.col("rank") - F.col("low")).alias("sequence_id"), "offset")
+    place = F.col("rank") - F.col("low")
+    return joined.select(*pieces.columns, (F.col("first") + F.expr("(rank - low) div each")).alias("sequence_id"), (F.col("at") + place % F.col("each") * F.col("length")).alias("offset"))
 
 
 def sequences(packed: DataFrame) -> DataFrame:

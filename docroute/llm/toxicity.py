@@ -32,7 +32,7 @@ IDENTITY_TERMS = (
     ("musulmanes", "cristianos", "judíos", "hindúes", "budistas"), ("mujeres", "hombres"), ("inmigrantes", "refugiados", "extranjeros"),
 )
 BEGINNINGS = (4, 5, 6)
-PENALTY, L1, RATE, ROUNDS, LEAST_ROWS = 1.0, 1e-4, 0.3, 150, 3
+PENALTY, L1, RATE, ROUNDS, LEAST_ROWS = 1.0, 5e-4, 0.5, 200, 3
 _EDGES = "".join(map(chr, range(33, 127))).translate({c: None for c in [*range(48, 58), *range(65, 91), *range(97, 123)]}) + "«»„“”‘’…¡¿–—"
 _SWAPS = {t: [x for x in kind if x != t] for kind in reversed(IDENTITY_TERMS) for t in kind}
 
