@@ -3,6 +3,7 @@ complete groups from sorted partitions, global ranks and connected components.""
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -22,7 +23,10 @@ _own: dict[str, str] = {}
 
 
 def prepare(spark: SparkSession) -> None:
-    """Keep Arrow batches small: a batch of very long texts must fit a worker's memory."""
+    """Keep Arrow batches small: a batch of very long texts must fit a worker's memory. Local workers find this package."""
+    env, root = spark.sparkContext.environment, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    if root not in env.get("PYTHONPATH", "").split(":"):
+        env["PYTHONPATH"] = ":".join(filter(None, (root, env.get("PYTHONPATH"))))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     # Rows that a join with a small written table will drop are dropped before their shuffle; the filters are at most 8 MB.
@@ -105,25 +109,32 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def shingles(lists: list[list[bytes]], memo: Memo, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+def hash_words(lists: list[list[bytes]], memo: Memo) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of all lists, and each list's count."""
+    counts = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter((memo[w] for ws in lists for w in ws), np.uint64, int(counts.sum())), counts
+
+
+def shingles_of(h: np.ndarray, counts: np.ndarray, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of `width` words of each list, one after the other, and each list's count.
 
     A list with fewer words has one shingle of all its words; an empty list has none.
     """
-    counts = np.fromiter(map(len, lists), np.int64, len(lists))
-    h = np.fromiter((memo[w] for ws in lists for w in ws), np.uint64, int(counts.sum()))
     n = np.where(counts >= width, counts - width + 1, np.minimum(counts, 1))
-    starts = np.concatenate([[0], np.cumsum(counts)[:-1]]) if len(counts) else counts
-    at = np.repeat(starts - np.concatenate([[0], np.cumsum(n)[:-1]]) if len(n) else n, n) + np.arange(int(n.sum()))
+    starts = np.cumsum(counts) - counts
+    at = np.repeat(starts - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
     last = np.repeat(starts + counts, n)
     s = np.zeros(len(at), np.uint64)
-    for k in range(width):
+    for k in range(width if len(h) else 0):
         i = at + k
-        inside = i < last
-        s = np.where(inside, s * np.uint64(0x9E3779B97F4A7C15) + h[np.minimum(i, max(len(h) - 1, 0))] if len(h) else s, s)
+        s = np.where(i < last, s * np.uint64(0x9E3779B97F4A7C15) + h[np.minimum(i, len(h) - 1)], s)
     return mix(s), n
 
 
+def shingles(lists: list[list[bytes]], memo: Memo, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    return shingles_of(*hash_words(lists, memo), width)
+
+
 def permutations(n: int, seed: int) -> np.ndarray:
     return np.random.default_rng(seed).integers(1, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docroute.llm.common import Memo, Scratch, ranked
+from docroute.llm.common import Memo, Scratch, prepare, ranked
 
 CAPACITY, END = 1024, 2
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -64,6 +64,7 @@ def cut(length: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
 
 def tokenize(documents: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULARY, end: int = END, keep_ids: bool = False) -> DataFrame:
     """doc_id, piece, start, length and ids_crc32 of every piece, and the ids themselves if asked for."""
+    prepare(documents.sparkSession)
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * keep_ids
 
     def run(batches):

@@ -2,8 +2,9 @@
 
 Paragraphs are lines of MIN_WORDS words or more. Bands are tuned for RECALL at the wanted similarity; paragraphs that
 collide in a band are verified by exact Jaccard similarity on whole texts (near.py), and of each component the first paragraph
-stays. A passage inside longer paragraphs is no near copy of either, so what is left of the paragraphs is cut into
-sentences: a run of sentences that all stood before, of RUN_WORDS words or more, goes too.
+stays. A passage inside longer paragraphs is no near copy of either, so what is left of the paragraphs is cut into chunks
+where the content says so (pairs of words, on average every CHUNK words), which falls alike in every copy of a passage: a
+run of chunks that all stood before, of RUN_WORDS words or more, goes too.
 
 "First" is by doc_id, hash of the text, and line; rows of the same doc_id and text are one document and are cut
 alike. Shorter lines always stay. Null and empty texts lose nothing. Other columns are not read.
@@ -16,18 +17,20 @@ import re
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docroute.llm.common import SIMILARITY, Scratch, as_bytes, fixed, minhashes, permutations, shingles, text_hash, with_texts, word_hashes
+from docroute.llm.common import SIMILARITY, Memo, Scratch, as_bytes, fixed, hash_words, minhashes, mix, permutations, shingles_of, text_hash, with_texts, word_hashes
 from docroute.llm.near import class_keys, near_classes
 
-MIN_WORDS, RUN_WORDS, SENTENCE_WORDS = 20, 20, 5
+MIN_WORDS, RUN_WORDS = 20, 20
+#: Words of a chunk on average, and of the least one that is looked up; shorter ones go or stay with their neighbours.
+CHUNK, LEAST_CHUNK = 8, 5
 RECALL = 0.997
 ROWS = 2
 SEED = 7
-_END = re.compile(rb"[.!?]+[\x20\x09-\x0D]+")
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
+_PLACES = mix(np.arange(1, 4097, dtype=np.uint64)) | np.uint64(1)
 
 
 def bands_for(recall: float, similarity: float, rows: int = ROWS) -> int:
@@ -38,35 +41,42 @@ def bands_for(recall: float, similarity: float, rows: int = ROWS) -> int:
     return bands
 
 
-def sentences(line: bytes) -> list[bytes]:
-    """A line's sentences; together they are the line."""
-    at = [0, *(m.end() for m in _END.finditer(line)), len(line)]
-    return [line[a:b] for a, b in zip(at, at[1:], strict=False) if a < b]
+def chunks(h: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word, number of words and hash (0: too short) of each chunk of lists of hashed words; lists are not empty."""
+    ends = (mix(h[:-1] * np.uint64(3) + h[1:]) & np.uint64(CHUNK - 1)) == 0
+    first = np.append(True, ends) if len(h) else np.zeros(0, bool)
+    first[np.cumsum(counts) - counts] = True
+    first = np.flatnonzero(first)
+    n = np.diff(np.append(first, len(h)))
+    place = np.arange(len(h)) - np.repeat(first, n)
+    marks = mix(np.add.reduceat(h * _PLACES[place % len(_PLACES)], first) + n.astype(np.uint64)) | np.uint64(1) if len(h) else np.zeros(0, np.uint64)
+    return first, n, np.where(n >= LEAST_CHUNK, marks, np.uint64(0))
 
 
 def paragraphs(documents: DataFrame, bands: int, rows: int = ROWS) -> DataFrame:
-    """doc_id, th, line, key, sig and the sentences' hashes (0: too short) of every paragraph."""
+    """doc_id, th, line, key, sig and the chunks' hashes (0: too short) of every paragraph."""
 
     def run(batches):
         memo, odd = word_hashes(), permutations(bands * rows, SEED)
         for b in batches:
-            owner, line, words, marks = [], [], [], []
+            owner, line, words = [], [], []
             for k, text in enumerate(b.column("text").to_pylist()):
                 for i, x in enumerate(text.split(b"\n")):
                     own = x.split()
-                    if len(own) < MIN_WORDS:
-                        continue
-                    owner.append(k)
-                    line.append(i)
-                    words.append(own)
-                    parts = [p.split() for p in sentences(x)]
-                    marks.append(np.array([xxhash.xxh3_64_intdigest(b" ".join(p)) | 1 if len(p) >= SENTENCE_WORDS else 0 for p in parts], np.uint64).view(np.int64))
+                    if len(own) >= MIN_WORDS:
+                        owner.append(k)
+                        line.append(i)
+                        words.append(own)
             if not owner:
                 continue
-            s, n = shingles(words, memo)
+            h, counts = hash_words(words, memo)
+            s, n = shingles_of(h, counts)
+            first, _, marks = chunks(h, counts)
+            cuts = np.searchsorted(first, np.append(np.cumsum(counts) - counts, len(h))).astype(np.int32)
+            marks = pa.ListArray.from_arrays(pa.array(cuts), pa.array(marks.view(np.int64)))
             row = pa.array(owner)
             yield pa.record_batch(
-                [b.column("doc_id").take(row), b.column("th").take(row), pa.array(line, pa.int32()), pa.array(class_keys(s, n)[0], pa.binary()), fixed(minhashes(s, n, odd)), pa.array(marks, pa.list_(pa.int64()))],
+                [b.column("doc_id").take(row), b.column("th").take(row), pa.array(line, pa.int32()), pa.array(class_keys(s, n)[0], pa.binary()), fixed(minhashes(s, n, odd)), marks],
                 ["doc_id", "th", "line", "key", "sig", "marks"],
             )
 
@@ -87,7 +97,7 @@ def _lines(batches):
 
 
 def repeated(work: Scratch, documents: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
-    """doc_, th_ and places (line, sentence) that stood before; sentence -1 is the whole line."""
+    """doc_, th_ and places (line, chunk) that stood before; chunk -1 is the whole line."""
     bands = bands_for(recall, similarity)
     found = work.table(paragraphs(documents, bands), "paragraphs")
     place = F.struct("doc_id", "th", "line")
@@ -108,57 +118,60 @@ def repeated(work: Scratch, documents: DataFrame, similarity: float = SIMILARITY
     groups = work.table(linked.union(copied), "groups")
     gone = found.select("doc_id", "th", "line", "key").join(groups.where("first is not null"), "key").where(~place.eqNullSafe(F.col("first")))
     gone = work.table(gone.select("doc_id", "th", "line"), "gone")
-    # Sentences of the paragraphs that stay: one of each class, and of each component the first.
+    # Chunks of the paragraphs that stay: one of each class, and of each component the first.
     stay = classes.join(groups.withColumnRenamed("key", "key_"), F.col("key") == F.col("key_"), "left").where(F.col("first").isNull() | F.col("first").eqNullSafe(F.col("rep")))
-    said = stay.select(F.col("rep.doc_id").alias("doc_id"), F.col("rep.th").alias("th"), F.col("rep.line").alias("line"), F.posexplode("marks").alias("sentence", "mark")).where("mark <> 0")
+    said = stay.select(F.col("rep.doc_id").alias("doc_id"), F.col("rep.th").alias("th"), F.col("rep.line").alias("line"), F.posexplode("marks").alias("chunk", "mark")).where("mark <> 0")
     said = work.table(said, "said")
-    spot = F.struct("doc_id", "th", "line", "sentence")
+    spot = F.struct("doc_id", "th", "line", "chunk")
     again = work.table(said.groupBy("mark").agg(F.count("*").alias("n"), F.min(spot).alias("first")).where("n > 1"), "again")
-    later = said.join(again.where("n > 1"), "mark").where(~spot.eqNullSafe(F.col("first"))).select("doc_id", "th", "line", "sentence")
-    both = gone.withColumn("sentence", F.lit(-1)).unionByName(later)
-    places = both.groupBy(F.col("doc_id").alias("doc_"), F.col("th").alias("th_")).agg(F.collect_set(F.struct("line", "sentence")).alias("places"))
+    later = said.join(again.where("n > 1"), "mark").where(~spot.eqNullSafe(F.col("first"))).select("doc_id", "th", "line", "chunk")
+    both = gone.withColumn("chunk", F.lit(-1)).unionByName(later)
+    places = both.groupBy(F.col("doc_id").alias("doc_"), F.col("th").alias("th_")).agg(F.collect_set(F.struct("line", "chunk")).alias("places"))
     out = work.table(places, "places")
     work.drop(found, classes, said)
     return out
 
 
-def cut(text: bytes, places: set[tuple[int, int]]) -> tuple[bytes, int, int]:
-    """The text without repeated paragraphs and runs of sentences, and how many of either are gone."""
+def cut(text: bytes, places: set[tuple[int, int]], memo: Memo) -> tuple[bytes, int, int]:
+    """The text without repeated paragraphs and runs of chunks, and how many of either are gone."""
     kept, lines, runs = [], 0, 0
     by_line: dict[int, set[int]] = {}
-    for line, sentence in places:
-        by_line.setdefault(line, set()).add(sentence)
+    for line, chunk in places:
+        by_line.setdefault(line, set()).add(chunk)
     for i, line in enumerate(text.split(b"\n")):
         marked = by_line.get(i)
         if not marked:
             kept.append(line)
-        elif -1 in marked:
+            continue
+        if -1 in marked:
             lines += 1
-        else:
-            parts, out, at = sentences(line), [], 0
-            while at < len(parts):
-                stop = last = at
-                while stop < len(parts) and (stop in marked or (stop > at and len(parts[stop].split()) < SENTENCE_WORDS)):
-                    stop += 1
-                    if stop - 1 in marked:
-                        last = stop
-                if last > at and sum(len(p.split()) for p in parts[at:last]) >= RUN_WORDS:
-                    runs += 1
-                    at = last
-                else:
-                    out += parts[at : max(last, at + 1)]
-                    at = max(last, at + 1)
-            left = b"".join(out)
-            if left.strip():
-                kept.append(left)
+            continue
+        spans = [m.span() for m in _WORD.finditer(line)]
+        first, n, marks = chunks(*hash_words([line.split()], memo))
+        out, done, at = [], 0, 0
+        while at < len(first):
+            stop = last = at
+            while stop < len(first) and (stop in marked or (stop > at and not marks[stop])):
+                stop += 1
+                if stop - 1 in marked:
+                    last = stop
+            if last > at and n[at:last].sum() >= RUN_WORDS:
+                runs += 1
+                out.append(line[done : spans[first[at]][0]])
+                done = spans[first[last - 1] + n[last - 1] - 1][1]
+            at = max(last, at + 1)
+        left = b"".join([*out, line[done:]])
+        if left.strip():
+            kept.append(left)
     return b"\n".join(kept), lines, runs
 
 
 def _cut(batches):
+    memo = word_hashes()
     for b in batches:
         out = []
         for doc, th, text, places in zip(*(b.column(c).to_pylist() for c in ("doc_id", "th", "text", "places")), strict=True):
-            kept, lines, runs = cut(text, {(p["line"], p["sentence"]) for p in places})
+            kept, lines, runs = cut(text, {(p["line"], p["chunk"]) for p in places}, memo)
             out.append((doc, th, lines, runs, len(text) - len(kept), hashlib.sha256(kept).hexdigest(), kept.decode()))
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
         columns = zip(*out, strict=True) if out else [[]] * 7

@@ -299,7 +299,7 @@ def test_substring_dedup(spark, edge, edge_rows, empty):
     assert got[5]["kept"] == "" and got[9]["paragraphs_removed"] == 1 and got[11]["passages_removed"] == 1
     text = dict((r[0], r[1]) for r in edge_rows)
     assert got[9]["kept"] == "\n".join(text[9].split("\n")[:2])
-    inside = text[10].split(". ")[1]
+    inside = " ".join(text[10].split()[40:70])
     assert inside in text[11] and inside not in got[11]["kept"]
     kept = substring_dedup.without_repeats(edge)
     assert kept.columns == edge.columns
@@ -307,11 +307,23 @@ def test_substring_dedup(spark, edge, edge_rows, empty):
     assert substring_dedup.substring_dedup(empty).count() == 0
 
 
-def test_sentences_and_cut():
-    line = b"A b c. D e f! G  h."
-    assert b"".join(substring_dedup.sentences(line)) == line and len(substring_dedup.sentences(line)) == 3
-    assert substring_dedup.cut(b"x\ny\nz", {(1, -1)}) == (b"x\nz", 1, 0)
-    assert substring_dedup.cut(line, {(0, 1)}) == (line, 0, 0)
+def test_chunks_and_cut():
+    from docroute.llm.common import hash_words, word_hashes
+
+    memo, rnd = word_hashes(), np.random.default_rng(11)
+    lists = [[b"w%d" % x for x in rnd.integers(0, 500, n)] for n in (1, 7, 90, 300)]
+    h, counts = hash_words(lists, memo)
+    first, n, marks = substring_dedup.chunks(h, counts)
+    assert n.sum() == counts.sum() and set((np.cumsum(counts) - counts).tolist()) <= set(first.tolist())
+    # A passage falls into the same chunks wherever it stands, but for its ends.
+    inner = [b"p%d" % i for i in range(80)]
+    found = [{m for m in substring_dedup.chunks(*hash_words([a + inner + z], memo))[2].tolist() if m} for a, z in ((lists[1], lists[2]), (lists[2], lists[0]))]
+    assert len(found[0] & found[1]) >= 3
+    assert substring_dedup.cut(b"x\ny\nz", {(1, -1)}, memo) == (b"x\nz", 1, 0)
+    line = b" ".join(lists[2])
+    f, k, _ = substring_dedup.chunks(*hash_words([lists[2]], memo))
+    assert substring_dedup.cut(line, {(0, 0)}, memo)[0] == line or k[0] >= 20
+    assert substring_dedup.cut(line, {(0, i) for i in range(len(f) - 1)}, memo) == (b" ".join(lists[2][f[-1] :]), 0, 1)
     assert substring_dedup.bands_for(0.99, 0.8, 2) == 5
 
 
