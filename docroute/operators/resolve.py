@@ -64,7 +64,12 @@ def tolerance(candidates: DataFrame, close: DataFrame, most: int, *ids: str) ->
 
 
 def prioritize(candidates: DataFrame, keys: DataFrame, *ids: str, include_tolerance: bool = True) -> DataFrame:
-    """ids, status (matched, tie, none), awb, method, distance, hits, ties. candidates: ids, candidate, tier, known, hits."""
+    """ids, status (matched, tie, none), awb, method, distance, hits, ties. candidates: ids, candidate, tier, known, hits.
+
+    Candidates are read several times and cost far more than they weigh, so they are kept; close keys are only looked for where
+    no exact match decides.
+    """
+    candidates = candidates.persist()
     found = lambda tier: F.array_sort(F.collect_set(F.when(F.col("known") & (F.col("tier") == tier), F.col("candidate"))))
     per = candidates.groupBy(*ids).agg(found("High").alias("high"), found("Standard").alias("std"), F.countDistinct(F.when(F.col("tier") == "Standard", F.col("candidate"))).alias("n_std"))
     verdict = lambda ks, method, ok=None, d=None, h=None: [
@@ -73,9 +78,10 @@ def prioritize(candidates: DataFrame, keys: DataFrame, *ids: str, include_tolera
     ]
     cases = [*verdict(F.col("high"), "Exact-High"), *verdict(F.col("std"), "Exact-Standard")]
     if include_tolerance:
-        close = close_keys(candidates, keys)
-        h = tolerance(candidates.where("tier = 'High'"), close, HIGH_DISTANCE, *ids).select(*ids, F.struct("distance", "keys", "hits").alias("th"))
-        s = tolerance(candidates.where("tier = 'Standard'"), close, STANDARD_DISTANCE, *ids).select(*ids, F.struct("distance", "keys", "hits").alias("ts"))
+        undecided = candidates.join(per.where((F.size("high") == 0) & (F.size("std") == 0)).select(*ids), list(ids), "left_semi")
+        close = close_keys(undecided, keys)
+        h = tolerance(undecided.where("tier = 'High'"), close, HIGH_DISTANCE, *ids).select(*ids, F.struct("distance", "keys", "hits").alias("th"))
+        s = tolerance(undecided.where("tier = 'Standard'"), close, STANDARD_DISTANCE, *ids).select(*ids, F.struct("distance", "keys", "hits").alias("ts"))
         per = per.join(h, list(ids), "left").join(s, list(ids), "left")
         enough = F.col("th.hits") >= F.when(F.col("th.distance") <= 1, HIGH_HITS_NEAR).otherwise(HIGH_HITS_FAR)
         cases += verdict(F.col("th.keys"), "Tolerance2-High", enough, F.col("th.distance"), F.col("th.hits"))
