@@ -1,7 +1,7 @@
 """Every query by name, with its DuckDB form where there is one."""
 
-from docroute.plans import batches, identify, pages, tracking
+from docroute.plans import batches, evidence, identify, pages, tracking
 
-_PARTS = (identify, pages, batches, tracking)
+_PARTS = (identify, evidence, pages, batches, tracking)
 QUERIES: dict = {name: q for part in _PARTS for name, q in part.QUERIES.items()}
 ORACLES: dict = {name: q for part in _PARTS for name, q in part.ORACLES.items()}
