@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from docroute.functions import extract as X
 from docroute.operators import evidence as E
 from docroute.operators import resolve as R
-from docroute.plans.identify import _C, _norm, _tiered
-from docroute.sources.fixtures import REF_KEYS_SQL, ref_keys, table
+from docroute.plans.identify import _C, _CLEAN, _T, _norm, _tiered
+from docroute.sources.fixtures import REF_KEYS_SQL, ref_keys, stage_texts, table
 
 
 def _words(spark, sf_dir):
@@ -68,9 +68,39 @@ def confusion_cases(spark, sf_dir):
     return k.select("o_orderkey", "token", (X.norm_digits("token") == F.col("awb")).alias("found"))
 
 
+def clean_gate(spark, sf_dir):
+    """Strict numbers alone: one key is a match, several are a tie."""
+    c = stage_texts(spark, sf_dir).select("file_id", F.explode(X.clean_candidates("text")).alias("candidate")).where(~X.disqualified(F.col("candidate")) & ~X.date_like(F.col("candidate")))
+    c = c.join(ref_keys(spark, sf_dir).select(F.col("awb").alias("candidate")), "candidate", "left_semi")
+    g = c.groupBy("file_id").agg(F.array_sort(F.collect_set("candidate")).alias("found"))
+    return g.select("file_id", F.when(F.size("found") == 1, "matched").otherwise("tie").alias("status"), F.array_join("found", ",").alias("found"))
+
+
+def pipeline_summary(spark, sf_dir):
+    """A line for each order with its resolution and its pages; what is missing has defaults."""
+    k = ref_keys(spark, sf_dir)
+    r = clean_gate(spark, sf_dir).withColumnRenamed("file_id", "o_orderkey")
+    pages = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("pages"), F.sum("l_quantity").alias("seconds"))
+    j = k.join(r, "o_orderkey", "left").join(pages, "o_orderkey", "left")
+    return j.select(
+        "o_orderkey", F.coalesce("found", F.lit("")).alias("awb"), F.coalesce("status", F.lit("UNKNOWN")).alias("detection"), F.coalesce("pages", F.lit(0)).alias("pages"),
+        F.bround(F.coalesce("seconds", F.lit(0.0)) / 60, 4).alias("minutes"),
+    )
+
+
+def run_outcomes(spark, sf_dir):
+    """Converted, skipped and failed lines of a month, and their total."""
+    l = table(spark, sf_dir, "lineitem")
+    n = lambda f: F.count_if(F.col("l_returnflag") == f)
+    return l.groupBy((F.year("l_shipdate") * 100 + F.month("l_shipdate")).alias("run")).agg(n("N").alias("converted"), n("A").alias("skipped"), n("R").alias("failed"), F.count("*").alias("total"))
+
+
 _W = "w AS (SELECT p_partkey // 20 AS doc, string_split(p_name, ' ')[1] AS token, p_partkey % 20 * 40 AS x, p_size * 7 AS y, p_partkey FROM part)"
 _EACH = "{0} AS (SELECT doc, angle, max(score) AS score FROM (SELECT l_orderkey AS doc, l_linenumber % 4 * 90 AS angle, l_quantity::INT + 120 * (l_partkey % 4 = 0)::INT + 2 * (l_suppkey % 20) AS score FROM lineitem) GROUP BY ALL)"
-QUERIES = {f.__name__: f for f in (reading_order, box_neighbours, turned_hint, rotation_probe, persistent_keys, stage_snapshots, session_cache, guarded_delete, skip_existing, confusion_cases)}
+_GATE = f"""{_T}, g AS (SELECT file_id, unnest({_CLEAN}) AS c FROM t),
+ h AS (SELECT file_id, list_sort(list(c)) AS f FROM g WHERE regexp_matches(c, '^[1-9]') AND NOT (substring(c, 1, 4)::INT BETWEEN 2015 AND 2035 AND substring(c, 5, 2)::INT BETWEEN 1 AND 12) AND c IN (SELECT awb FROM keys) GROUP BY file_id),
+ r AS (SELECT file_id, CASE WHEN len(f) = 1 THEN 'matched' ELSE 'tie' END AS status, array_to_string(f, ',') AS found FROM h)"""
+QUERIES = {f.__name__: f for f in (reading_order, box_neighbours, turned_hint, rotation_probe, persistent_keys, stage_snapshots, session_cache, guarded_delete, skip_existing, confusion_cases, clean_gate, pipeline_summary, run_outcomes)}
 ORACLES = {
     "reading_order": f"WITH {_W} SELECT doc, string_agg(token, ' ' ORDER BY round_even(y / 10.0::DOUBLE, 0), x, token) AS text FROM w GROUP BY doc",
     "box_neighbours": f"""WITH {_W} SELECT w.doc, count(*) AS near, sum(w.x)::BIGINT AS xs, sum(w.y)::BIGINT AS ys FROM w JOIN w l ON w.doc = l.doc AND l.p_partkey % 20 = 0
@@ -91,4 +121,8 @@ ORACLES = {
  c AS (SELECT *, CASE WHEN q IS NULL THEN awb ELSE concat(substring(awb, 1, q - 1), translate(substring(awb, q, 1), '0125678', 'OIZSGTB'), substring(awb, q + 1)) END AS c FROM p),
  t AS (SELECT *, CASE WHEN o_orderkey % 3 = 0 THEN concat(substring(c, 1, 4), m, substring(c, 5, 4), m, substring(c, 9, 4)) ELSE c END AS token FROM (SELECT *, [' ', '-', '/', '.'][o_orderkey % 4 + 1] AS m FROM c))
  SELECT o_orderkey, token, {_norm('token')} = awb AS found FROM t""",
+    "clean_gate": f"WITH {_GATE} SELECT * FROM r",
+    "pipeline_summary": f"""WITH {_GATE}, p AS (SELECT l_orderkey AS o_orderkey, count(*) AS pages, sum(l_quantity) AS s FROM lineitem GROUP BY 1)
+ SELECT o_orderkey, coalesce(found, '') AS awb, coalesce(status, 'UNKNOWN') AS detection, coalesce(pages, 0) AS pages, round_even(coalesce(s, 0) / 60, 4) AS minutes FROM keys LEFT JOIN r ON file_id = o_orderkey LEFT JOIN p USING (o_orderkey)""",
+    "run_outcomes": "SELECT year(l_shipdate) * 100 + month(l_shipdate) AS run, count(*) FILTER (WHERE l_returnflag = 'N') AS converted, count(*) FILTER (WHERE l_returnflag = 'A') AS skipped, count(*) FILTER (WHERE l_returnflag = 'R') AS failed, count(*) AS total FROM lineitem GROUP BY 1",
 }

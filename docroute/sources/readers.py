@@ -89,3 +89,17 @@ def last_wins(rows: DataFrame, key: str, order: str) -> DataFrame:
 def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Rows of `new` in place of those of `old` with the same key; columns may be added."""
     return old.join(new.select(key), key, "left_anti").unionByName(new, allowMissingColumns=True)
+
+
+def confusion_case_file(spark: SparkSession, path: str) -> DataFrame:
+    """text, expected from a CSV of cases; blank texts go, a blank key is a negative case, any other than 12 digits an error."""
+    c = spark.read.option("header", True).option("multiLine", True).option("encoding", "UTF-8").csv(path)
+    c = c.withColumnsRenamed({n: n.lstrip("\ufeff").strip() for n in c.columns})
+    expected = F.nullif(F.trim(F.coalesce("expected_awb" if "expected_awb" in c.columns else F.lit(""), F.lit(""))), F.lit(""))
+    bad = F.raise_error(F.concat(F.lit("not a 12-digit key: "), expected)).cast("string")
+    return c.where(F.trim("text") != "").select("text", F.when(expected.isNull() | expected.rlike(r"^\d{12}$"), expected).otherwise(bad).alias("expected"))
+
+
+def with_fresh_keys(build, keys_path: str):
+    """A micro-batch builder that reads the keys anew for each batch, so that a running stream sees new ones."""
+    return lambda batch: build(batch, batch.sparkSession.read.parquet(keys_path))

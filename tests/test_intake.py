@@ -91,3 +91,17 @@ def test_conf(monkeypatch):
     monkeypatch.setenv("DOCROUTE_BATCH_PAGES", "20")
     monkeypatch.setenv("DOCROUTE_REJECT_RATIO", "junk")
     assert PipelineConf.from_env() == PipelineConf(batch_pages=20)
+
+
+def test_case_file(spark, tmp_path):
+    (tmp_path / "c.csv").write_text("\ufefftext,expected_awb\nAWB 1,399617498819\nnone,\n ,123456789012\n", encoding="utf-8")
+    assert sorted(map(tuple, readers.confusion_case_file(spark, str(tmp_path / "c.csv")).collect()), key=str) == [("AWB 1", "399617498819"), ("none", None)]
+
+
+def test_fresh_keys(spark, tmp_path):
+    spark.createDataFrame([("1",)], "awb string").write.parquet(str(tmp_path / "k"))
+    build = readers.with_fresh_keys(lambda b, k: b.join(k, "awb", "left_semi"), str(tmp_path / "k"))
+    rows = spark.createDataFrame([("1",), ("2",)], "awb string")
+    assert build(rows).count() == 1
+    spark.createDataFrame([("2",)], "awb string").write.mode("append").parquet(str(tmp_path / "k"))
+    assert build(rows).count() == 2
