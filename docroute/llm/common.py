@@ -73,7 +73,8 @@ def text_hash(text: Column | str = "text") -> Column:
 def with_texts(documents: DataFrame, places: DataFrame, schema: str, run) -> DataFrame:
     """Bring lists of places (doc_, th_, places) to their texts."""
     d = documents.select(F.col("doc_id").cast("long"), text_hash().alias("th"), as_bytes().alias("text"))
-    joined = d.join(places, (F.col("th") == F.col("th_")) & F.col("doc_id").eqNullSafe(F.col("doc_")))
+    # Texts are shuffled at every size alike: a table of places that may be broadcast today will not fit tomorrow.
+    joined = d.join(places.hint("merge"), (F.col("th") == F.col("th_")) & F.col("doc_id").eqNullSafe(F.col("doc_")))
     return joined.select("doc_id", "th", "text", "places").mapInArrow(run, schema)
 
 

@@ -62,7 +62,7 @@ def jaccard_join(documents: DataFrame, similarity: float = SIMILARITY, recall: f
     def fetch(members: DataFrame) -> DataFrame:
         d = documents.select(F.col("doc_id").cast("long").alias("doc_"), text_hash().alias("th_"), as_bytes().alias("text"))
         m = members.withColumns({"rep_doc": F.col("rep.doc_id"), "rep_th": F.col("rep.th")})
-        return d.join(m, (F.col("th_") == F.col("rep_th")) & F.col("doc_").eqNullSafe(F.col("rep_doc")))
+        return d.join(m.hint("merge"), (F.col("th_") == F.col("rep_th")) & F.col("doc_").eqNullSafe(F.col("rep_doc")))
 
     near = work.table(near_classes(work, classes, nodes, TREES * DEPTH, fetch, similarity), "near")
     named = classes.drop("sig").join(near, "key", "left").withColumn("component", F.coalesce("component", "key"))
@@ -79,7 +79,7 @@ def distinct_documents(documents: DataFrame, similarity: float = SIMILARITY) ->
     """One document of each class, with all its columns."""
     kept = jaccard_join(documents, similarity).where("keep").select(F.col("doc_id").alias("doc_"), F.col("th").alias("th_")).distinct()
     d = documents.withColumn("th__", text_hash())
-    out = d.join(kept, (d["th__"] == F.col("th_")) & d["doc_id"].cast("long").eqNullSafe(F.col("doc_")))
+    out = d.join(kept.hint("merge"), (d["th__"] == F.col("th_")) & d["doc_id"].cast("long").eqNullSafe(F.col("doc_")))
     empty = F.lit(text_hash(F.lit("")))
     once = row_once(["th_", "doc_"])
     return out.withColumn("once__", once).where((F.col("once__") == 1) | (F.col("th__") == empty)).select(*documents.columns)

@@ -192,7 +192,7 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     cut_ = substring_dedup(documents).select(F.col("doc_id").alias("doc_"), F.col("th").alias("th_"), "kept").dropDuplicates(["doc_", "th_"])
     cut_ = work.table(cut_, "cut")
     d = documents.withColumn("th__", text_hash())
-    out = d.join(cut_, (F.col("th__") == F.col("th_")) & d["doc_id"].cast("long").eqNullSafe(F.col("doc_")), "left")
+    out = d.join(cut_.hint("merge"), (F.col("th__") == F.col("th_")) & d["doc_id"].cast("long").eqNullSafe(F.col("doc_")), "left")
     out = out.where(F.col("kept").isNull() | F.col("kept").rlike(r"[^\x20\x09-\x0D]"))
     text = F.coalesce("kept", "text")
     return out.withColumns({"text": text, "n_chars": F.when(F.col("kept").isNull(), F.col("n_chars")).otherwise(F.length(text).cast("long"))}).select(*documents.columns)
