@@ -6,8 +6,14 @@ stays. A passage inside longer paragraphs is no near copy of either, so what is
 where the content says so (pairs of words, on average every CHUNK words), which falls alike in every copy of a passage: a
 run of chunks that all stood before, of RUN_WORDS words or more, goes too.
 
+Passages of PASSAGE words or more that documents share word for word are found over the words of whole texts, newlines
+being white space, so lines of any length count and ends are exact. A window of PASSAGE words is known by the least hash of
+its runs of GRAM words, which is alike in every copy: only windows whose least hash stands in several documents become rows.
+A word goes if a window with it stands in an earlier document whose copy of the word is not gone with its paragraph or chunk,
+so one copy of each word stays.
+
 "First" is by doc_id, hash of the text, and line; rows of the same doc_id and text are one document and are cut
-alike. Shorter lines always stay. Null and empty texts lose nothing. Other columns are not read.
+alike. Null and empty texts lose nothing. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -26,6 +32,8 @@ from docroute.llm.near import class_keys, near_classes
 MIN_WORDS, RUN_WORDS = 20, 20
 #: Words of a chunk on average, and of the least one that is looked up; shorter ones go or stay with their neighbours.
 CHUNK, LEAST_CHUNK = 8, 5
+#: Words of the shortest passage that goes wherever it stands, and of the runs that bring its copies together.
+PASSAGE, GRAM = 50, 8
 RECALL = 0.997
 ROWS = 2
 SEED = 7
@@ -84,6 +92,106 @@ def paragraphs(documents: DataFrame, bands: int, rows: int = ROWS) -> DataFrame:
     return d.mapInArrow(run, "doc_id long, th long, line int, key binary, sig binary, marks array<long>")
 
 
+def least_grams(h: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """List, first word and least hash of GRAM words of every window of PASSAGE words of lists of hashed words."""
+    n = np.maximum(counts - PASSAGE + 1, 0)
+    owner = np.repeat(np.arange(len(counts)), n)
+    start = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    grams, of = shingles_of(h, counts, GRAM)
+    wide, width = PASSAGE - GRAM + 1, 1
+    if not len(owner):
+        return owner, start, grams[:0]
+    while 2 * width <= wide:
+        grams = np.minimum(grams[:-width], grams[width:])
+        width *= 2
+    if width < wide:
+        grams = np.minimum(grams[: width - wide], grams[wide - width :])
+    return owner, start, grams[(np.cumsum(of) - of)[owner] + start]
+
+
+def anchors(documents: DataFrame) -> DataFrame:
+    """doc_id, th, line and mark of every stretch of windows with one least hash; line is -1 where the stretch leaves a line."""
+
+    def run(batches):
+        memo = word_hashes()
+        for b in batches:
+            row, words, lines = [], [], []
+            for k, text in enumerate(b.column("text").to_pylist()):
+                own = text.split()
+                if len(own) >= PASSAGE:
+                    row.append(k)
+                    words.append(own)
+                    n = np.fromiter((len(x.split()) for x in text.split(b"\n")), np.int64)
+                    lines.append(np.repeat(np.arange(len(n)), n))
+            if not row:
+                continue
+            h, counts = hash_words(words, memo)
+            owner, start, mark = least_grams(h, counts)
+            first = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (mark[1:] != mark[:-1])]))
+            last = np.append(first[1:], len(owner)) - 1
+            line, base = np.concatenate(lines), np.cumsum(counts) - counts
+            a, z = line[base[owner[first]] + start[first]], line[base[owner[last]] + start[last] + PASSAGE - 1]
+            at = pa.array(np.array(row)[owner[first]])
+            yield pa.record_batch(
+                [b.column("doc_id").take(at), b.column("th").take(at), pa.array(np.where(a == z, a, -1).astype(np.int32)), pa.array(mark[first].view(np.int64))],
+                ["doc_id", "th", "line", "mark"],
+            )
+
+    d = documents.select(F.col("doc_id").cast("long"), text_hash().alias("th"), as_bytes().alias("text"))
+    return d.mapInArrow(run, "doc_id long, th long, line int, mark long")
+
+
+def _windows(batches):
+    """Windows of PASSAGE words that have a wanted mark and a word that is not gone; bit k of `gone` is the window's word k."""
+    memo = word_hashes()
+    powers = np.uint64(1) << np.arange(PASSAGE, dtype=np.uint64)
+    for b in batches:
+        for k, (text, places) in enumerate(zip(b.column("text").to_pylist(), b.column("places").to_pylist(), strict=True)):
+            h, counts = hash_words([text.split()], memo)
+            wanted = np.array([p["mark"] for p in places if p["mark"] is not None], np.int64).view(np.uint64)
+            _, start, mark = least_grams(h, counts)
+            if not len(start):
+                continue
+            gone = np.concatenate(marked(text.split(b"\n"), {(p["line"], p["chunk"]) for p in places if p["mark"] is None}, memo))
+            sums = np.concatenate([[0], np.cumsum(gone)])
+            lost = sums[PASSAGE:] - sums[:-PASSAGE]
+            start = start[np.isin(mark, wanted) & (lost < PASSAGE)]
+            own = shingles_of(h, counts, PASSAGE)[0][start]
+            bits = np.zeros(len(start), np.uint64)
+            some = np.flatnonzero(lost[start])
+            for j in range(PASSAGE if len(some) else 0):
+                bits[some] |= powers[j] * gone[start[some] + j].astype(np.uint64)
+            at = pa.array(np.full(len(start), k))
+            yield pa.record_batch(
+                [b.column("doc_id").take(at), b.column("th").take(at), pa.array(start.astype(np.int64)), pa.array(own.view(np.int64)), pa.array(bits.view(np.int64))],
+                ["doc_id", "th", "start", "window", "gone"],
+            )
+
+
+def shared_passages(work: Scratch, documents: DataFrame, found: DataFrame, gone: DataFrame, both: DataFrame) -> DataFrame:
+    """doc_id, th, start and bits: bit k says that word start + k goes. `found` are anchors, `gone` whole lines, `both` lines and chunks that go."""
+    line = gone.select(F.col("doc_id").alias("doc_"), F.col("th").alias("th_"), F.col("line").alias("line_"))
+    at = (F.col("th") == F.col("th_")) & F.col("doc_id").eqNullSafe(F.col("doc_")) & (F.col("line") == F.col("line_"))
+    left = work.table(found.join(line, at, "left_anti").select("doc_id", "th", "mark"), "anchors-left")
+    doc = F.struct("doc_id", "th")
+    again = left.groupBy("mark").agg(F.min(doc).alias("a"), F.max(doc).alias("z")).where(~F.col("a").eqNullSafe(F.col("z"))).select("mark")
+    hit = left.join(work.table(again, "anchors-again"), "mark").select("doc_id", "th", F.lit(None).cast("int").alias("line"), F.lit(None).cast("int").alias("chunk"), "mark")
+    spots = hit.unionByName(both.select("doc_id", "th", "line", "chunk", F.lit(None).cast("long").alias("mark")))
+    spots = spots.groupBy(F.col("doc_id").alias("doc_"), F.col("th").alias("th_")).agg(F.collect_set(F.struct("line", "chunk", "mark")).alias("places"))
+    spots = work.table(spots.where(F.exists("places", lambda p: p["mark"].isNotNull())), "spots")
+    seen = with_texts(documents, spots.where("th_ is not null"), "doc_id long, th long, start long, window long, gone long", _windows)
+    seen = work.table(seen, "windows")
+    # Of each window and set of words gone, the first document: few sets for a window, however many copies.
+    heads = seen.groupBy("window", "gone").agg(F.min(doc).alias("first"), F.max(doc).alias("last"))
+    heads = heads.groupBy("window").agg(F.collect_list(F.struct("gone", "first")).alias("heads"), F.min("first").alias("a"), F.max("last").alias("z"))
+    heads = work.table(heads.where(~F.col("a").eqNullSafe(F.col("z"))).select("window", "heads"), "heads")
+    whole = F.lit((1 << PASSAGE) - 1).cast("long")
+    bits = F.aggregate("heads", F.lit(0).cast("long"), lambda x, p: F.when(p["first"] < doc, x.bitwiseOR(whole.bitwiseAND(F.bitwise_not(p["gone"])))).otherwise(x))
+    out = work.table(seen.join(heads, "window").select("doc_id", "th", "start", bits.alias("bits")).where("bits <> 0"), "passages")
+    work.drop(left, seen, heads)
+    return out
+
+
 def _lines(batches):
     """The texts of wanted lines."""
     for b in batches:
@@ -97,7 +205,7 @@ def _lines(batches):
 
 
 def repeated(work: Scratch, documents: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
-    """doc_, th_ and places (line, chunk) that stood before; chunk -1 is the whole line."""
+    """doc_, th_ and places (line, chunk, start, bits) that stood before; chunk -1 is the whole line, start and bits are of shared_passages."""
     bands = bands_for(recall, similarity)
     found = work.table(paragraphs(documents, bands), "paragraphs")
     place = F.struct("doc_id", "th", "line")
@@ -125,45 +233,74 @@ def repeated(work: Scratch, documents: DataFrame, similarity: float = SIMILARITY
     spot = F.struct("doc_id", "th", "line", "chunk")
     again = work.table(said.groupBy("mark").agg(F.count("*").alias("n"), F.min(spot).alias("first")).where("n > 1"), "again")
     later = said.join(again.where("n > 1"), "mark").where(~spot.eqNullSafe(F.col("first"))).select("doc_id", "th", "line", "chunk")
-    both = gone.withColumn("chunk", F.lit(-1)).unionByName(later)
-    places = both.groupBy(F.col("doc_id").alias("doc_"), F.col("th").alias("th_")).agg(F.collect_set(F.struct("line", "chunk")).alias("places"))
-    out = work.table(places, "places")
+    both = work.table(gone.withColumn("chunk", F.lit(-1)).unionByName(later), "both")
     work.drop(found, classes, said)
-    return out
+    grams = work.table(anchors(documents), "anchors")
+    passages = shared_passages(work, documents, grams, gone, both)
+    work.drop(grams)
+    every = both.unionByName(passages, allowMissingColumns=True)
+    places = every.groupBy(F.col("doc_id").alias("doc_"), F.col("th").alias("th_")).agg(F.collect_set(F.struct("line", "chunk", "start", "bits")).alias("places"))
+    return work.table(places, "places")
 
 
-def cut(text: bytes, places: set[tuple[int, int]], memo: Memo) -> tuple[bytes, int, int]:
-    """The text without repeated paragraphs and runs of chunks, and how many of either are gone."""
-    kept, lines, runs = [], 0, 0
+def marked(lines: list[bytes], places: set[tuple[int, int]], memo: Memo) -> list[np.ndarray]:
+    """For each line, which of its words go with it or in a run of chunks."""
     by_line: dict[int, set[int]] = {}
     for line, chunk in places:
         by_line.setdefault(line, set()).add(chunk)
-    for i, line in enumerate(text.split(b"\n")):
-        marked = by_line.get(i)
-        if not marked:
-            kept.append(line)
+    every = []
+    for i, line in enumerate(lines):
+        words, own = line.split(), by_line.get(i, ())
+        gone = np.full(len(words), -1 in own)
+        every.append(gone)
+        if not own or -1 in own or not words:
             continue
-        if -1 in marked:
-            lines += 1
-            continue
-        spans = [m.span() for m in _WORD.finditer(line)]
-        first, n, marks = chunks(*hash_words([line.split()], memo))
-        out, done, at = [], 0, 0
+        first, n, marks = chunks(*hash_words([words], memo))
+        at = 0
         while at < len(first):
             stop = last = at
-            while stop < len(first) and (stop in marked or (stop > at and not marks[stop])):
+            while stop < len(first) and (stop in own or (stop > at and not marks[stop])):
                 stop += 1
-                if stop - 1 in marked:
+                if stop - 1 in own:
                     last = stop
             if last > at and n[at:last].sum() >= RUN_WORDS:
-                runs += 1
-                out.append(line[done : spans[first[at]][0]])
-                done = spans[first[last - 1] + n[last - 1] - 1][1]
+                gone[first[at] : first[last - 1] + n[last - 1]] = True
             at = max(last, at + 1)
+    return every
+
+
+def cut(text: bytes, places: set[tuple[int, int]], memo: Memo, passages: tuple[tuple[int, int], ...] = ()) -> tuple[bytes, int, int]:
+    """The text without repeated paragraphs, runs of chunks and passages (start, bits), and how many paragraphs and others are gone."""
+    lines, whole = text.split(b"\n"), {line for line, chunk in places if chunk == -1}
+    every = marked(lines, places, memo)
+    gone = np.concatenate(every)
+    if passages:
+        starts, bits = (np.array(x, np.int64) for x in zip(*passages, strict=True))
+        for k in range(PASSAGE):
+            gone[starts[(bits >> k) & 1 == 1] + k] = True
+    kept, runs, inside, base = [], 0, False, 0
+    for i, line in enumerate(lines):
+        own = gone[base : base + len(every[i])]
+        base += len(every[i])
+        if i in whole:
+            inside = False
+            continue
+        if len(own):
+            runs += int(own[0] and not inside) + int((own[1:] & ~own[:-1]).sum())
+            inside = bool(own[-1])
+        if not own.any():
+            kept.append(line)
+            continue
+        spans = [m.span() for m in _WORD.finditer(line)]
+        out, done = [], 0
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], own.astype(np.int8), [0]])))
+        for a, z in zip(edges[::2], edges[1::2], strict=True):
+            out.append(line[done : spans[a][0]])
+            done = spans[z - 1][1]
         left = b"".join([*out, line[done:]])
         if left.strip():
             kept.append(left)
-    return b"\n".join(kept), lines, runs
+    return b"\n".join(kept), len(whole), runs
 
 
 def _cut(batches):
@@ -171,7 +308,8 @@ def _cut(batches):
     for b in batches:
         out = []
         for doc, th, text, places in zip(*(b.column(c).to_pylist() for c in ("doc_id", "th", "text", "places")), strict=True):
-            kept, lines, runs = cut(text, {(p["line"], p["chunk"]) for p in places}, memo)
+            passages = tuple((p["start"], p["bits"]) for p in places if p["start"] is not None)
+            kept, lines, runs = cut(text, {(p["line"], p["chunk"]) for p in places if p["start"] is None}, memo, passages)
             out.append((doc, th, lines, runs, len(text) - len(kept), hashlib.sha256(kept).hexdigest(), kept.decode()))
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
         columns = zip(*out, strict=True) if out else [[]] * 7

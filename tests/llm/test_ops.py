@@ -327,6 +327,22 @@ def test_chunks_and_cut():
     assert substring_dedup.bands_for(0.99, 0.8, 2) == 5
 
 
+def test_wrapped_passages_are_cut_in_full(spark):
+    """Passages in lines of under 20 words, and ones that enter or leave a line in the middle."""
+    rnd = np.random.default_rng(21)
+    some = lambda n: [f"q{x}" for x in rnd.integers(0, 10**6, n)]
+    wrap = lambda ws, n: "\n".join(" ".join(ws[i : i + n]) for i in range(0, len(ws), n))
+    verse, across = some(60), some(64)
+    own = [some(30) for _ in range(4)]
+    rows = [
+        (1, " ".join(own[0]) + "\n" + wrap(verse, 15) + "\nlast line"), (2, " ".join(own[1]) + "\n" + wrap(verse, 12) + "\nend here"),
+        (3, wrap(own[2] + across, 16)), (4, wrap(across + own[3], 17)),
+    ]
+    got = {r["doc_id"]: r["kept"] for r in substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert set(got) == {2, 4}
+    assert got[2].split() == own[1] + ["end", "here"] and got[4].split() == own[3]
+
+
 # ---- 8 packing
 
 
