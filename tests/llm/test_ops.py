@@ -343,6 +343,19 @@ def test_wrapped_passages_are_cut_in_full(spark):
     assert got[2].split() == own[1] + ["end", "here"] and got[4].split() == own[3]
 
 
+def test_short_passages_go_to_their_exact_ends(spark):
+    """Passages of just over 50 words inside long lines: every one is found, and no word of it is left in the second copy."""
+    rnd = np.random.default_rng(22)
+    some = lambda n: [f"r{x}" for x in rnd.integers(0, 10**6, n)]
+    rows, rest = [], {}
+    for k in range(30):
+        passage, a, z = some(51), some(90), some(90)
+        rows += [(k, " ".join(some(90) + passage + some(90))), (100 + k, " ".join(a + passage + z))]
+        rest[100 + k] = " ".join(a + z)
+    got = {r["doc_id"]: r["kept"] for r in substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == rest
+
+
 # ---- 8 packing
 
 
