@@ -2,18 +2,18 @@
 
 Paragraphs are lines of MIN_WORDS words or more. Bands are tuned for RECALL at the wanted similarity; paragraphs that
 collide in a band are verified by exact Jaccard similarity on whole texts (near.py), and of each component the first paragraph
-stays. A passage inside longer paragraphs is no near copy of either, so what is left of the paragraphs is cut into chunks
-where the content says so (pairs of words, on average every CHUNK words), which falls alike in every copy of a passage: a
-run of chunks that all stood before, of RUN_WORDS words or more, goes too.
-
-Passages of PASSAGE words or more that documents share word for word are found over the words of whole texts, newlines
-being white space, so lines of any length count and ends are exact. A window of PASSAGE words is known by the least hash of
-its runs of GRAM words, which is alike in every copy: only windows whose least hash stands in several documents become rows.
-A word goes if a window with it stands in an earlier document whose copy of the word is not gone with its paragraph or chunk,
+stays.
+
+A passage inside longer paragraphs is no near copy of either, so windows of PASSAGE words over whole texts (newlines are
+white space, so lines of any length count) are banded as well: the band of a window is the least hash of its runs of GRAM
+words, a minimum that is alike in every copy, so that equal windows always collide. Colliding windows are the same if all
+their words are (128 bits: band and hash of all words); windows overlap, so what is found reaches to a passage's exact ends.
+A word goes if a window with it stands in an earlier document whose copy of the word is not gone with its paragraph,
 so one copy of each word stays.
 
 "First" is by doc_id, hash of the text, and line; rows of the same doc_id and text are one document and are cut
-alike. Null and empty texts lose nothing. Other columns are not read.
+alike. Null and empty texts lose nothing. Other columns are not read. Shared runs of fewer than PASSAGE words that are no
+paragraph of their own stay.
 """
 
 from __future__ import annotations
@@ -26,19 +26,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docroute.llm.common import SIMILARITY, Memo, Scratch, as_bytes, fixed, hash_words, minhashes, mix, permutations, shingles_of, text_hash, with_texts, word_hashes
+from docroute.llm.common import SIMILARITY, Scratch, as_bytes, fixed, hash_words, minhashes, permutations, shingles_of, text_hash, with_texts, word_hashes
 from docroute.llm.near import class_keys, near_classes
 
-MIN_WORDS, RUN_WORDS = 20, 20
-#: Words of a chunk on average, and of the least one that is looked up; shorter ones go or stay with their neighbours.
-CHUNK, LEAST_CHUNK = 8, 5
+MIN_WORDS = 20
 #: Words of the shortest passage that goes wherever it stands, and of the runs that bring its copies together.
 PASSAGE, GRAM = 50, 8
 RECALL = 0.997
 ROWS = 2
 SEED = 7
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
-_PLACES = mix(np.arange(1, 4097, dtype=np.uint64)) | np.uint64(1)
 
 
 def bands_for(recall: float, similarity: float, rows: int = ROWS) -> int:
@@ -49,20 +46,8 @@ def bands_for(recall: float, similarity: float, rows: int = ROWS) -> int:
     return bands
 
 
-def chunks(h: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First word, number of words and hash (0: too short) of each chunk of lists of hashed words; lists are not empty."""
-    ends = (mix(h[:-1] * np.uint64(3) + h[1:]) & np.uint64(CHUNK - 1)) == 0
-    first = np.append(True, ends) if len(h) else np.zeros(0, bool)
-    first[np.cumsum(counts) - counts] = True
-    first = np.flatnonzero(first)
-    n = np.diff(np.append(first, len(h)))
-    place = np.arange(len(h)) - np.repeat(first, n)
-    marks = mix(np.add.reduceat(h * _PLACES[place % len(_PLACES)], first) + n.astype(np.uint64)) | np.uint64(1) if len(h) else np.zeros(0, np.uint64)
-    return first, n, np.where(n >= LEAST_CHUNK, marks, np.uint64(0))
-
-
 def paragraphs(documents: DataFrame, bands: int, rows: int = ROWS) -> DataFrame:
-    """doc_id, th, line, key, sig and the chunks' hashes (0: too short) of every paragraph."""
+    """doc_id, th, line, key and sig of every paragraph."""
 
     def run(batches):
         memo, odd = word_hashes(), permutations(bands * rows, SEED)
@@ -79,17 +64,14 @@ def paragraphs(documents: DataFrame, bands: int, rows: int = ROWS) -> DataFrame:
                 continue
             h, counts = hash_words(words, memo)
             s, n = shingles_of(h, counts)
-            first, _, marks = chunks(h, counts)
-            cuts = np.searchsorted(first, np.append(np.cumsum(counts) - counts, len(h))).astype(np.int32)
-            marks = pa.ListArray.from_arrays(pa.array(cuts), pa.array(marks.view(np.int64)))
             row = pa.array(owner)
             yield pa.record_batch(
-                [b.column("doc_id").take(row), b.column("th").take(row), pa.array(line, pa.int32()), pa.array(class_keys(s, n)[0], pa.binary()), fixed(minhashes(s, n, odd)), marks],
-                ["doc_id", "th", "line", "key", "sig", "marks"],
+                [b.column("doc_id").take(row), b.column("th").take(row), pa.array(line, pa.int32()), pa.array(class_keys(s, n)[0], pa.binary()), fixed(minhashes(s, n, odd))],
+                ["doc_id", "th", "line", "key", "sig"],
             )
 
     d = documents.select(F.col("doc_id").cast("long"), text_hash().alias("th"), as_bytes().alias("text"))
-    return d.mapInArrow(run, "doc_id long, th long, line int, key binary, sig binary, marks array<long>")
+    return d.mapInArrow(run, "doc_id long, th long, line int, key binary, sig binary")
 
 
 def least_grams(h: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -152,7 +134,7 @@ def _windows(batches):
             _, start, mark = least_grams(h, counts)
             if not len(start):
                 continue
-            gone = np.concatenate(marked(text.split(b"\n"), {(p["line"], p["chunk"]) for p in places if p["mark"] is None}, memo))
+            gone = np.concatenate(marked(text.split(b"\n"), {p["line"] for p in places if p["mark"] is None}))
             sums = np.concatenate([[0], np.cumsum(gone)])
             lost = sums[PASSAGE:] - sums[:-PASSAGE]
             start = start[np.isin(mark, wanted) & (lost < PASSAGE)]
@@ -163,32 +145,37 @@ def _windows(batches):
                 bits[some] |= powers[j] * gone[start[some] + j].astype(np.uint64)
             at = pa.array(np.full(len(start), k))
             yield pa.record_batch(
-                [b.column("doc_id").take(at), b.column("th").take(at), pa.array(start.astype(np.int64)), pa.array(own.view(np.int64)), pa.array(bits.view(np.int64))],
-                ["doc_id", "th", "start", "window", "gone"],
+                [b.column("doc_id").take(at), b.column("th").take(at), *(pa.array(x.view(np.int64)) for x in (start.astype(np.int64), mark[start], own, bits))],
+                ["doc_id", "th", "start", "mark", "window", "gone"],
             )
 
 
-def shared_passages(work: Scratch, documents: DataFrame, found: DataFrame, gone: DataFrame, both: DataFrame) -> DataFrame:
-    """doc_id, th, start and bits: bit k says that word start + k goes. `found` are anchors, `gone` whole lines, `both` lines and chunks that go."""
+def shared_passages(work: Scratch, documents: DataFrame, found: DataFrame, gone: DataFrame) -> DataFrame:
+    """doc_id, th, start and bits: bit k says that word start + k goes. `found` are anchors, `gone` whole lines that go."""
+    row = F.xxhash64("doc_id", "th")
+    several = lambda rows: rows.groupBy("mark").agg(F.min(row).alias("a"), F.max(row).alias("z")).where("a <> z").select("mark")
+    # Marks of several documents first, so that only these meet the lines that go; then once more without those lines.
+    again = work.table(several(found), "anchors-again")
     line = gone.select(F.col("doc_id").alias("doc_"), F.col("th").alias("th_"), F.col("line").alias("line_"))
     at = (F.col("th") == F.col("th_")) & F.col("doc_id").eqNullSafe(F.col("doc_")) & (F.col("line") == F.col("line_"))
-    left = work.table(found.join(line, at, "left_anti").select("doc_id", "th", "mark"), "anchors-left")
-    doc = F.struct("doc_id", "th")
-    again = left.groupBy("mark").agg(F.min(doc).alias("a"), F.max(doc).alias("z")).where(~F.col("a").eqNullSafe(F.col("z"))).select("mark")
-    hit = left.join(work.table(again, "anchors-again"), "mark").select("doc_id", "th", F.lit(None).cast("int").alias("line"), F.lit(None).cast("int").alias("chunk"), "mark")
-    spots = hit.unionByName(both.select("doc_id", "th", "line", "chunk", F.lit(None).cast("long").alias("mark")))
-    spots = spots.groupBy(F.col("doc_id").alias("doc_"), F.col("th").alias("th_")).agg(F.collect_set(F.struct("line", "chunk", "mark")).alias("places"))
+    left = work.table(found.join(again, "mark").join(line, at, "left_anti").select("doc_id", "th", "mark"), "anchors-left")
+    still = work.table(several(left), "anchors-still")
+    hit = left.join(still, "mark").select("doc_id", "th", F.lit(None).cast("int").alias("line"), "mark")
+    spots = hit.unionByName(gone.select("doc_id", "th", "line", F.lit(None).cast("long").alias("mark")))
+    spots = spots.groupBy(F.col("doc_id").alias("doc_"), F.col("th").alias("th_")).agg(F.collect_set(F.struct("line", "mark")).alias("places"))
     spots = work.table(spots.where(F.exists("places", lambda p: p["mark"].isNotNull())), "spots")
-    seen = with_texts(documents, spots.where("th_ is not null"), "doc_id long, th long, start long, window long, gone long", _windows)
+    seen = with_texts(documents, spots.where("th_ is not null"), "doc_id long, th long, start long, mark long, window long, gone long", _windows)
     seen = work.table(seen, "windows")
+    work.drop(left, again, still, spots)
+    doc = F.struct("doc_id", "th")
     # Of each window and set of words gone, the first document: few sets for a window, however many copies.
-    heads = seen.groupBy("window", "gone").agg(F.min(doc).alias("first"), F.max(doc).alias("last"))
-    heads = heads.groupBy("window").agg(F.collect_list(F.struct("gone", "first")).alias("heads"), F.min("first").alias("a"), F.max("last").alias("z"))
-    heads = work.table(heads.where(~F.col("a").eqNullSafe(F.col("z"))).select("window", "heads"), "heads")
+    heads = seen.groupBy("mark", "window", "gone").agg(F.min(doc).alias("first"), F.max(doc).alias("last"))
+    heads = heads.groupBy("mark", "window").agg(F.collect_list(F.struct("gone", "first")).alias("heads"), F.min("first").alias("a"), F.max("last").alias("z"))
+    heads = work.table(heads.where(~F.col("a").eqNullSafe(F.col("z"))).select("mark", "window", "heads"), "heads")
     whole = F.lit((1 << PASSAGE) - 1).cast("long")
     bits = F.aggregate("heads", F.lit(0).cast("long"), lambda x, p: F.when(p["first"] < doc, x.bitwiseOR(whole.bitwiseAND(F.bitwise_not(p["gone"])))).otherwise(x))
-    out = work.table(seen.join(heads, "window").select("doc_id", "th", "start", bits.alias("bits")).where("bits <> 0"), "passages")
-    work.drop(left, seen, heads)
+    out = work.table(seen.join(heads, ["mark", "window"]).select("doc_id", "th", "start", bits.alias("bits")).where("bits <> 0"), "passages")
+    work.drop(seen, heads)
     return out
 
 
@@ -205,12 +192,12 @@ def _lines(batches):
 
 
 def repeated(work: Scratch, documents: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
-    """doc_, th_ and places (line, chunk, start, bits) that stood before; chunk -1 is the whole line, start and bits are of shared_passages."""
+    """doc_, th_ and places that stood before: whole lines (line), or words as in shared_passages (start, bits)."""
     bands = bands_for(recall, similarity)
     found = work.table(paragraphs(documents, bands), "paragraphs")
     place = F.struct("doc_id", "th", "line")
-    classes = found.groupBy("key").agg(F.min(F.struct("doc_id", "th", "line", "sig", "marks")).alias("r"), F.count("*").alias("copies"))
-    classes = work.table(classes.select("key", F.struct("r.doc_id", "r.th", "r.line").alias("rep"), "r.sig", "r.marks", "copies"), "classes")
+    classes = found.groupBy("key").agg(F.min(F.struct("doc_id", "th", "line", "sig")).alias("r"), F.count("*").alias("copies"))
+    classes = work.table(classes.select("key", F.struct("r.doc_id", "r.th", "r.line").alias("rep"), "r.sig", "copies"), "classes")
     buckets = [F.xxhash64(F.lit(k), F.substring("sig", 4 * ROWS * k + 1, 4 * ROWS)) for k in range(bands)]
 
     def fetch(members: DataFrame) -> DataFrame:
@@ -218,7 +205,7 @@ def repeated(work: Scratch, documents: DataFrame, similarity: float = SIMILARITY
         m = members.groupBy(F.col("rep.doc_id").alias("doc_"), F.col("rep.th").alias("th_")).agg(F.collect_list(wanted).alias("places"))
         return with_texts(documents, work.table(m, "wanted").where("th_ is not null"), "key binary, component binary, size long, copies long, text binary", _lines)
 
-    near = work.table(near_classes(work, classes.drop("marks"), buckets, bands * ROWS, fetch, similarity, 4.0), "near")
+    near = work.table(near_classes(work, classes, buckets, bands * ROWS, fetch, similarity, 4.0), "near")
     linked = classes.select("key", "rep", "copies").join(near.where("links > 0"), "key")
     first = linked.groupBy("component").agg(F.min("rep").alias("first"))
     linked = linked.join(first, "component").select("key", "first")
@@ -226,53 +213,24 @@ def repeated(work: Scratch, documents: DataFrame, similarity: float = SIMILARITY
     groups = work.table(linked.union(copied), "groups")
     gone = found.select("doc_id", "th", "line", "key").join(groups.where("first is not null"), "key").where(~place.eqNullSafe(F.col("first")))
     gone = work.table(gone.select("doc_id", "th", "line"), "gone")
-    # Chunks of the paragraphs that stay: one of each class, and of each component the first.
-    stay = classes.join(groups.withColumnRenamed("key", "key_"), F.col("key") == F.col("key_"), "left").where(F.col("first").isNull() | F.col("first").eqNullSafe(F.col("rep")))
-    said = stay.select(F.col("rep.doc_id").alias("doc_id"), F.col("rep.th").alias("th"), F.col("rep.line").alias("line"), F.posexplode("marks").alias("chunk", "mark")).where("mark <> 0")
-    said = work.table(said, "said")
-    spot = F.struct("doc_id", "th", "line", "chunk")
-    again = work.table(said.groupBy("mark").agg(F.count("*").alias("n"), F.min(spot).alias("first")).where("n > 1"), "again")
-    later = said.join(again.where("n > 1"), "mark").where(~spot.eqNullSafe(F.col("first"))).select("doc_id", "th", "line", "chunk")
-    both = work.table(gone.withColumn("chunk", F.lit(-1)).unionByName(later), "both")
-    work.drop(found, classes, said)
+    work.drop(found, classes)
     grams = work.table(anchors(documents), "anchors")
-    passages = shared_passages(work, documents, grams, gone, both)
+    passages = shared_passages(work, documents, grams, gone)
     work.drop(grams)
-    every = both.unionByName(passages, allowMissingColumns=True)
-    places = every.groupBy(F.col("doc_id").alias("doc_"), F.col("th").alias("th_")).agg(F.collect_set(F.struct("line", "chunk", "start", "bits")).alias("places"))
+    every = gone.unionByName(passages, allowMissingColumns=True)
+    places = every.groupBy(F.col("doc_id").alias("doc_"), F.col("th").alias("th_")).agg(F.collect_set(F.struct("line", "start", "bits")).alias("places"))
     return work.table(places, "places")
 
 
-def marked(lines: list[bytes], places: set[tuple[int, int]], memo: Memo) -> list[np.ndarray]:
-    """For each line, which of its words go with it or in a run of chunks."""
-    by_line: dict[int, set[int]] = {}
-    for line, chunk in places:
-        by_line.setdefault(line, set()).add(chunk)
-    every = []
-    for i, line in enumerate(lines):
-        words, own = line.split(), by_line.get(i, ())
-        gone = np.full(len(words), -1 in own)
-        every.append(gone)
-        if not own or -1 in own or not words:
-            continue
-        first, n, marks = chunks(*hash_words([words], memo))
-        at = 0
-        while at < len(first):
-            stop = last = at
-            while stop < len(first) and (stop in own or (stop > at and not marks[stop])):
-                stop += 1
-                if stop - 1 in own:
-                    last = stop
-            if last > at and n[at:last].sum() >= RUN_WORDS:
-                gone[first[at] : first[last - 1] + n[last - 1]] = True
-            at = max(last, at + 1)
-    return every
-
-
-def cut(text: bytes, places: set[tuple[int, int]], memo: Memo, passages: tuple[tuple[int, int], ...] = ()) -> tuple[bytes, int, int]:
-    """The text without repeated paragraphs, runs of chunks and passages (start, bits), and how many paragraphs and others are gone."""
-    lines, whole = text.split(b"\n"), {line for line, chunk in places if chunk == -1}
-    every = marked(lines, places, memo)
+def marked(lines: list[bytes], whole: set[int]) -> list[np.ndarray]:
+    """For each line, which of its words go with it."""
+    return [np.full(len(line.split()), i in whole) for i, line in enumerate(lines)]
+
+
+def cut(text: bytes, whole: set[int], passages: tuple[tuple[int, int], ...] = ()) -> tuple[bytes, int, int]:
+    """The text without repeated paragraphs (whole lines) and passages (start, bits), and how many of either are gone."""
+    lines = text.split(b"\n")
+    every = marked(lines, whole)
     gone = np.concatenate(every)
     if passages:
         starts, bits = (np.array(x, np.int64) for x in zip(*passages, strict=True))
@@ -304,12 +262,11 @@ def cut(text: bytes, places: set[tuple[int, int]], memo: Memo, passages: tuple[t
 
 
 def _cut(batches):
-    memo = word_hashes()
     for b in batches:
         out = []
         for doc, th, text, places in zip(*(b.column(c).to_pylist() for c in ("doc_id", "th", "text", "places")), strict=True):
             passages = tuple((p["start"], p["bits"]) for p in places if p["start"] is not None)
-            kept, lines, runs = cut(text, {(p["line"], p["chunk"]) for p in places if p["start"] is None}, memo, passages)
+            kept, lines, runs = cut(text, {p["line"] for p in places if p["start"] is None}, passages)
             out.append((doc, th, lines, runs, len(text) - len(kept), hashlib.sha256(kept).hexdigest(), kept.decode()))
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
         columns = zip(*out, strict=True) if out else [[]] * 7

@@ -307,23 +307,13 @@ def test_substring_dedup(spark, edge, edge_rows, empty):
     assert substring_dedup.substring_dedup(empty).count() == 0
 
 
-def test_chunks_and_cut():
-    from docroute.llm.common import hash_words, word_hashes
-
-    memo, rnd = word_hashes(), np.random.default_rng(11)
-    lists = [[b"w%d" % x for x in rnd.integers(0, 500, n)] for n in (1, 7, 90, 300)]
-    h, counts = hash_words(lists, memo)
-    first, n, marks = substring_dedup.chunks(h, counts)
-    assert n.sum() == counts.sum() and set((np.cumsum(counts) - counts).tolist()) <= set(first.tolist())
-    # A passage falls into the same chunks wherever it stands, but for its ends.
-    inner = [b"p%d" % i for i in range(80)]
-    found = [{m for m in substring_dedup.chunks(*hash_words([a + inner + z], memo))[2].tolist() if m} for a, z in ((lists[1], lists[2]), (lists[2], lists[0]))]
-    assert len(found[0] & found[1]) >= 3
-    assert substring_dedup.cut(b"x\ny\nz", {(1, -1)}, memo) == (b"x\nz", 1, 0)
-    line = b" ".join(lists[2])
-    f, k, _ = substring_dedup.chunks(*hash_words([lists[2]], memo))
-    assert substring_dedup.cut(line, {(0, 0)}, memo)[0] == line or k[0] >= 20
-    assert substring_dedup.cut(line, {(0, i) for i in range(len(f) - 1)}, memo) == (b" ".join(lists[2][f[-1] :]), 0, 1)
+def test_cut():
+    assert substring_dedup.cut(b"x\ny\nz", {1}) == (b"x\nz", 1, 0)
+    words_ = [b"w%d" % k for k in range(90)]
+    line = b" ".join(words_)
+    assert substring_dedup.cut(line, set(), ((20, (1 << 50) - 1), (21, (1 << 50) - 1))) == (b" ".join(words_[:20] + words_[71:]), 0, 1)
+    assert substring_dedup.cut(line, set(), ((0, 0b101),))[0] == b" ".join([words_[1], *words_[3:]])
+    assert substring_dedup.cut(b"", set()) == (b"", 0, 0)
     assert substring_dedup.bands_for(0.99, 0.8, 2) == 5
 
 
