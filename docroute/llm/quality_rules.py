@@ -1,7 +1,8 @@
 """Quality rules with thresholds that adapt to each language and source.
 
-Every rule's metric is a small whole number, so a count for each value is an exact quantile sketch: counts of
-groups add up, to a language's and to the corpus's. A group's limits come from its own sketch, or from its
+Every rule's metric is a whole number, and a count for each of its bins is a quantile sketch: values below 1024 (all
+shares) have bins of their own and are exact, larger ones (mean lengths of over 102 code points a word) are known to a
+512th part, so a sketch stays small whatever the texts. Counts of groups add up, to a language's and to the corpus's. A group's limits come from its own sketch, or from its
 language's or the corpus's when it has few documents. Only DataFrame functions are used.
 
 Null and empty texts have no words and fail the base rule. Null languages and sources are groups like others.
@@ -20,7 +21,8 @@ SLACK = {"symbols": 30, "dup_lines": 150, "repeats": 150, "word_length": 15}
 SPREAD = 4
 #: Documents that a group needs for limits of its own.
 LEAST = 200
-TOP_BIN = 1000
+#: Leading bits of a metric that its bin keeps: values below 1024 are exact, larger ones to a 512th part.
+BIN_BITS = 10
 
 
 def features(documents: DataFrame) -> DataFrame:
@@ -42,15 +44,20 @@ def features(documents: DataFrame) -> DataFrame:
     at = lambda p, k: F.get("words", (p + k).cast("int"))
     windows = F.transform("words", lambda w, i: F.xxhash64(w, at(i, 1), at(i, 2)))
     d = d.withColumn("windows", F.when(F.col("n") >= 3, F.slice(windows, F.lit(1), F.col("n") - 2)))
-    # Only where a hash repeats: sort longs of hash and place, so that equal windows are neighbours, and compare those word by word.
-    short = F.col("n") < (1 << 20)
-    bits, mask = F.when(short, F.lit(20)).otherwise(F.lit(31)), F.when(short, F.lit((1 << 20) - 1)).otherwise(F.lit((1 << 31) - 1))
-    key, place = lambda v: F.call_function("shiftright", v, bits), lambda v: v.bitwiseAND(mask.cast("long"))
-    packed = F.sort_array(F.transform("windows", lambda h, i: F.call_function("shiftleft", h, bits).bitwiseOR(i.cast("long"))))
+    # Windows of which a part of the hash stands twice are candidates (neighbours among sorted longs of hash and place); the
+    # candidates, sorted by their words, show which windows are really alike. A place has 31 bits, as many as an array can count.
+    bits, mask = 31, (1 << 31) - 1
+    key, place = lambda v: F.shiftright(v, bits), lambda v: v.bitwiseAND(F.lit(mask).cast("long"))
+    packed = F.sort_array(F.transform("windows", lambda h, i: F.shiftleft(h, bits).bitwiseOR(i.cast("long"))))
     d = d.withColumn("windows", F.when(F.size(F.array_distinct("windows")) < F.size("windows"), packed))
-    same = lambda v, w: (key(v) == key(w)) & (at(place(v), 0) == at(place(w), 0)) & (at(place(v), 1) == at(place(w), 1)) & (at(place(v), 2) == at(place(w), 2))
-    twice = F.filter("windows", lambda v, j: F.coalesce(same(v, F.get("windows", j - 1)), F.lit(False)) | F.coalesce(same(v, F.get("windows", j + 1)), F.lit(False)))
-    d = d.withColumn("places", F.sort_array(F.transform(twice, place)))
+    no = F.lit(False)
+    twin = lambda v, j: F.coalesce(key(v) == key(F.get("windows", j)), no)
+    near = F.filter("windows", lambda v, j: twin(v, j - 1) | twin(v, j + 1))
+    d = d.withColumn("spots", F.array_sort(F.transform(near, lambda v: F.struct(at(place(v), 0).alias("a"), at(place(v), 1).alias("b"), at(place(v), 2).alias("c"), place(v).alias("p")))))
+    words = lambda v: F.struct(v["a"], v["b"], v["c"])
+    same = lambda v, j: F.coalesce(words(v) == words(F.get("spots", j)), no)
+    twice = F.filter("spots", lambda v, j: same(v, j - 1) | same(v, j + 1))
+    d = d.withColumn("places", F.sort_array(F.transform(twice, lambda v: v["p"])))
     steps = F.transform("places", lambda p, j: F.least(F.lit(3).cast("long"), F.coalesce(F.get("places", j + 1) - p, F.lit(3).cast("long"))))
     return d.select(
         "doc_id", "lang", "source", F.col("n").cast("long").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines",
@@ -59,7 +66,9 @@ def features(documents: DataFrame) -> DataFrame:
 
 
 def _metrics() -> dict[str, Column]:
-    whole = lambda x: F.least(F.expr(x), F.lit(TOP_BIN)).cast("int")
+    def whole(x: str) -> Column:
+        return F.expr(f"{x} - ({x}) % shiftleft(1L, cast(greatest(length(bin({x})) - {BIN_BITS}, 0) AS int))")
+
     return {
         "symbols": whole("1000 * n_symbols div greatest(word_chars, 1)"),
         "dup_lines": whole("1000 * n_dup_lines div greatest(n_lines, 1)"),
@@ -126,12 +135,13 @@ def op10_quality_rules(spark, sf_dir: str) -> DataFrame:
 
 
 def _oracle() -> str:
-    metric = {
-        "symbols": "least(1000 * n_symbols // greatest(word_chars, 1), 1000)",
-        "dup_lines": "least(1000 * n_dup_lines // greatest(n_lines, 1), 1000)",
-        "repeats": "least(1000 * n_repeat_words // greatest(n_words, 1), 1000)",
-        "word_length": "least(10 * word_chars // greatest(n_words, 1), 1000)",
+    value = {
+        "symbols": "1000 * n_symbols // greatest(word_chars, 1)",
+        "dup_lines": "1000 * n_dup_lines // greatest(n_lines, 1)",
+        "repeats": "1000 * n_repeat_words // greatest(n_words, 1)",
+        "word_length": "10 * word_chars // greatest(n_words, 1)",
     }
+    metric = {k: f"({x} - ({x}) % (1::BIGINT << greatest(length(bin(({x})::BIGINT)) - {BIN_BITS}, 0)))" for k, x in value.items()}
     values = " UNION ALL ".join(f"SELECT lang, source, '{k}' AS metric, {v} AS bin FROM f WHERE n_words > 0" for k, v in metric.items())
     quart = lambda q: f"list_sort(list(bin))[(({q} * count(*) + 3) // 4)::BIGINT] AS q{q}"
     level = lambda keys: f"SELECT {keys}metric, count(*) AS docs, {quart(1)}, {quart(2)}, {quart(3)} FROM v GROUP BY {keys}metric"

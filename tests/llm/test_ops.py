@@ -477,3 +477,30 @@ def test_quality_rules(spark, edge, edge_rows, empty):
     by = {r["doc_id"]: r for r in got.collect()}
     assert by[13]["n_repeat_words"] == 700 and by[13]["base_failed"] and by[0]["n_words"] == 0 and not by[0]["kept"]
     assert quality_rules.quality_rules(empty).count() == 0
+
+
+def test_repeats_of_very_long_texts(spark):
+    """Over 2^20 words, whole windows against a plain count; and bins of large metrics."""
+    rnd = np.random.default_rng(31)
+    own = [f"v{x}" for x in rnd.integers(0, 10**7, 700_000)]
+    passage = [f"p{k}" for k in range(420_000)]
+    long_ = passage + own + passage
+    rows = [(1, " ".join(long_)), (2, "字" * 3000 + " " + "語" * 2000), (3, "a b c " * 40)]
+    got = {r["doc_id"]: r for r in quality_rules.features(spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' AS lang", "'y' AS source")).collect()}
+    seen = Counter(zip(long_, long_[1:], long_[2:]))
+    covered = np.zeros(len(long_), bool)
+    for i in range(len(long_) - 2):
+        if seen[tuple(long_[i : i + 3])] > 1:
+            covered[i : i + 3] = True
+    assert got[1]["n_words"] == len(long_) and got[1]["n_repeat_words"] == int(covered.sum())
+    assert got[3]["n_repeat_words"] == 120
+    bins = spark.createDataFrame([(0, 0, 0, 0, 2, 25 * k, 1) for k in (20, 204, 1000, 2500)], "n_symbols long, n_dup_lines long, n_lines long, n_repeat_words long, n_words long, word_chars long, x int")
+    assert [r[0] for r in bins.select(quality_rules._metrics()["word_length"]).collect()] == [2500 - 2500 % 4, 25500 - 25500 % 32, 125000 - 125000 % 128, 312500 - 312500 % 512]
+
+
+def test_windows_whose_hashes_meet(spark, monkeypatch):
+    """All windows share one hash: only the words tell them apart."""
+    monkeypatch.setattr(F, "xxhash64", lambda *c: F.lit(7).cast("long"))
+    text = "a b c d a b c x a b c d y z w y z w"
+    row = spark.createDataFrame([(1, text, "x", "y")], "doc_id long, text string, lang string, source string")
+    assert quality_rules.features(row).first()["n_repeat_words"] == 4 + 3 + 4 + 6
