@@ -1,10 +1,11 @@
 """Mix sources to target weights by pivotal dependent rounding.
 
 A document of a source with target t and size s is taken t / s times in the mean. Whole copies are sure; the
-fractions are rounded in pairs: two documents exchange mass (words) at random until one of them is taken or left,
-with each document's mean kept. One of a pair goes on, so a group of documents leaves one residual; residuals
-meet again in ever fewer groups, up to one for each source. Mass is words, so a source's words miss its target by less
-than the last residual's size, whatever the sizes are.
+fractions are rounded by exchanging mass (words) at random until a document is taken or left, with each document's mean
+kept. The largest document is settled first: its partner is all smaller ones together, which have room for what it gains
+or loses, and each of them bears a part in proportion to its room (with one partner this is the plain pair). So what stays open of a group is one small document; these residuals meet again in ever fewer groups, up to
+one for each source. Mass is words, so a source's words miss its target by less than the last residual's size; only
+where the smaller documents of a source have too little room for its largest one does that one stay open.
 
 Groups are hash buckets of bounded size, a source has as many as it needs, and the draws depend on doc_id, text
 and seed alone, so reruns agree and a hot source spreads over all tasks.
@@ -25,7 +26,7 @@ from docroute.llm.common import Scratch, ranked, text_hash
 WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
 #: Documents of a bucket, and residuals that meet in one task, on average.
-BUCKET, FAN = 4096, 256
+BUCKET, FAN = 2048, 256
 SEED = 20
 
 
@@ -58,35 +59,50 @@ def targets(work: Scratch, rows: DataFrame, weights=WEIGHTS, most: int = MOST_CO
     return s.select("source", "source_size", "docs", F.least(F.col("weight") * F.lit(share), (most * F.col("source_size")).cast("double")).alias("target"))
 
 
-def _round(pdf: pd.DataFrame, level: int, seed: int) -> pd.DataFrame:
-    """Pair fractions, large documents first, until one row is left between 0 and 1; it stays open.
+def _settle(mass: np.ndarray, size: np.ndarray, k: int, open_: np.ndarray, u: float) -> bool:
+    """Exchange mass between document k and open smaller ones (places, in order); true if k is settled.
 
-    A large document exchanges small steps with the smaller ones behind it until it is settled, so that the last one is small.
+    Up, k gains what it lacks and the others lose it; down, it loses what it has. A partner's room is the part of that which it can
+    bear either way; the chances of up and down keep all means. Where all have too little room, k and the next one are
+    a plain pair, and one of the two is settled.
     """
+    gain, loss = size[k] - mass[k], mass[k]
+    at = open_
+    room = np.minimum(mass[at] / gain, (size[at] - mass[at]) / loss)
+    if room.sum() >= 1:
+        move = gain if u * (gain + loss) < loss else -loss
+        mass[at] -= room / room.sum() * move
+        mass[k] = size[k] if move > 0 else 0.0
+    else:
+        at = open_[:1]
+        up, down = min(gain, mass[at[0]]), min(loss, size[at[0]] - mass[at[0]])
+        move = up if u * (up + down) < down else -down
+        mass[at] -= move
+        mass[k] += move
+    at = np.append(at, k)
+    near = 1e-9 * size[at]
+    mass[at] = np.where(mass[at] <= near, 0.0, np.where(mass[at] >= size[at] - near, size[at], mass[at]))
+    return not 0 < mass[k] < size[k]
+
+
+def _round(pdf: pd.DataFrame, level: int, seed: int) -> pd.DataFrame:
+    """Settle fractions, large documents first, until one row at most is left between 0 and 1; it stays open."""
     pdf = pdf.sort_values(["size", "draw", "doc_id", "th"], ascending=[False, True, True, True], kind="stable").reset_index(drop=True)
     size, part = pdf["size"].to_numpy(float), pdf["part"].to_numpy(float).copy()
     first = pdf["draw"].to_numpy(np.int64)
     key = int(np.bitwise_xor.reduce(first)) & ((1 << 63) - 1) if len(first) else 0
-    u = np.random.default_rng([seed, level, key]).random(len(pdf))
-    held = -1
-    for i in range(len(pdf)):
-        if part[i] <= 0 or part[i] >= 1:
-            continue
-        if size[i] == 0:
-            part[i] = float(u[i] < part[i])
-            continue
-        if held < 0:
-            held = i
-            continue
-        a, b = part[held] * size[held], part[i] * size[i]
-        up = min(size[held] - a, b)
-        down = min(a, size[i] - b)
-        move = up if u[i] * (up + down) < down else -down
-        a, b = a + move, b - move
-        snap = lambda m, s: 0.0 if m <= 1e-9 * s else 1.0 if m >= s * (1 - 1e-9) else m / s
-        part[held], part[i] = snap(a, size[held]), snap(b, size[i])
-        if part[held] in (0.0, 1.0):
-            held = i if 0 < part[i] < 1 else -1
+    rng = np.random.default_rng([seed, level, key])
+    empty = (size == 0) & (part > 0) & (part < 1)
+    part[empty] = rng.random(int(empty.sum())) < part[empty]
+    mass = np.where(part < 1e-9, 0.0, np.where(part > 1 - 1e-9, size, part * size))
+    for k in range(len(pdf)):
+        after = k + 1
+        while 0 < mass[k] < size[k]:
+            open_ = after + np.flatnonzero((mass[after:] > 0) & (mass[after:] < size[after:]))
+            if not len(open_) or _settle(mass, size, k, open_, rng.random()):
+                break
+    full = size > 0
+    part[full] = mass[full] / size[full]
     return pdf.assign(part=part)
 
 

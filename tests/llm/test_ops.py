@@ -199,6 +199,33 @@ def test_rounding_keeps_means():
     assert np.abs(hits / 1500 - [0.3, 0.5, 0.9, 0.2, 0.6, 0.1]).max() < 0.05
 
 
+def test_rounding_ends_small():
+    """Fifty documents and a giant: what is left open is less than the median document, and means are kept."""
+    import pandas as pd
+
+    rnd = np.random.default_rng(14)
+    size = np.append(rnd.integers(20, 200, 50), 2000)
+    part = np.append(rnd.random(50), 0.37)
+    hits = np.zeros(51)
+    for seed in range(600):
+        pdf = pd.DataFrame({"doc_id": range(51), "th": 0, "size": size, "part": part, "draw": range(51)})
+        out = mixing._round(pdf, 0, seed).sort_values("doc_id")
+        got = out["part"].to_numpy()
+        assert (got * size).sum() == pytest.approx((part * size).sum())
+        left = (got > 0) & (got < 1)
+        assert left.sum() <= 1 and size[left].max(initial=0) <= np.median(size)
+        hits += got
+    assert np.abs(hits / 600 - part).max() < 0.09
+
+
+def test_mixing_targets_with_a_giant(spark):
+    rnd = np.random.default_rng(15)
+    rows = [(i, "w " * int(rnd.integers(20, 200)), None, f"s{i % 6}", 0) for i in range(300)] + [(1000 + k, "w " * 2000, None, f"s{k}", 0) for k in range(6)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")).toPandas()
+    for _, g in got.groupby("source"):
+        assert abs((g["copies"] * g["size"]).sum() - g["target"].iloc[0]) <= g["size"].median()
+
+
 # ---- 4 join
 
 
@@ -311,12 +338,49 @@ def test_cut():
     assert substring_dedup.cut(b"x\ny\nz", {1}) == (b"x\nz", 1, 0)
     words_ = [b"w%d" % k for k in range(90)]
     line = b" ".join(words_)
-    assert substring_dedup.cut(line, set(), ((20, (1 << 50) - 1), (21, (1 << 50) - 1))) == (b" ".join(words_[:20] + words_[71:]), 0, 1)
-    assert substring_dedup.cut(line, set(), ((0, 0b101),))[0] == b" ".join([words_[1], *words_[3:]])
+    assert substring_dedup.cut(line, set(), ((20, 50), (21, 50))) == (b" ".join(words_[:20] + words_[71:]), 0, 1)
+    assert substring_dedup.cut(line, set(), ((0, 1), (2, 1)))[0] == b" ".join([words_[1], *words_[3:]])
     assert substring_dedup.cut(b"", set()) == (b"", 0, 0)
     assert substring_dedup.bands_for(0.99, 0.8, 2) == 5
 
 
+def plain_passages(rows, n=50):
+    """What is left of each text, by comparing all windows: a word goes if a window of n words with it stands in an earlier document."""
+    left, seen = {}, {}
+    for doc, text in sorted(rows):
+        w = text.split()
+        own = [tuple(w[i : i + n]) for i in range(len(w) - n + 1)]
+        gone = [False] * len(w)
+        for i, g in enumerate(own):
+            if seen.get(g, doc) != doc:
+                gone[i : i + n] = [True] * n
+        for g in own:
+            seen.setdefault(g, doc)
+        left[doc] = [x for x, y in zip(w, gone, strict=True) if not y]
+    return left
+
+
+def test_passages_against_all_windows(spark):
+    """Short lines only, so that windows alone decide: passages, chains of overlapping ones, copies and a passage in very many documents."""
+    rnd = np.random.default_rng(23)
+    some = lambda n: [f"t{x}" for x in rnd.integers(0, 10**6, n)]
+    pool = [some(int(n)) for n in rnd.integers(45, 140, 12)]
+    common = some(57)
+    rows = []
+    for k in range(150):
+        w = []
+        for _ in range(int(rnd.integers(1, 4))):
+            p = pool[rnd.integers(12)]
+            cut = int(rnd.integers(0, 12))
+            w += some(int(rnd.integers(0, 40))) + p[cut : len(p) - int(rnd.integers(0, 12))]
+        rows.append((k, w + (common if k % 3 == 0 else []) + some(int(rnd.integers(0, 30)))))
+    rows = [(k, "\n".join(" ".join(w[i : i + 13]) for i in range(0, len(w), 13))) for k, w in rows]
+    rows += [(500 + k, rows[k][1]) for k in range(20)]
+    got = {r["doc_id"]: r["kept"] for r in substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = plain_passages(rows)
+    assert {k: got.get(k, t).split() for k, t in rows} == want
+
+
 def test_wrapped_passages_are_cut_in_full(spark):
     """Passages in lines of under 20 words, and ones that enter or leave a line in the middle."""
     rnd = np.random.default_rng(21)
