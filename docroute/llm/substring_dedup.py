@@ -6,10 +6,12 @@ stays.
 
 A passage inside longer paragraphs is no near copy of either, so windows of PASSAGE words over whole texts (newlines are
 white space, so lines of any length count) are banded as well: the band of a window is the least hash of its runs of GRAM
-words, a minimum that is alike in every copy, so that equal windows always collide. Colliding windows are the same if all
-their words are (128 bits: band and hash of all words); windows overlap, so what is found reaches to a passage's exact ends.
-A word goes if a window with it stands in an earlier document whose copy of the word is not gone with its paragraph,
-so one copy of each word stays.
+words, a minimum that is alike in every copy, so that equal windows always collide. The windows of a band that stand
+together are a stretch; equal stretches are one class, and only where a band has several classes are their windows compared,
+one stretch of each class. Stretches and windows are the same if all their words are (128 bits: band and hash of the
+words); windows overlap, so what is found reaches to a passage's exact ends. A word goes if a window with it stands in an
+earlier document, so the first copy of each passage stays. A document of PASSAGE words or more whose text stands in an
+earlier one goes as a whole.
 
 "First" is by doc_id, hash of the text, and line; rows of the same doc_id and text are one document and are cut
 alike. Null and empty texts lose nothing. Other columns are not read. Shared runs of fewer than PASSAGE words that are no
@@ -23,6 +25,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,34 +49,6 @@ def bands_for(recall: float, similarity: float, rows: int = ROWS) -> int:
     return bands
 
 
-def paragraphs(documents: DataFrame, bands: int, rows: int = ROWS) -> DataFrame:
-    """doc_id, th, line, key and sig of every paragraph."""
-
-    def run(batches):
-        memo, odd = word_hashes(), permutations(bands * rows, SEED)
-        for b in batches:
-            owner, line, words = [], [], []
-            for k, text in enumerate(b.column("text").to_pylist()):
-                for i, x in enumerate(text.split(b"\n")):
-                    own = x.split()
-                    if len(own) >= MIN_WORDS:
-                        owner.append(k)
-                        line.append(i)
-                        words.append(own)
-            if not owner:
-                continue
-            h, counts = hash_words(words, memo)
-            s, n = shingles_of(h, counts)
-            row = pa.array(owner)
-            yield pa.record_batch(
-                [b.column("doc_id").take(row), b.column("th").take(row), pa.array(line, pa.int32()), pa.array(class_keys(s, n)[0], pa.binary()), fixed(minhashes(s, n, odd))],
-                ["doc_id", "th", "line", "key", "sig"],
-            )
-
-    d = documents.select(F.col("doc_id").cast("long"), text_hash().alias("th"), as_bytes().alias("text"))
-    return d.mapInArrow(run, "doc_id long, th long, line int, key binary, sig binary")
-
-
 def least_grams(h: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """List, first word and least hash of GRAM words of every window of PASSAGE words of lists of hashed words."""
     n = np.maximum(counts - PASSAGE + 1, 0)
@@ -91,91 +66,104 @@ def least_grams(h: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return owner, start, grams[(np.cumsum(of) - of)[owner] + start]
 
 
-def anchors(documents: DataFrame) -> DataFrame:
-    """doc_id, th, line and mark of every stretch of windows with one least hash; line is -1 where the stretch leaves a line."""
+UNIT = "type int, doc_id long, th long, line int, key binary, sig binary, mark long, first long, n int, kind long"
+_KINDS = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
+TEXT, PARAGRAPH, STRETCH = range(3)
+
+
+def units(documents: DataFrame, bands: int, rows: int = ROWS) -> DataFrame:
+    """Of every text, in one reading: itself (key), its paragraphs (line, key, sig) and its stretches of windows.
+
+    A stretch has its band (mark), first word, number of windows, a hash of its words (kind), and the line it is in, or -1.
+    Texts of fewer than PASSAGE words have no row of their own and no stretches.
+    """
+    names = [c.split()[0] for c in UNIT.split(", ")]
+
+    def record(b, type_, at, **columns):
+        at, none = pa.array(at), [None] * len(at)
+        columns |= {"type": [type_] * len(at), "doc_id": b.column("doc_id").take(at), "th": b.column("th").take(at)}
+        return pa.record_batch([c if isinstance(c := columns.get(x, none), pa.Array) else pa.array(c, k) for x, k in zip(names, _KINDS, strict=True)], names)
 
     def run(batches):
-        memo = word_hashes()
+        memo, odd = word_hashes(), permutations(bands * rows, SEED)
         for b in batches:
-            row, words, lines = [], [], []
-            for k, text in enumerate(b.column("text").to_pylist()):
-                own = text.split()
-                if len(own) >= PASSAGE:
-                    row.append(k)
-                    words.append(own)
-                    n = np.fromiter((len(x.split()) for x in text.split(b"\n")), np.int64)
-                    lines.append(np.repeat(np.arange(len(n)), n))
-            if not row:
+            texts = b.column("text").to_pylist()
+            lines = [[x.split() for x in t.split(b"\n")] for t in texts]
+            many = np.fromiter(map(len, lines), np.int64, len(lines))
+            n = np.fromiter((len(x) for t in lines for x in t), np.int64, int(many.sum()))
+            h = np.fromiter((memo[w] for t in lines for x in t for w in x), np.uint64, int(n.sum()))
+            owner = np.repeat(np.arange(len(texts)), many)
+            line = np.arange(len(n)) - np.repeat(np.cumsum(many) - many, many)
+            wide = np.flatnonzero(n >= MIN_WORDS)
+            if len(wide):
+                s, of = shingles_of(h[np.repeat(n >= MIN_WORDS, n)], n[wide])
+                yield record(b, PARAGRAPH, owner[wide], line=line[wide].astype(np.int32), key=class_keys(s, of)[0], sig=fixed(minhashes(s, of, odd)))
+            counts = np.bincount(owner, n, len(texts)).astype(np.int64)
+            long = np.flatnonzero(counts >= PASSAGE)
+            if not len(long):
                 continue
-            h, counts = hash_words(words, memo)
-            owner, start, mark = least_grams(h, counts)
-            first = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (mark[1:] != mark[:-1])]))
-            last = np.append(first[1:], len(owner)) - 1
-            line, base = np.concatenate(lines), np.cumsum(counts) - counts
-            a, z = line[base[owner[first]] + start[first]], line[base[owner[last]] + start[last] + PASSAGE - 1]
-            at = pa.array(np.array(row)[owner[first]])
-            yield pa.record_batch(
-                [b.column("doc_id").take(at), b.column("th").take(at), pa.array(np.where(a == z, a, -1).astype(np.int32)), pa.array(mark[first].view(np.int64))],
-                ["doc_id", "th", "line", "mark"],
-            )
+            yield record(b, TEXT, long, key=[xxhash.xxh3_128_digest(texts[k]) for k in long.tolist()])
+            text, start, mark = least_grams(h, counts)
+            first = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (mark[1:] != mark[:-1])]))
+            last = np.append(first[1:], len(text)) - 1
+            at, raw = (np.cumsum(counts) - counts)[text[first]] + start[first], h.tobytes()
+            end = at + (last - first) + PASSAGE
+            of_word = np.repeat(line, n)
+            kind = [xxhash.xxh3_64_intdigest(raw[8 * x : 8 * y]) for x, y in zip(at.tolist(), end.tolist(), strict=True)]
+            inside = np.where(of_word[at] == of_word[end - 1], of_word[at], -1)
+            yield record(
+                b, STRETCH, text[first], line=inside.astype(np.int32), mark=mark[first].view(np.int64), first=start[first], n=(last - first + 1).astype(np.int32),
+                kind=np.array(kind, np.uint64).view(np.int64),
+            )
 
     d = documents.select(F.col("doc_id").cast("long"), text_hash().alias("th"), as_bytes().alias("text"))
-    return d.mapInArrow(run, "doc_id long, th long, line int, mark long")
+    return d.mapInArrow(run, UNIT)
 
 
 def _windows(batches):
-    """Windows of PASSAGE words that have a wanted mark and a word that is not gone; bit k of `gone` is the window's word k."""
+    """Band and hash of the windows of wanted stretches."""
     memo = word_hashes()
-    powers = np.uint64(1) << np.arange(PASSAGE, dtype=np.uint64)
     for b in batches:
+        parts = []
         for k, (text, places) in enumerate(zip(b.column("text").to_pylist(), b.column("places").to_pylist(), strict=True)):
-            h, counts = hash_words([text.split()], memo)
-            wanted = np.array([p["mark"] for p in places if p["mark"] is not None], np.int64).view(np.uint64)
-            _, start, mark = least_grams(h, counts)
-            if not len(start):
-                continue
-            gone = np.concatenate(marked(text.split(b"\n"), {p["line"] for p in places if p["mark"] is None}))
-            sums = np.concatenate([[0], np.cumsum(gone)])
-            lost = sums[PASSAGE:] - sums[:-PASSAGE]
-            start = start[np.isin(mark, wanted) & (lost < PASSAGE)]
-            own = shingles_of(h, counts, PASSAGE)[0][start]
-            bits = np.zeros(len(start), np.uint64)
-            some = np.flatnonzero(lost[start])
-            for j in range(PASSAGE if len(some) else 0):
-                bits[some] |= powers[j] * gone[start[some] + j].astype(np.uint64)
-            at = pa.array(np.full(len(start), k))
-            yield pa.record_batch(
-                [b.column("doc_id").take(at), b.column("th").take(at), *(pa.array(x.view(np.int64)) for x in (start.astype(np.int64), mark[start], own, bits))],
-                ["doc_id", "th", "start", "mark", "window", "gone"],
-            )
-
-
-def shared_passages(work: Scratch, documents: DataFrame, found: DataFrame, gone: DataFrame) -> DataFrame:
-    """doc_id, th, start and bits: bit k says that word start + k goes. `found` are anchors, `gone` whole lines that go."""
-    row = F.xxhash64("doc_id", "th")
+            own = shingles_of(*hash_words([text.split()], memo), PASSAGE)[0]
+            n = np.array([p["n"] for p in places])
+            at = np.repeat(np.array([p["first"] for p in places]) - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            parts.append((np.full(len(at), k), at, np.repeat(np.array([p["mark"] for p in places]), n), own[at].view(np.int64)))
+        if parts:
+            row, at, mark, own = (np.concatenate(x) for x in zip(*parts, strict=True))
+            row = pa.array(row)
+            yield pa.record_batch([b.column("doc_id").take(row), b.column("th").take(row), pa.array(at.astype(np.int64)), pa.array(mark), pa.array(own)], ["doc_id", "th", "first", "mark", "window"])
+
+
+def shared_passages(work: Scratch, documents: DataFrame, found: DataFrame, gone: DataFrame, copies: DataFrame) -> DataFrame:
+    """doc_id, th, first and words of what stood in an earlier document. `found` are stretches; lines of `gone` and texts of `copies` go anyway."""
+    row, doc = F.xxhash64("doc_id", "th"), F.struct("doc_id", "th")
     several = lambda rows: rows.groupBy("mark").agg(F.min(row).alias("a"), F.max(row).alias("z")).where("a <> z").select("mark")
-    # Marks of several documents first, so that only these meet the lines that go; then once more without those lines.
-    again = work.table(several(found), "anchors-again")
+    # Bands of several documents first, so that only these meet the lines and texts that go; then once more without those.
+    again = work.table(several(found), "again")
     line = gone.select(F.col("doc_id").alias("doc_"), F.col("th").alias("th_"), F.col("line").alias("line_"))
-    at = (F.col("th") == F.col("th_")) & F.col("doc_id").eqNullSafe(F.col("doc_")) & (F.col("line") == F.col("line_"))
-    left = work.table(found.join(again, "mark").join(line, at, "left_anti").select("doc_id", "th", "mark"), "anchors-left")
-    still = work.table(several(left), "anchors-still")
-    hit = left.join(still, "mark").select("doc_id", "th", F.lit(None).cast("int").alias("line"), "mark")
-    spots = hit.unionByName(gone.select("doc_id", "th", "line", F.lit(None).cast("long").alias("mark")))
-    spots = spots.groupBy(F.col("doc_id").alias("doc_"), F.col("th").alias("th_")).agg(F.collect_set(F.struct("line", "mark")).alias("places"))
-    spots = work.table(spots.where(F.exists("places", lambda p: p["mark"].isNotNull())), "spots")
-    seen = with_texts(documents, spots.where("th_ is not null"), "doc_id long, th long, start long, mark long, window long, gone long", _windows)
+    whole = copies.select(F.col("doc_id").alias("doc_"), F.col("th").alias("th_"))
+    same = (F.col("th") == F.col("th_")) & F.col("doc_id").eqNullSafe(F.col("doc_"))
+    left = found.join(again, "mark").join(whole, same, "left_anti").join(line, same & (F.col("line") == F.col("line_")), "left_anti")
+    left = work.table(left.select("doc_id", "th", "mark", "first", "n", "kind"), "left")
+    kinds = left.groupBy("mark", "kind", "n").agg(F.min(F.struct("doc_id", "th", "first")).alias("least"), F.count("*").alias("copies"))
+    kinds = work.table(kinds, "kinds")
+    # Copies of whole stretches.
+    head = kinds.where("copies > 1").select(F.col("mark").alias("mark_"), F.col("kind").alias("kind_"), F.col("n").alias("n_"), F.struct("least.doc_id", "least.th").alias("head"))
+    later = left.join(head, (F.col("mark") == F.col("mark_")) & (F.col("kind") == F.col("kind_")) & (F.col("n") == F.col("n_"))).where(doc > F.col("head"))
+    later = later.select("doc_id", "th", "first", (F.col("n") + PASSAGE - 1).alias("words"))
+    # Stretches that differ but may share windows: one of each class.
+    mixed = work.table(kinds.groupBy("mark").agg(F.count("*").alias("classes")).where("classes > 1").select("mark"), "mixed")
+    places = kinds.join(mixed, "mark").groupBy(F.col("least.doc_id").alias("doc_"), F.col("least.th").alias("th_")).agg(F.collect_list(F.struct("mark", "least.first", "n")).alias("places"))
+    places = work.table(places, "places")
+    seen = with_texts(documents, places.where("th_ is not null"), "doc_id long, th long, first long, mark long, window long", _windows)
     seen = work.table(seen, "windows")
-    work.drop(left, again, still, spots)
-    doc = F.struct("doc_id", "th")
-    # Of each window and set of words gone, the first document: few sets for a window, however many copies.
-    heads = seen.groupBy("mark", "window", "gone").agg(F.min(doc).alias("first"), F.max(doc).alias("last"))
-    heads = heads.groupBy("mark", "window").agg(F.collect_list(F.struct("gone", "first")).alias("heads"), F.min("first").alias("a"), F.max("last").alias("z"))
-    heads = work.table(heads.where(~F.col("a").eqNullSafe(F.col("z"))).select("mark", "window", "heads"), "heads")
-    whole = F.lit((1 << PASSAGE) - 1).cast("long")
-    bits = F.aggregate("heads", F.lit(0).cast("long"), lambda x, p: F.when(p["first"] < doc, x.bitwiseOR(whole.bitwiseAND(F.bitwise_not(p["gone"])))).otherwise(x))
-    out = work.table(seen.join(heads, ["mark", "window"]).select("doc_id", "th", "start", bits.alias("bits")).where("bits <> 0"), "passages")
-    work.drop(seen, heads)
+    heads = seen.groupBy("mark", "window").agg(F.min(doc).alias("a"), F.max(doc).alias("z")).where(~F.col("a").eqNullSafe(F.col("z")))
+    heads = work.table(heads.select("mark", "window", F.col("a").alias("head")), "heads")
+    parts = seen.join(heads, ["mark", "window"]).where(doc > F.col("head")).select("doc_id", "th", "first", F.lit(PASSAGE).alias("words"))
+    out = work.table(later.union(parts), "passages")
+    work.drop(again, left, kinds, mixed, places, seen, heads)
     return out
 
 
@@ -191,10 +179,15 @@ def _lines(batches):
         yield pa.record_batch([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], ["key", "component", "size", "copies", "text"])
 
 
-def repeated(work: Scratch, documents: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
-    """doc_, th_ and places that stood before: whole lines (line), or words as in shared_passages (start, bits)."""
+def repeated(work: Scratch, documents: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> tuple[DataFrame, DataFrame]:
+    """doc_, th_ and places that stood before: whole lines (line) or words (first, words); and the documents whose whole text did."""
     bands = bands_for(recall, similarity)
-    found = work.table(paragraphs(documents, bands), "paragraphs")
+    every = work.table(units(documents, bands), "units")
+    found = every.where(F.col("type") == PARAGRAPH).select("doc_id", "th", "line", "key", "sig")
+    texts = every.where(F.col("type") == TEXT).select("doc_id", "th", "key")
+    head = texts.groupBy("key").agg(F.min(F.struct("doc_id", "th")).alias("head"), F.count("*").alias("n")).where("n > 1").select("key", "head")
+    copies = texts.join(work.table(head, "heads"), "key").where(F.struct("doc_id", "th") > F.col("head")).select("doc_id", "th").distinct()
+    copies = work.table(copies, "copies")
     place = F.struct("doc_id", "th", "line")
     classes = found.groupBy("key").agg(F.min(F.struct("doc_id", "th", "line", "sig")).alias("r"), F.count("*").alias("copies"))
     classes = work.table(classes.select("key", F.struct("r.doc_id", "r.th", "r.line").alias("rep"), "r.sig", "copies"), "classes")
@@ -213,29 +206,26 @@ def repeated(work: Scratch, documents: DataFrame, similarity: float = SIMILARITY
     groups = work.table(linked.union(copied), "groups")
     gone = found.select("doc_id", "th", "line", "key").join(groups.where("first is not null"), "key").where(~place.eqNullSafe(F.col("first")))
     gone = work.table(gone.select("doc_id", "th", "line"), "gone")
-    work.drop(found, classes)
-    grams = work.table(anchors(documents), "anchors")
-    passages = shared_passages(work, documents, grams, gone)
-    work.drop(grams)
-    every = gone.unionByName(passages, allowMissingColumns=True)
-    places = every.groupBy(F.col("doc_id").alias("doc_"), F.col("th").alias("th_")).agg(F.collect_set(F.struct("line", "start", "bits")).alias("places"))
-    return work.table(places, "places")
-
-
-def marked(lines: list[bytes], whole: set[int]) -> list[np.ndarray]:
-    """For each line, which of its words go with it."""
-    return [np.full(len(line.split()), i in whole) for i, line in enumerate(lines)]
+    work.drop(classes)
+    stretches = every.where(F.col("type") == STRETCH).select("doc_id", "th", "line", "mark", "first", "n", "kind")
+    passages = shared_passages(work, documents, stretches, gone, copies)
+    work.drop(every)
+    places = gone.unionByName(passages, allowMissingColumns=True).groupBy(F.col("doc_id").alias("doc_"), F.col("th").alias("th_"))
+    places = places.agg(F.collect_set(F.struct("line", "first", "words")).alias("places"))
+    whole = copies.withColumnsRenamed({"doc_id": "c_doc", "th": "c_th"})
+    places = places.join(whole, (F.col("th_") == F.col("c_th")) & F.col("doc_").eqNullSafe(F.col("c_doc")), "left_anti")
+    return work.table(places, "places"), copies
 
 
 def cut(text: bytes, whole: set[int], passages: tuple[tuple[int, int], ...] = ()) -> tuple[bytes, int, int]:
-    """The text without repeated paragraphs (whole lines) and passages (start, bits), and how many of either are gone."""
+    """The text without repeated paragraphs (whole lines) and passages (first word, words), and how many of either are gone."""
     lines = text.split(b"\n")
-    every = marked(lines, whole)
+    every = [np.full(len(line.split()), i in whole) for i, line in enumerate(lines)]
     gone = np.concatenate(every)
     if passages:
-        starts, bits = (np.array(x, np.int64) for x in zip(*passages, strict=True))
-        for k in range(PASSAGE):
-            gone[starts[(bits >> k) & 1 == 1] + k] = True
+        first, words = (np.array(x, np.int64) for x in zip(*passages, strict=True))
+        edges = np.bincount(first, minlength=len(gone) + 1) - np.bincount(first + words, minlength=len(gone) + 1)
+        gone |= np.cumsum(edges)[:-1] > 0
     kept, runs, inside, base = [], 0, False, 0
     for i, line in enumerate(lines):
         own = gone[base : base + len(every[i])]
@@ -265,8 +255,8 @@ def _cut(batches):
     for b in batches:
         out = []
         for doc, th, text, places in zip(*(b.column(c).to_pylist() for c in ("doc_id", "th", "text", "places")), strict=True):
-            passages = tuple((p["start"], p["bits"]) for p in places if p["start"] is not None)
-            kept, lines, runs = cut(text, {p["line"] for p in places if p["start"] is None}, passages)
+            passages = tuple((p["first"], p["words"]) for p in places if p["first"] is not None)
+            kept, lines, runs = cut(text, {p["line"] for p in places if p["first"] is None}, passages)
             out.append((doc, th, lines, runs, len(text) - len(kept), hashlib.sha256(kept).hexdigest(), kept.decode()))
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
         columns = zip(*out, strict=True) if out else [[]] * 7
@@ -276,9 +266,14 @@ def _cut(batches):
 def substring_dedup(documents: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
     """doc_id, th, paragraphs_removed, passages_removed, bytes_removed, kept_sha256 and kept of documents with repeats."""
     work = Scratch(documents.sparkSession, "substrings")
-    places = repeated(work, documents, similarity, recall)
+    places, copies = repeated(work, documents, similarity, recall)
     schema = "doc_id long, th long, paragraphs_removed long, passages_removed long, bytes_removed long, kept_sha256 string, kept string"
-    return with_texts(documents, places.where("th_ is not null"), schema, _cut).where("bytes_removed > 0")
+    out = with_texts(documents, places.where("th_ is not null"), schema, _cut).where("bytes_removed > 0")
+    # Of a whole copy nothing is left, so its text need not travel.
+    d = documents.select(F.col("doc_id").cast("long"), text_hash().alias("th"), F.octet_length("text").cast("long").alias("bytes"))
+    whole = d.join(copies.withColumnsRenamed({"doc_id": "doc_", "th": "th_"}), (F.col("th") == F.col("th_")) & F.col("doc_id").eqNullSafe(F.col("doc_")))
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    return out.union(whole.select("doc_id", "th", zero, one, "bytes", F.sha2(F.lit(""), 256), F.lit("")))
 
 
 def without_repeats(documents: DataFrame) -> DataFrame:
