@@ -517,6 +517,30 @@ def test_crowded_anchors(spark, monkeypatch):
         assert [got.get(k, texts[k].encode()) for k in range(len(texts))] == want
 
 
+def test_two_lengths_from_one_order(spark, monkeypatch):
+    rnd = np.random.default_rng(12)
+    piece = lambda n: bytes(rnd.integers(97, 99, n, dtype=np.uint8)).decode()
+    shared = [piece(n) for n in (24, 25, 30, 39, 40, 41, 90)]
+    texts = [piece(int(rnd.integers(0, 30))) + shared[rnd.integers(7)] + piece(int(rnd.integers(0, 30))) + shared[rnd.integers(7)] for _ in range(50)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    raw = [t.encode() for t in texts]
+    cut, short = brute_cut(raw, 40, "all"), brute_cut(raw, 25, "all")
+    for crowd in (2000, 2):
+        monkeypatch.setattr(suffix_dedup, "CROWD", crowd)
+        got = {r["doc_id"]: r for r in suffix_dedup.cut_repeats(df, length=40, kmer=12, short=25).collect()}
+        for k, t in enumerate(raw):
+            assert (got[k]["kept"], got[k]["n_short"]) == (cut[k], len(t) - len(short[k])) if k in got else (cut[k], short[k]) == (t, t)
+
+
+def test_heads_are_the_suffix_order():
+    rnd = np.random.default_rng(13)
+    texts = [bytes(rnd.integers(0, 3, int(n), dtype=np.uint8)) for n in rnd.integers(0, 60, 30)]
+    suffixes = [t[i:] for t in texts for i in range(len(t))]
+    for n, rank in zip((7, 10, 28, 40), suffix_dedup.heads(texts, (7, 10, 28, 40)), strict=True):
+        order = {h: k for k, h in enumerate(sorted({x[:n] for x in suffixes}), 1)}
+        assert rank.tolist() == [order[x[:n]] for x in suffixes]
+
+
 def test_suffix_edge_rows(edge, edge_rows, empty):
     got = suffix_dedup.cut_repeats(edge)
     gone = {r["doc_id"]: r["n_removed"] for r in got.collect()}
