@@ -30,7 +30,7 @@ class BadContainer(ValueError):
 
 
 def boxes(data: bytes, start: int, end: int, path: tuple[bytes, ...] = ()):
-    """(path, first byte of the body, end) of every box, outer before inner."""
+    """(path, first byte, first byte of the body, end) of every box, outer before inner."""
     while start < end:
         if end - start < 8:
             raise BadContainer("cut box header")
@@ -44,7 +44,7 @@ def boxes(data: bytes, start: int, end: int, path: tuple[bytes, ...] = ()):
         stop = end if size == 0 else start + size
         if stop > end or stop < body:
             raise BadContainer(f"box {kind.decode('latin-1')} leaves its parent")
-        yield (*path, kind), body, stop
+        yield (*path, kind), start, body, stop
         if kind in HOLDERS:
             yield from boxes(data, body, stop, (*path, kind))
         start = stop
@@ -72,13 +72,64 @@ def _table(data: bytes, at: int, end: int, kind: str, width: int = 1) -> np.ndar
     return np.frombuffer(data, dtype, n * width, at + 8).astype(np.int64).reshape(n, width)
 
 
-def _codec(data: bytes, at: int, end: int) -> str:
+def _compact(data: bytes, at: int, end: int) -> np.ndarray:
+    """Sample sizes of 4, 8 or 16 bits."""
+    bits, (n,) = data[at + 7], struct.unpack_from(">I", data, at + 8)
+    if bits not in (4, 8, 16) or at + 12 + (n * bits + 7) // 8 > end:
+        raise BadContainer("a table leaves its box")
+    if bits == 4:
+        two = np.frombuffer(data, np.uint8, (n + 1) // 2, at + 12)
+        return np.stack([two >> 4, two & 15], 1).ravel()[:n].astype(np.int64)
+    return np.frombuffer(data, f">u{bits // 8}", n, at + 12).astype(np.int64)
+
+
+def _codec(data: bytes, at: int, end: int, handler: str) -> str:
+    """The codec of the first sample entry, with what its configuration box says of profile and level."""
     if end - at < 16:
         raise BadContainer("no sample entry")
     entry, size = at + 8, struct.unpack_from(">I", data, at + 8)[0]
-    name = data[entry + 4 : entry + 8].decode("latin-1")
-    mark = data.find(b"avcC", entry, min(end, entry + size))
-    return name + "." + data[mark + 5 : mark + 8].hex() if mark >= 0 else name
+    name, stop = data[entry + 4 : entry + 8].decode("latin-1"), min(end, entry + size)
+    inner = entry + {"vide": 86, "soun": 36}.get(handler, 1 << 62)
+    if inner >= stop:
+        return name
+    try:
+        own = {path[-1]: data[body:z] for path, _, body, z in boxes(data, inner, stop)}
+    except BadContainer:  # entries of other layouts hold no boxes there
+        return name
+    if c := own.get(b"avcC", b"")[1:4]:
+        return f"{name}.{c.hex()}"
+    if len(c := own.get(b"hvcC", b"")) >= 13:
+        space, profile, tier = c[1] >> 6, c[1] & 31, "LH"[c[1] >> 5 & 1]
+        flags = int(f"{int.from_bytes(c[2:6]):032b}"[::-1], 2)
+        more = c[6:12].rstrip(b"\0")
+        return ".".join([name, f"{('', 'A', 'B', 'C')[space]}{profile}", f"{flags:X}", f"{tier}{c[12]}", *(f"{x:X}" for x in more)])
+    if len(c := own.get(b"av1C", b"")) >= 3:
+        depth = 8 + 2 * (c[2] >> 6 & 1) * (1 + (c[2] >> 5 & 1) * (c[1] >> 5 == 2))
+        return f"{name}.{c[1] >> 5}.{c[1] & 31:02d}{'MH'[c[2] >> 7]}.{depth:02d}"
+    return _audio_object(name, own[b"esds"]) if b"esds" in own else name
+
+
+def _audio_object(name: str, data: bytes) -> str:
+    """mp4a.40.2 and the like, from the descriptors of an esds box."""
+    at, out = 4, [name]
+    while at + 2 <= len(data):
+        tag, at = data[at], at + 1
+        while at < len(data) and data[at] & 128:  # a length of up to four bytes of seven bits
+            at += 1
+        at += 1
+        if tag == 3:
+            flags = data[at + 2] if at + 2 < len(data) else 0
+            at += 3 + 2 * (flags >> 7) + (1 + data[at + 3] if flags & 64 and at + 3 < len(data) else 0) + 2 * (flags >> 5 & 1)
+        elif tag == 4 and at < len(data):
+            out.append(f"{data[at]:x}")
+            at += 13
+        elif tag == 5 and at + 1 < len(data):
+            kind = data[at] >> 3
+            out.append(str(kind if kind < 31 else 32 + ((data[at] & 7) << 3 | data[at + 1] >> 5)))
+            break
+        else:
+            break
+    return ".".join(out)
 
 
 def _samples(t: Track, tables: dict[bytes, np.ndarray], fixed: tuple[int, int] | None, length: int) -> None:
@@ -110,14 +161,16 @@ def _samples(t: Track, tables: dict[bytes, np.ndarray], fixed: tuple[int, int] |
 
 def _fragment(data: bytes, items: list, tracks: dict[int, Track], defaults: dict[int, tuple], moof: int) -> None:
     """Samples of one movie fragment."""
-    t, size, flags, duration, base = None, 0, 0, 0, moof
-    for kind, at, end in items:
+    t, size, flags, duration = None, 0, 0, 0
+    base = after = stop = moof  # the base of offsets, where the next run begins, and where the last track's data ended
+    for k, (kind, at, end) in enumerate(items):
         if kind == b"tfhd":
             (have, number) = struct.unpack_from(">II", data, at)
             t, at = tracks.get(number), at + 8
             if t is None:
                 raise BadContainer("a fragment of no track")
             duration, size, flags = defaults.get(number, (0, 0, 0))
+            base = moof if have & 0x20000 or all(x[0] != b"tfhd" for x in items[:k]) else stop
             if have & 1:
                 (base,), at = struct.unpack_from(">Q", data, at), at + 8
             at += 4 * bool(have & 2)
@@ -125,9 +178,10 @@ def _fragment(data: bytes, items: list, tracks: dict[int, Track], defaults: dict
                 if have & bit:
                     (v,), at = struct.unpack_from(">I", data, at), at + 4
                     duration, size, flags = (v if bit == 8 else duration), (v if bit == 16 else size), (v if bit == 32 else flags)
+            after = base
         elif kind == b"trun" and t is not None:
             have, n = struct.unpack_from(">II", data, at)
-            at, offset, first = at + 8, base, flags
+            at, offset, first = at + 8, after, flags
             if have & 1:
                 offset, at = base + struct.unpack_from(">i", data, at)[0], at + 4
             if have & 4:
@@ -144,7 +198,7 @@ def _fragment(data: bytes, items: list, tracks: dict[int, Track], defaults: dict
             t.sizes, t.key = np.append(t.sizes, sizes), np.append(t.key, (marks & 0x10000) == 0)
             t.duration += int(column(256, duration).sum())
             t.fragments += 1
-            base = offset + int(sizes.sum())
+            after = stop = offset + int(sizes.sum())
 
 
 def read_container(data: bytes) -> list[Track]:
@@ -155,10 +209,10 @@ def read_container(data: bytes) -> list[Track]:
     t, tables, fixed, done = Track(), {}, None, []
     moof = 0
     try:
-        for path, at, end in boxes(data, 0, len(data)):
+        for path, whole, at, end in boxes(data, 0, len(data)):
             kind = path[-1]
             if kind == b"moof":
-                moof = at - 8
+                moof = whole
             elif path[:1] == (b"moof",):
                 fragments.setdefault(moof, []).append((kind, at, end))
             elif kind == b"trak":
@@ -172,13 +226,15 @@ def read_container(data: bytes) -> list[Track]:
             elif kind == b"hdlr" and b"mdia" in path:
                 t.handler = data[at + 8 : at + 12].decode("latin-1")
             elif kind == b"stsd":
-                t.codec = _codec(data, at, end)
+                t.codec = _codec(data, at, end, t.handler)
             elif kind == b"stsz":
                 size, n = struct.unpack_from(">II", data, at + 4)
                 if size:
                     tables[b"fixed"] = (size, n)
                 else:
                     t.sizes = _table(data, at + 4, end, ">u4")[:, 0]
+            elif kind == b"stz2":
+                t.sizes = _compact(data, at, end)
             elif kind in (b"stco", b"stss"):
                 tables[kind] = _table(data, at, end, ">u4")
             elif kind == b"co64":

@@ -82,6 +82,62 @@ def test_fragments_and_bad_containers():
             media.read_container(bad)
 
 
+def test_fragments_of_several_runs_and_tracks():
+    """Two runs in each of two tracks, all offsets from the moof, whose size takes 64 bits."""
+    import struct
+
+    box = lambda k, *p: struct.pack(">I4s", 8 + len(b"".join(p)), k) + b"".join(p)
+    wide = lambda k, *p: struct.pack(">I4sQ", 1, k, 16 + len(b"".join(p))) + b"".join(p)
+    head = media.write_container(bytes(media.FRAME))
+    moov = head[head.index(b"moov") - 4 :]
+    moov = moov[: struct.unpack(">I", moov[:4])[0]]
+    second = bytearray(moov[moov.index(b"trak") - 4 :])
+    second = second[: struct.unpack(">I", second[:4])[0]]
+    struct.pack_into(">I", second, second.index(b"tkhd") + 4 + 12, 2)
+    both = head.replace(moov, box(b"moov", moov[8:], bytes(second)))
+    shift = len(both) - len(head)
+    if both.index(b"moov") < both.index(b"mdat"):
+        both = bytearray(both)
+        for at in [i for i in range(len(both)) if both[i : i + 4] == b"stco"]:
+            struct.pack_into(">I", both, at + 12, struct.unpack_from(">I", both, at + 12)[0] + shift)
+        both = bytes(both)
+    run = lambda off, first, *sizes: box(b"trun", struct.pack(">II", 0x205 if off is not None else 0x204, len(sizes)), b"" if off is None else struct.pack(">i", off), struct.pack(">I", first), *(struct.pack(">I", x) for x in sizes))
+    tfhd = lambda number: box(b"tfhd", struct.pack(">III", 0x20020, number, 0x10000))
+
+    def moof(at):
+        one = box(b"traf", tfhd(1), run(at, 0, 3, 4), run(at + 20, 0x10000, 2))
+        return wide(b"moof", one, box(b"traf", tfhd(2), run(at + 7, 0, 5), run(None, 0, 1, 2)))
+
+    data = both + moof(len(moof(0)) + 8) + box(b"mdat", b"aaabbbbCCCCCdEE_____ff")
+    one, two = media.read_container(data)
+    got = lambda t: [data[o : o + s] for o, s in zip(t.offsets[1:], t.sizes[1:], strict=True)]
+    assert got(one) == [b"aaa", b"bbbb", b"ff"] and one.key[1:].tolist() == [True, False, False]
+    assert got(two) == [b"CCCCC", b"d", b"EE"] and two.key[1:].tolist() == [True, True, False]
+
+
+def test_codecs_and_compact_sizes():
+    import struct
+
+    box = lambda k, *p: struct.pack(">I4s", 8 + len(b"".join(p)), k) + b"".join(p)
+    entry = lambda kind, inner, width=78: struct.pack(">II", 0, 1) + box(kind, bytes(width), inner)
+    name = lambda x, handler="vide": media._codec(x, 0, len(x), handler)
+    # The letters avcC inside another box are no configuration.
+    assert name(entry(b"avc1", box(b"free", b"..avcC\1\2\3") + box(b"avcC", b"\1\x64\0\x1f"))) == "avc1.64001f"
+    assert name(entry(b"hvc1", box(b"hvcC", bytes([1, 1, 0x60, 0, 0, 0, 0xB0, 0, 0, 0, 0, 0, 93])))) == "hvc1.1.6.L93.B0"
+    assert name(entry(b"av01", box(b"av1C", bytes([0x81, 0x08, 0x0C, 0])))) == "av01.0.08M.08"
+    esds = box(b"esds", bytes(4), b"\3\x19\0\1\0\4\x11\x40" + bytes(12) + b"\5\2\x12\x10")
+    assert name(entry(b"mp4a", esds, 28), "soun") == "mp4a.40.2"
+    assert name(entry(b"raw ", b"")) == "raw "
+    table = lambda bits, n, raw: struct.pack(">I3xBI", 0, bits, n) + raw
+    for bits, raw in ((4, b"\x12\x30"), (8, b"\1\2\3"), (16, b"\0\1\0\2\0\3")):
+        x = table(bits, 3, raw)
+        assert media._compact(x, 0, len(x)).tolist() == [1, 2, 3]
+
+
+def test_media_of_an_empty_table(empty):
+    assert media.read_texts(media.store_texts(empty)).count() == 0
+
+
 def test_media_columns(spark):
     good = media.write_container(bytes(media.FRAME))
     df = spark.createDataFrame([(1, good, "x"), (2, None, "x"), (3, b"", "x"), (4, good[:50], "x"), (1, good, "x")], "id int, media binary, codec string")
@@ -413,14 +469,17 @@ def test_short_passages_go_to_their_exact_ends(spark):
 # ---- 8 packing
 
 
-def test_tokens_equal_the_tokenizers(edge_rows):
+@pytest.mark.parametrize("special", [True, False])
+def test_tokens_equal_the_tokenizers(edge_rows, special):
     from public_tokenizers import path
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    encode = packing.encoder(packing.VOCABULARY)
+    if not special:  # else the tokenizer's default holds, by which packing works
+        t.encode_special_tokens = True
+    encode = packing.encoder(packing.VOCABULARY, special) if not special else packing.encoder(path("byte_bpe_50k.json"))
     odd = ["a  b", " a", "a ", "a\n b", "a \n\n  b\t c", "it's we'll 12ab ,,x", "\u00a0x y\u00a0 z", "<|endoftext|> a", "\x1c a b", "a\u2003b c"]
+    odd += ["<|endoftext|>", "one text<|endoftext|>next text", "a <|endoftext|><|endoftext|> b", "<|endoftext", "x <|endoftext|>\n y"]
     for text in odd + [r[1] or "" for r in edge_rows]:
         assert np.frombuffer(encode(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
 
