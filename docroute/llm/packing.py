@@ -13,7 +13,7 @@ Other columns are not read; an empty table packs to nothing.
 
 from __future__ import annotations
 
-import base64
+import json
 import re
 import zlib
 from bisect import bisect_left, insort
@@ -27,33 +27,53 @@ from pyspark.sql import functions as F
 from docroute.llm.common import Memo, Scratch, prepare, ranked
 
 CAPACITY, END = 1024, 2
-VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+#: A vocabulary's name among the public tokenizers, or a path.
+VOCABULARY = "byte_bpe_50k.json"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Where a space is next to other white space or an end of the text, words cannot be told apart by spaces alone.
 _ODD = re.compile(r"\s\s|^\s|\s$")
 
-_encoders: dict[str, Callable[[str], bytes]] = {}
+_encoders: dict[tuple[str, bool], Callable[[str], bytes]] = {}
 
 
-def encoder(vocabulary: str) -> Callable[[str], bytes]:
-    """Text to the bytes of its ids (unsigned, 32 bits, little-endian). The ids of words are remembered."""
-    if vocabulary not in _encoders:
+def letters() -> dict[str, int]:
+    """The bytes that the characters of a byte-level vocabulary stand for: printable ones for themselves, the others from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
+
+
+def encoder(vocabulary: str = VOCABULARY, special: bool = True) -> Callable[[str], bytes]:
+    """Text to the bytes of its ids (unsigned, 32 bits, little-endian). The ids of words are remembered.
+
+    The vocabulary file's tokens and ids are used, and its merges are in the order of its ids. With `special`, the file's added
+    tokens get their ids where a text spells them out, as is the tokenizer's default; without, they are ordinary text.
+    """
+    if (vocabulary, special) not in _encoders:
+        import public_tokenizers
         import tiktoken
 
-        with open(vocabulary, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        with open(vocabulary if "/" in vocabulary else public_tokenizers.path(vocabulary), encoding="utf-8") as f:
+            file = json.load(f)
+        added, of = {t["content"]: t["id"] for t in file["added_tokens"]}, letters()
+        ranks = {bytes(map(of.__getitem__, w)): k for w, k in file["model"]["vocab"].items() if w not in added}
         own = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        ids = lambda s: np.array(own.encode_ordinary(s), "<u4").tobytes()
-        spaced = Memo(lambda w: ids(" " + w), 500_000)
+        pack_ = lambda ids: np.array(ids, "<u4").tobytes()
+        spaced = Memo(lambda w: pack_(own.encode_ordinary(" " + w)), 500_000)
+        marks = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added and special else None
 
-        def encode(text: str) -> bytes:
+        def plain(text: str) -> bytes:
             if _ODD.search(text):
-                return ids(text)
+                return pack_(own.encode_ordinary(text))
             first, *rest = text.split(" ")
-            return ids(first) + b"".join([spaced[w] for w in rest])
+            return pack_(own.encode_ordinary(first)) + b"".join([spaced[w] for w in rest])
+
+        def encode(text: str) -> bytes:
+            parts = marks.split(text) if marks else [text]
+            return plain(text) if len(parts) == 1 else b"".join([pack_([added[x]]) if k % 2 else plain(x) for k, x in enumerate(parts)])
 
-        _encoders[vocabulary] = encode
-    return _encoders[vocabulary]
+        _encoders[vocabulary, special] = encode
+    return _encoders[vocabulary, special]
 
 
 def cut(length: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
