@@ -4,6 +4,7 @@ complete groups from sorted partitions, global ranks and connected components.""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -35,8 +36,10 @@ def prepare(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (spark.checkpoint.dir); a local one only where it is unset."""
+    """The folder that driver and executors share (spark.checkpoint.dir). Where it is unset, a local one if all run on this machine."""
     base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not base:
         base = _own.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="spark-"))
         base = f"file://{base}"
