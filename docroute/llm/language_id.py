@@ -4,9 +4,13 @@ Counts of the longest character runs are gathered over all learning rows in Spar
 distinct runs that they continue, as Kneser-Ney does. The models are sorted hash arrays: for each run that any
 language has, the log-probability in every language with its back-off folded in. A text gets the language of least
 cross-entropy per character, and a score from a scale that is fitted on learning rows. `rejected` marks texts
-whose cross-entropy is beyond what that language's learning rows show.
+whose cross-entropy is beyond what that language's rows show. Scale and limits come from learning rows that are not counted:
+a sixteenth of them, CALIBRATION_ROWS at most.
 
-The arrays have MAX_CELLS cells at most: beyond, runs of the least counts are left to the shorter runs.
+No run is left out. All that is needed for a character is found by the character before it: its runs and contexts of two
+characters or more end there. So the arrays are cut into shards by that character, each of CELLS cells at most (or
+one character's), which are built one after the other. A model of several shards scores a text in as many readings, each with
+one shard in memory, and the parts are added up in Spark.
 
 Null texts and texts without a letter are `und` with score 0. Repeated rows count as often as they stand; null languages
 teach nothing; other columns are not read. Without learning rows every text is `und`.
@@ -21,16 +25,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docroute.llm.common import Scratch, mix
+from docroute.llm.common import Scratch, group_starts, mix
 
 ORDER = 5
 #: Bits of a character in a run, and the code points that keep their own number; the others are folded.
 BITS, LETTERS, FOLD = np.uint64(12), 2048, 2039
 DISCOUNT = 0.75
-#: Runs of the longest order x languages.
-MAX_CELLS = 1 << 23
-#: Learning rows (least hashes of doc_id) that the score's scale and the rejection limits are fitted on.
-CALIBRATION_ROWS = 4000
+#: Runs of the longest order x languages that a shard holds.
+CELLS = 1 << 23
+#: Learning rows that the score's scale and the rejection limits are fitted on: of one in FOLDS, those of least key.
+CALIBRATION_ROWS, FOLDS = 4000, 16
 #: Cross-entropy beyond this quantile of a language's calibration rows, with slack in nats, is rejected.
 REJECT_QUANTILE, REJECT_SLACK = 0.999, 0.5
 #: Characters that are handled at once.
@@ -114,11 +118,16 @@ class Table:
         return np.where(self.hashes[at] == h, at, -1)
 
 
-def _kneser_ney(run: np.ndarray, n: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each order from 1: runs, their log-probabilities, contexts and the contexts' log back-off weights."""
+def _kneser_ney(run: np.ndarray, n: np.ndarray, order: int, single: tuple[np.ndarray, np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each order from 1: runs, their log-probabilities, contexts and the contexts' log back-off weights.
+
+    `single`: all characters and how many different ones each follows, which a shard does not know.
+    """
     counts = [(run, n)]
-    for k in range(order - 1, 0, -1):
+    for k in range(order - 1, 1, -1):
         counts.append(np.unique(counts[-1][0] & np.uint64((1 << (int(BITS) * k)) - 1), return_counts=True))
+    if order > 1:
+        counts.append(single)
     out = []
     lower_runs, lower_p = None, None
     for k, (r, c) in enumerate(reversed(counts), 1):
@@ -133,14 +142,12 @@ def _kneser_ney(run: np.ndarray, n: np.ndarray, order: int) -> list[tuple[np.nda
 
 
 @dataclass
-class Model:
+class Shard:
     """tables[k]: runs of k + 1 characters with rows (log-probabilities, log back-off weights as a context) by language."""
 
     languages: list[str]
     tables: list[Table]
     unseen: np.ndarray
-    scale: float = 1.0
-    limits: np.ndarray | None = None
 
     def log_probabilities(self, key: np.ndarray, order: int) -> np.ndarray:
         """A row for each run: its last character's log-probability in every language."""
@@ -159,25 +166,47 @@ class Model:
             out[lost] = low
         return out
 
-    def cross_entropies(self, texts: list[str]) -> np.ndarray:
-        """Nats per character of each text in every language."""
-        order = len(self.tables)
+    def totals(self, texts: list[str], number: int, shard_of: np.ndarray) -> np.ndarray:
+        """The log-probabilities of each text's characters in this shard, summed, in every language."""
+        order, one = len(self.tables), not shard_of.any()
         total = np.zeros((len(texts), len(self.languages)))
         for parts in segments(texts, order):
             key, lengths = runs(parts, order)
-            p = self.log_probabilities(key, order)
-            np.add.at(total, [k for k, _ in parts], np.add.reduceat(p, np.cumsum(lengths) - lengths, axis=0, dtype=np.float64))
-        return -total / np.maximum(np.fromiter(map(len, map(str.lower, texts)), np.int64, len(texts)), 1)[:, None]
+            owner = np.repeat([k for k, _ in parts], lengths)
+            if not one:
+                own = shard_of[before(key)] == number
+                key, owner = key[own], owner[own]
+            if len(key):
+                p, first = self.log_probabilities(key, order), group_starts(owner)
+                np.add.at(total, owner[first], np.add.reduceat(p, first, axis=0, dtype=np.float64))
+        return total
+
+
+@dataclass
+class Model:
+    """Shards by the last but one character of a run."""
+
+    languages: list[str]
+    shards: list[Shard]
+    shard_of: np.ndarray
+    scale: float = 1.0
+    limits: np.ndarray | None = None
+
+
+def before(key: np.ndarray) -> np.ndarray:
+    """The last but one character of runs."""
+    return ((key >> BITS) & np.uint64((1 << int(BITS)) - 1)).astype(np.int64)
 
 
-def build(languages: list[str], counts: list[tuple[np.ndarray, np.ndarray]], order: int = ORDER) -> Model:
-    """The folded tables of all languages from their longest runs (sorted) and counts."""
-    every = [_kneser_ney(r, n, order) for r, n in counts]
+def build(languages: list[str], counts: list[tuple[np.ndarray, np.ndarray]], single: list[tuple[np.ndarray, np.ndarray]], order: int = ORDER) -> Shard:
+    """The folded tables of all languages from a shard's longest runs (sorted) and counts, and from all characters."""
+    every = [_kneser_ney(r, n, order, one) for (r, n), one in zip(counts, single, strict=True)]
     tables: list[Table] = []
     unseen = np.array([float(e[0][3][0]) - np.log(LETTERS + FOLD) for e in every], np.float32)
-    model = Model(languages, tables, unseen)
+    model = Shard(languages, tables, unseen)
     for k in range(1, order + 1):
-        union = np.unique(np.concatenate([e[k - 1][0] for e in every]))
+        # Contexts that are no runs themselves (a text's beginning) have their back-off weight here too.
+        union = np.unique(np.concatenate([e[k - 1][0] for e in every] + [e[k][2] for e in every if k < order]))
         p = np.empty((len(union), len(languages)), np.float32)
         g = np.zeros_like(p)
         backed = model.log_probabilities(union & np.uint64((1 << (int(BITS) * (k - 1))) - 1), k - 1)
@@ -196,44 +225,58 @@ def build(languages: list[str], counts: list[tuple[np.ndarray, np.ndarray]], ord
     return model
 
 
-def train(work: Scratch, rows: DataFrame, order: int = ORDER, cells: int = MAX_CELLS, calibration: int = CALIBRATION_ROWS) -> Model | None:
-    """Learn from rows (key, lang, text): counts over all of them, scale and limits on a bounded sample."""
-    counts = work.table(gather(rows.select("lang", "text"), order), "runs")
-    level = F.floor(F.log2("n") * 4).cast("int")
-    by = counts.groupBy("lang", level.alias("level")).agg(F.count("*").alias("runs")).collect()
-    languages = sorted({r["lang"] for r in by})
-    if not languages:
-        return None
-    kept, room = [], cells // len(languages) ** 2
-    for lang in languages:
-        total, least = 0, 0
-        for n, v in sorted(((r["level"], r["runs"]) for r in by if r["lang"] == lang), reverse=True):
-            total += v
-            if total > room:
-                least = n + 1
-                break
-        kept.append((lang, least))
-    wanted = counts.join(F.broadcast(work.spark.createDataFrame(kept, "lang string, least int")), "lang").where(level >= F.col("least"))
-    got = wanted.select("lang", "run", "n").toArrow()
-    work.drop(counts)
+def _by_language(got: pa.Table, languages: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Sorted runs and counts of each language."""
     lang, run, n = (np.asarray(got.column(c).to_numpy(zero_copy_only=False)) for c in ("lang", "run", "n"))
-    lists = []
+    out = []
     for x in languages:
         own = np.flatnonzero(lang == x)
         r = run[own].astype(np.int64).view(np.uint64)
         o = np.argsort(r)
-        lists.append((r[o], n[own][o].astype(np.float64)))
-    model = build(languages, lists, order)
-    sample = rows.orderBy("key").limit(calibration).select("lang", "text")
-    shared = work.spark.sparkContext.broadcast(model)
+        out.append((r[o], n[own][o].astype(np.float64)))
+    return out
+
+
+def shards_for(sizes: dict[int, int], most: int) -> np.ndarray:
+    """The shard of each character: characters of `most` runs in all, or one that has more."""
+    out, held, number = np.zeros(LETTERS + FOLD, np.int32), 0, 0
+    for char in sorted(sizes, key=lambda c: (-sizes[c], c)):
+        if held and held + sizes[char] > most:
+            held, number = 0, number + 1
+        out[char] = number
+        held += sizes[char]
+    return out
 
-    def measure(batches):
-        for b in batches:
-            ce = shared.value.cross_entropies(b.column("text").to_pylist())
-            yield pa.record_batch({"lang": b.column("lang"), "ce": pa.array(ce.tolist(), pa.list_(pa.float64()))})
 
-    seen = sample.mapInArrow(measure, "lang string, ce array<double>").collect()
-    ce, truth = np.array([r["ce"] for r in seen]).reshape(-1, len(languages)), np.array([languages.index(r["lang"]) for r in seen])
+def train(work: Scratch, rows: DataFrame, order: int = ORDER, cells: int = CELLS, calibration: int = CALIBRATION_ROWS) -> Model | None:
+    """Learn from rows (key, lang, text): counts over all but the calibration rows, scale and limits on those."""
+    held = rows.select("key").where(F.pmod("key", F.lit(FOLDS)) == 0).distinct().orderBy("key").limit(calibration)
+    held = work.table(held.withColumnRenamed("key", "key_"), "held")
+    counts = work.table(gather(rows.join(F.broadcast(held), F.col("key") == F.col("key_"), "left_anti").select("lang", "text"), order), "runs")
+    languages = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
+    if not languages:
+        return None
+    mask = (1 << int(BITS)) - 1
+    last = F.shiftright("run", int(BITS)).bitwiseAND(F.lit(mask)).cast("int")
+    by = counts.groupBy(last.alias("char")).agg(F.count("*").alias("runs")).collect()
+    shard_of = shards_for({r["char"]: r["runs"] for r in by}, cells // len(languages))
+    # Characters by the different ones that they follow: two small aggregates.
+    pairs = counts.select("lang", F.col("run").bitwiseAND(F.lit((1 << 2 * int(BITS)) - 1)).alias("pair")).distinct()
+    single = pairs.groupBy("lang", F.col("pair").bitwiseAND(F.lit(mask).cast("long")).alias("run")).agg(F.count("*").alias("n"))
+    single = _by_language(single.toArrow(), languages)
+    shards, table = [], work.spark.createDataFrame([(c, int(shard_of[c])) for c in {r["char"] for r in by}], "char int, shard int")
+    for k in range(int(shard_of.max()) + 1):
+        own = counts if not shard_of.any() else counts.join(F.broadcast(table.where(F.col("shard") == k)), last == F.col("char"))
+        shards.append(build(languages, _by_language(own.select("lang", "run", "n").toArrow(), languages), single, order))
+    work.drop(counts)
+    model = Model(languages, shards, shard_of)
+    sample = rows.join(F.broadcast(held), F.col("key") == F.col("key_")).where(F.col("lang").isin(languages))
+    seen = totals(sample.select("lang", "text"), model, ["lang"]).select("lang", "n", "totals").collect()
+    if not seen:
+        model.limits = np.full(len(languages), np.inf)
+        return model
+    ce = -np.array([r["totals"] for r in seen]) / np.maximum([r["n"] for r in seen], 1)[:, None]
+    truth = np.array([languages.index(r["lang"]) for r in seen])
     losses = []
     scales = 2.0 ** np.arange(-2, 7, 0.5)
     for s in scales:
@@ -246,33 +289,65 @@ def train(work: Scratch, rows: DataFrame, order: int = ORDER, cells: int = MAX_C
     return model
 
 
+def totals(rows: DataFrame, model: Model, keep: list[str]) -> DataFrame:
+    """`keep` columns with n (characters), lettered and totals (log-probabilities by language) of each row's text."""
+    spark = rows.sparkSession
+    part = "n long, lettered boolean, totals array<double>"
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema)
+
+    def read(number: int, columns: list[str]):
+        shard, shard_of = spark.sparkContext.broadcast(model.shards[number]), model.shard_of
+
+        def run(batches):
+            for b in batches:
+                texts = [t or "" for t in b.column("text").to_pylist()]
+                total = shard.value.totals(texts, number, shard_of)
+                n = pa.array([len(t.lower()) for t in texts], pa.int64())
+                new = [n, pa.array([any(map(str.isalpha, t)) for t in texts], pa.bool_()), pa.array(total.tolist(), pa.list_(pa.float64()))]
+                yield pa.record_batch([*(b.column(c) for c in columns), *new], [*columns, "n", "lettered", "totals"])
+
+        return run
+
+    if len(model.shards) == 1:
+        return rows.select(*keep, "text").mapInArrow(read(0, keep), f"{kept}, {part}")
+    # A reading for each shard, known by the text's hashes; copies of a text have equal parts, of which one counts.
+    text = F.coalesce("text", F.lit(""))
+    keyed = rows.select(*keep, F.xxhash64(text).alias("th__"), F.xxhash64(F.lit(7), text).alias("tk__"), "text")
+    parts = None
+    for k in range(len(model.shards)):
+        one = keyed.select("th__", "tk__", "text").mapInArrow(read(k, ["th__", "tk__"]), f"th__ long, tk__ long, {part}").withColumn("shard__", F.lit(k))
+        parts = one if parts is None else parts.union(one)
+    once = parts.groupBy("th__", "tk__", "shard__").agg(F.first("n").alias("n"), F.first("lettered").alias("lettered"), F.first("totals").alias("totals"))
+    sums = [F.sum(F.col("totals")[k]) for k in range(len(model.languages))]
+    whole = once.groupBy("th__", "tk__").agg(F.first("n").alias("n"), F.first("lettered").alias("lettered"), F.array(*sums).alias("totals"))
+    return keyed.drop("text").join(whole, ["th__", "tk__"]).select(*keep, "n", "lettered", "totals")
+
+
 def predict(documents: DataFrame, model: Model | None, keep: list[str], reject: bool = False) -> DataFrame:
     """`keep` columns with lang_pred, score, cross_entropy and rejected. With `reject`, rejected texts are `und`."""
-    names = [f.simpleString() for f in documents.select(*keep).schema]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.select(*keep).schema) + ", lang_pred string, score double, cross_entropy double, rejected boolean"
-    shared = documents.sparkSession.sparkContext.broadcast(model) if model else None
-    del names
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.select(*keep).schema)
+    if model is None:
+        none = [F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("cross_entropy"), F.lit(False).alias("rejected")]
+        return documents.select(*keep, *none)
+    languages, scale, limits = model.languages, model.scale, model.limits
 
     def run(batches):
         for b in batches:
-            texts = [t or "" for t in b.column("text").to_pylist()]
-            lettered = np.array([any(map(str.isalpha, t)) for t in texts], bool)
-            if shared is None or not len(texts):
-                pred, score, best, far = ["und"] * len(texts), [0.0] * len(texts), [None] * len(texts), [False] * len(texts)
-            else:
-                m = shared.value
-                ce = m.cross_entropies(texts)
-                at = ce.argmin(1)
-                z = np.exp(-m.scale * (ce - ce.min(1, keepdims=True)))
-                best = ce[np.arange(len(ce)), at]
-                far = lettered & (best > m.limits[at])
-                ok = lettered & ~far if reject else lettered
-                pred = [m.languages[a] if o else "und" for a, o in zip(at, ok, strict=True)]
-                score = np.where(lettered, 1 / z.sum(1), 0.0)
-            new = [pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(best, pa.float64()), pa.array(far, pa.bool_())]
+            if not b.num_rows:
+                continue
+            lettered = b.column("lettered").to_numpy(zero_copy_only=False)
+            total = b.column("totals").flatten().to_numpy().reshape(b.num_rows, -1)
+            ce = -total / np.maximum(b.column("n").to_numpy(), 1)[:, None]
+            at = ce.argmin(1)
+            z = np.exp(-scale * (ce - ce.min(1, keepdims=True)))
+            best = ce[np.arange(len(ce)), at]
+            far = lettered & (best > limits[at])
+            ok = lettered & ~far if reject else lettered
+            pred = [languages[a] if o else "und" for a, o in zip(at, ok, strict=True)]
+            new = [pa.array(pred, pa.string()), pa.array(np.where(lettered, 1 / z.sum(1), 0.0)), pa.array(best), pa.array(far)]
             yield pa.record_batch([*(b.column(c) for c in keep), *new], [*keep, "lang_pred", "score", "cross_entropy", "rejected"])
 
-    return documents.select(*keep, "text").mapInArrow(run, schema)
+    return totals(documents, model, keep).mapInArrow(run, kept + ", lang_pred string, score double, cross_entropy double, rejected boolean")
 
 
 def fold(doc_id: Column, n: int) -> Column:

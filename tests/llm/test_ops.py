@@ -350,10 +350,10 @@ def test_language_id(spark, edge, empty):
     got = language_id.predict(df.drop("lang"), model, ["doc_id"]).collect()
     assert np.mean([r["lang_pred"] == rows[r["doc_id"]][2] for r in got]) > 0.99
     # The probabilities of the characters that may follow a context add up to one, for each language.
-    t = model.tables[2]
+    t = model.shards[0].tables[2]
     for context in ("th", "qu"):
         every = np.array([(ord(context[0]) << 24) | (ord(context[1]) << 12) | c for c in range(language_id.LETTERS + language_id.FOLD)], np.uint64)
-        assert np.exp(model.log_probabilities(every, 3).astype(float)).sum(0) == pytest.approx([1, 1, 1], abs=1e-3)
+        assert np.exp(model.shards[0].log_probabilities(every, 3).astype(float)).sum(0) == pytest.approx([1, 1, 1], abs=1e-3)
     assert (np.diff(t.hashes.astype(object)) > 0).all()
     e = {r["doc_id"]: r for r in language_id.predict(edge, model, ["doc_id"]).collect()}
     assert {d for d, r in e.items() if r["lang_pred"] == "und"} == {0, 1, 2, 15}
@@ -364,6 +364,48 @@ def test_language_id(spark, edge, empty):
     assert nothing is None and language_id.predict(edge, None, ["doc_id"]).where("lang_pred <> 'und'").count() == 0
 
 
+def plain_kneser_ney(texts, order, discount):
+    """log p(character | context) by dicts, from the definition."""
+    counts = [Counter() for _ in range(order + 1)]
+    for t in texts:
+        t = "\0" * (order - 1) + t.lower()
+        counts[order].update(t[i - order + 1 : i + 1] for i in range(order - 1, len(t)))
+    for n in range(order - 1, 0, -1):
+        counts[n].update(r[1:] for r in counts[n + 1])
+    total, types = [Counter() for _ in range(order + 1)], [Counter() for _ in range(order + 1)]
+    for n in range(1, order + 1):
+        for r, c in counts[n].items():
+            total[n][r[:-1]] += c
+            types[n][r[:-1]] += 1
+
+    def p(run):
+        n = len(run)
+        if not n:
+            return 1 / (language_id.LETTERS + language_id.FOLD)
+        context = run[:-1]
+        if not total[n][context]:
+            return p(run[1:])
+        return max(counts[n][run] - discount, 0) / total[n][context] + discount * types[n][context] / total[n][context] * p(run[1:])
+
+    return lambda t: sum(np.log(p(("\0" * (order - 1) + t.lower())[i : i + order])) for i in range(len(t)))
+
+
+def test_against_plain_kneser_ney_in_one_shard_and_in_many(spark):
+    rnd = np.random.default_rng(17)
+    parts = {"aa": "abcde fgh", "bb": "hgf xyz abü"}
+    rows = [(i, "".join(rnd.choice(list(parts[g]), 90)), g) for i, g in enumerate(["aa", "bb"] * 40)]
+    df = spark.createDataFrame(rows, "key long, text string, lang string")
+    held = {i for i, *_ in rows if i % language_id.FOLDS == 0}
+    plain = {g: plain_kneser_ney([t for i, t, x in rows if x == g and i not in held], language_id.ORDER, language_id.DISCOUNT) for g in parts}
+    asked = spark.createDataFrame([(k, t) for k, t in enumerate([rows[3][1], rows[4][1], "Qux 字 abc", "", None, rows[3][1]])], "id int, text string")
+    for cells, many in ((1 << 23, 1), (900, 2)):
+        model = language_id.train(Scratch(spark, "t"), df, cells=cells)
+        assert len(model.shards) >= many and (many == 1) == (len(model.shards) == 1)
+        got = {r["id"]: r["totals"] for r in language_id.totals(asked, model, ["id"]).collect()}
+        for k, t in asked.collect():
+            assert got[k] == pytest.approx([plain[g](t or "") for g in ("aa", "bb")], rel=1e-4, abs=1e-3)
+
+
 def test_long_texts_are_cut_with_context(monkeypatch):
     text = "".join(chr(97 + i % 23) for i in range(1000))
     whole = language_id.runs([(0, "\0" * 4 + text)])[0]
