@@ -1,8 +1,10 @@
 """N-gram Jaccard join of documents by a MinHash LSH forest and exact verification.
 
-A signature has TREES labels of DEPTH minima; a tree is the trie of its labels. Documents that part below the whole label
-are met by shortening the matched prefixes, level by level, until documents of the wanted similarity share a prefix in some
-tree with the target recall. Prefix nodes are buckets; candidates are verified on whole texts (near.py).
+A signature has TREES labels of DEPTH minima; a tree is the trie of its labels, whose nodes are the groups of labels with
+one prefix. A document starts at the whole labels, where few others are, and goes up to shorter prefixes, one tree at a time and
+the one first that adds the fewest documents, until a document of the wanted similarity is met in some tree with the
+target recall. So where much is alike most prefixes stay long, and where a document is alone they are shortened at no cost.
+The nodes asked for are buckets; candidates are verified on whole texts (near.py).
 
 Texts with equal sets of shingles are one class and enter once, with their number of copies. A text of fewer than
 five words has one shingle of all of them; null and empty texts have none, are linked to nothing and stand alone.
@@ -32,6 +34,62 @@ def depth_for(recall: float, similarity: float, trees: int = TREES, depth: int =
     return depth
 
 
+def chosen_depths(sizes: np.ndarray, recall: float, similarity: float, depth: int = DEPTH) -> np.ndarray:
+    """The length of the prefix that each document (row) asks for in each tree (column).
+
+    sizes[:, :, k] are the documents below the node of a prefix of depth - k minima. All rows are shortened alike, step by step,
+    each in the tree where it meets the fewest more, as long as its recall is below the target.
+    """
+    miss = np.log(1 - similarity ** np.arange(depth + 1, dtype=float).clip(1))
+    rows, trees, levels = sizes.shape
+    up = np.zeros((rows, trees), np.int64)
+    more = np.diff(sizes.astype(np.float64), axis=2, append=np.inf)
+    while True:
+        open_ = np.flatnonzero((miss[depth - up].sum(1) > np.log(1 - recall)) & (up < levels - 1).any(1))
+        if not len(open_):
+            return depth - up
+        cost = np.take_along_axis(more[open_], up[open_][:, :, None], 2)[:, :, 0]
+        up[open_, cost.argmin(1)] += 1
+
+
+def forest(work: Scratch, classes: DataFrame, recall: float = RECALL, similarity: float = SIMILARITY) -> DataFrame:
+    """bucket and key: the nodes of the tries that documents ask for, and all documents below them."""
+    least = depth_for(recall, similarity)
+    node = lambda t, d: F.xxhash64(F.lit(t), F.lit(d), F.substring("sig", 4 * DEPTH * t + 1, 4 * d))
+    # From the shortest prefixes that may be needed, only those labels go on that share them with others.
+    label = [F.struct(F.lit(t).alias("tree"), *[node(t, d).alias(f"n{d}") for d in range(least, DEPTH + 1)]) for t in range(TREES)]
+    rows = classes.select("key", F.explode(F.array(*label)).alias("l")).select("key", "l.*")
+    size = lambda d, rows: rows.groupBy(f"n{d}").agg(F.count("*").alias(f"s{d}"))
+    shared = work.table(size(least, rows).where(f"s{least} > 1"), "nodes")
+    held = work.table(rows.join(shared, f"n{least}"), "held")
+    work.drop(shared)
+    for d in range(least + 1, DEPTH + 1):
+        one = work.table(size(d, held).where(f"s{d} > 1"), "nodes")
+        new = work.table(held.join(one, f"n{d}", "left").withColumn(f"s{d}", F.coalesce(f"s{d}", F.lit(1).cast("long"))), "held")
+        work.drop(one, held)
+        held = new
+    sizes = F.array(*[F.col(f"s{d}") for d in range(DEPTH, least - 1, -1)])
+    names = F.array(*[F.col(f"n{d}") for d in range(DEPTH, least - 1, -1)])
+    of = held.groupBy("key").agg(F.collect_list(F.struct("tree", sizes.alias("sizes"), names.alias("nodes"))).alias("trees"))  # TREES at most
+
+    def ask(batches):
+        for b in batches:
+            keys, trees = b.column("key").to_pylist(), b.column("trees").to_pylist()
+            all_ = np.ones((len(keys), TREES, DEPTH - least + 1), np.int64)
+            for k, row in enumerate(trees):
+                for x in row:
+                    all_[k, x["tree"]] = x["sizes"]
+            depths = chosen_depths(all_, recall, similarity)
+            out = [x["nodes"][DEPTH - depths[k, x["tree"]]] for k, row in enumerate(trees) for x in row if all_[k, x["tree"], DEPTH - depths[k, x["tree"]]] > 1]
+            yield pa.record_batch({"bucket": pa.array(out, pa.int64())})
+
+    asked = work.table(of.mapInArrow(ask, "bucket long").distinct(), "asked")
+    every = held.select("key", F.explode(names).alias("bucket"))
+    out = work.table(every.join(asked, "bucket"), "forest")
+    work.drop(held, asked)
+    return out
+
+
 def sketches(documents: DataFrame) -> DataFrame:
     """doc_id, th, key (of the set of shingles), n (shingles) and sig of every row."""
 
@@ -56,8 +114,7 @@ def jaccard_join(documents: DataFrame, similarity: float = SIMILARITY, recall: f
     rows = work.table(sketches(documents), "sketches")
     classes = rows.where("n > 0").groupBy("key").agg(F.min(F.struct("doc_id", "th")).alias("rep"), F.count("*").alias("copies"), F.first("sig").alias("sig"))
     classes = work.table(classes, "classes")
-    depth = depth_for(recall, similarity)
-    nodes = [F.xxhash64(F.lit(t), F.substring("sig", 4 * DEPTH * t + 1, 4 * depth)) for t in range(TREES)]
+    nodes = forest(work, classes, recall, similarity)
 
     def fetch(members: DataFrame) -> DataFrame:
         d = documents.select(F.col("doc_id").cast("long").alias("doc_"), text_hash().alias("th_"), as_bytes().alias("text"))
@@ -76,13 +133,14 @@ def jaccard_join(documents: DataFrame, similarity: float = SIMILARITY, recall: f
 
 
 def distinct_documents(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """One document of each class, with all its columns."""
-    kept = jaccard_join(documents, similarity).where("keep").select(F.col("doc_id").alias("doc_"), F.col("th").alias("th_")).distinct()
-    d = documents.withColumn("th__", text_hash())
-    out = d.join(kept.hint("merge"), (d["th__"] == F.col("th_")) & d["doc_id"].cast("long").eqNullSafe(F.col("doc_")))
+    """One document of each class, with all its columns. Empty texts are no copies of each other and all stay."""
+    kept = jaccard_join(documents, similarity).where("keep").select(F.col("doc_id").alias("__doc"), F.col("th").alias("__th")).distinct()
+    # The row travels as one struct, so that no column of it can clash with another.
+    d = documents.select(F.struct(*documents.columns).alias("__row"), text_hash().alias("__own"), F.col("doc_id").cast("long").alias("__id"))
+    out = d.join(kept.hint("merge"), (F.col("__own") == F.col("__th")) & F.col("__id").eqNullSafe(F.col("__doc")))
     empty = F.lit(text_hash(F.lit("")))
-    once = row_once(["th_", "doc_"])
-    return out.withColumn("once__", once).where((F.col("once__") == 1) | (F.col("th__") == empty)).select(*documents.columns)
+    out = out.withColumn("__once", row_once(["__th", "__doc"]))
+    return out.where((F.col("__once") == 1) | (F.col("__own") == empty)).select("__row.*")
 
 
 def op4_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:

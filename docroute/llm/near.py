@@ -131,17 +131,21 @@ def _verify(similarity: float):
     return run
 
 
+def in_buckets(items: DataFrame, buckets: list[Column]) -> DataFrame:
+    """bucket and key, for each of an item's buckets, which are longs from its signature."""
+    return items.select("key", F.explode(F.array(*buckets)).alias("bucket"))
+
+
 def near_classes(
-    work: Scratch, items: DataFrame, buckets: list[Column], words: int, fetch: Callable[[DataFrame], DataFrame], similarity: float = SIMILARITY, slack: float = 5.0
+    work: Scratch, items: DataFrame, spread: DataFrame, words: int, fetch: Callable[[DataFrame], DataFrame], similarity: float = SIMILARITY, slack: float = 5.0
 ) -> DataFrame:
     """(key, component, links) of the items that are linked to another.
 
-    items: key (binary), copies, sig (`words` minima of 32 bits) and what `fetch` needs. buckets: longs from sig.
+    items: key (binary), copies, sig (`words` minima of 32 bits) and what `fetch` needs. spread: bucket (long) and key, see in_buckets().
     fetch adds `text` (binary) to some items. Signatures must agree in the share `similarity` less `slack` standard
     deviations; a pair beyond that is lost with a probability far below that of missing all buckets.
     """
     least = int(np.ceil(words * similarity - slack * (words * similarity * (1 - similarity)) ** 0.5))
-    spread = items.select("key", F.explode(F.array(*buckets)).alias("bucket"))
     shared = work.table(spread.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1"), "shared")
     held = spread.join(shared.where("members > 1"), "bucket").select("bucket", "members", F.col("key").alias("key_"))
     signed = held.join(items.select("key", "sig"), F.col("key_") == F.col("key")).drop("key_")

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docroute.llm.common import SIMILARITY, Scratch, as_bytes, fixed, hash_words, minhashes, permutations, shingles_of, text_hash, with_texts, word_hashes
-from docroute.llm.near import class_keys, near_classes
+from docroute.llm.near import class_keys, in_buckets, near_classes
 
 MIN_WORDS = 20
 #: Words of the shortest passage that goes wherever it stands, and of the runs that bring its copies together.
@@ -198,7 +198,7 @@ def repeated(work: Scratch, documents: DataFrame, similarity: float = SIMILARITY
         m = members.groupBy(F.col("rep.doc_id").alias("doc_"), F.col("rep.th").alias("th_")).agg(F.collect_list(wanted).alias("places"))
         return with_texts(documents, work.table(m, "wanted").where("th_ is not null"), "key binary, component binary, size long, copies long, text binary", _lines)
 
-    near = work.table(near_classes(work, classes, buckets, bands * ROWS, fetch, similarity, 4.0), "near")
+    near = work.table(near_classes(work, classes, in_buckets(classes, buckets), bands * ROWS, fetch, similarity, 4.0), "near")
     linked = classes.select("key", "rep", "copies").join(near.where("links > 0"), "key")
     first = linked.groupBy("component").agg(F.min("rep").alias("first"))
     linked = linked.join(first, "component").select("key", "first")
@@ -279,13 +279,15 @@ def substring_dedup(documents: DataFrame, similarity: float = SIMILARITY, recall
 def without_repeats(documents: DataFrame) -> DataFrame:
     """The documents with their repeated passages cut; those of which no word is left are dropped."""
     work = Scratch(documents.sparkSession, "substrings-out")
-    cut_ = substring_dedup(documents).select(F.col("doc_id").alias("doc_"), F.col("th").alias("th_"), "kept").dropDuplicates(["doc_", "th_"])
+    cut_ = substring_dedup(documents).select(F.col("doc_id").alias("__doc"), F.col("th").alias("__th"), F.col("kept").alias("__kept")).dropDuplicates(["__doc", "__th"])
     cut_ = work.table(cut_, "cut")
-    d = documents.withColumn("th__", text_hash())
-    out = d.join(cut_.hint("merge"), (F.col("th__") == F.col("th_")) & d["doc_id"].cast("long").eqNullSafe(F.col("doc_")), "left")
-    out = out.where(F.col("kept").isNull() | F.col("kept").rlike(r"[^\x20\x09-\x0D]"))
-    text = F.coalesce("kept", "text")
-    return out.withColumns({"text": text, "n_chars": F.when(F.col("kept").isNull(), F.col("n_chars")).otherwise(F.length(text).cast("long"))}).select(*documents.columns)
+    # The row travels as one struct, so that no column of it can clash with another.
+    d = documents.select(F.struct(*documents.columns).alias("__row"), text_hash().alias("__own"), F.col("doc_id").cast("long").alias("__id"))
+    out = d.join(cut_.hint("merge"), (F.col("__own") == F.col("__th")) & F.col("__id").eqNullSafe(F.col("__doc")), "left")
+    out = out.where(F.col("__kept").isNull() | F.col("__kept").rlike(r"[^\x20\x09-\x0D]"))
+    new = {"text": F.col("__kept"), "n_chars": F.length("__kept").cast("long")}
+    pick = lambda c: F.when(F.col("__kept").isNull(), F.col("__row")[c]).otherwise(new[c]) if c in new else F.col("__row")[c]
+    return out.select(*[pick(c).alias(c) for c in documents.columns])
 
 
 def op7_substring_dedup(spark, sf_dir: str) -> DataFrame:

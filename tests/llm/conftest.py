@@ -37,7 +37,7 @@ def edge_rows():
 @pytest.fixture(scope="session")
 def edge(spark, edge_rows):
     df = spark.createDataFrame(edge_rows, SCHEMA)
-    clash = ("size", "key", "th", "component", "label", "score", "rank", "unit", "words", "copies", "sig", "place", "bucket", "first", "start", "length", "held_out", "places")
+    clash = ("size", "key", "th", "component", "label", "score", "rank", "unit", "words", "copies", "sig", "place", "bucket", "first", "start", "length", "held_out", "places", "kept", "doc_", "th_", "th__", "once__", "tk__", "bytes", "kind", "mark")
     return df.withColumns({c: F.lit("clash") for c in clash})
 
 

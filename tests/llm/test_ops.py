@@ -338,6 +338,34 @@ def test_depth_follows_recall():
     assert jaccard_join.depth_for(0.9999999, 0.5) == 1
 
 
+def test_prefixes_are_shortened_as_far_as_needed():
+    trees, depth = jaccard_join.TREES, jaccard_join.DEPTH
+    reached = lambda d: 1 - np.prod(1 - 0.8**d)
+    sizes = np.ones((3, trees, 3), np.int64)
+    sizes[1] = [2, 50, 900]  # crowded everywhere: no more is shortened than the recall asks for
+    sizes[2, :4] = [1, 7, 7]  # four trees with others, the rest alone
+    got = jaccard_join.chosen_depths(sizes, 0.999, 0.8)
+    assert all(reached(d) >= 0.999 for d in got)
+    assert reached(np.where(np.arange(trees) == got[1].argmin(), got[1] + 1, got[1])) < 0.999 and got[1].max() == depth
+    assert (got[2, :4] == depth).all()
+
+
+def test_recall_of_the_join(spark):
+    """Pairs about the threshold, against brute force."""
+    rnd = np.random.default_rng(41)
+    rows = []
+    for k in range(150):
+        base = [f"w{x}" for x in rnd.integers(0, 10**6, 120)]
+        other = list(base)
+        for i in rnd.choice(120, 1 + k % 4, replace=False):
+            other[i] = f"y{k}"
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(other))]
+    link, _ = brute_links(rows)
+    got = {r["doc_id"]: r["n_links"] for r in jaccard_join.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i] <= len(link[i]) for i in range(len(rows)))
+    assert sum(got.values()) >= 0.99 * sum(map(len, link)) > 150
+
+
 # ---- 6 language
 
 
