@@ -122,8 +122,8 @@ def jaccard_join(documents: DataFrame, similarity: float = SIMILARITY, recall: f
         return d.join(m.hint("merge"), (F.col("th_") == F.col("rep_th")) & F.col("doc_").eqNullSafe(F.col("rep_doc")))
 
     near = work.table(near_classes(work, classes, nodes, TREES * DEPTH, fetch, similarity), "near")
-    named = classes.drop("sig").join(near, "key", "left").withColumn("component", F.coalesce("component", "key"))
-    first = named.groupBy("component").agg(F.min("rep").alias("first"))
+    named = work.table(classes.drop("sig").join(near, "key", "left").withColumn("component", F.coalesce("component", "key")), "members")
+    first = work.table(named.groupBy("component").agg(F.min("rep").alias("first")), "first")
     named = work.table(named.join(first, "component").select("key", "first", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "named")
     out = rows.drop("sig", "n").join(named, "key", "left")
     alone = F.col("first").isNull()

@@ -151,13 +151,14 @@ def near_classes(
     signed = held.join(items.select("key", "sig"), F.col("key_") == F.col("key")).drop("key_")
     units = in_blocks(signed, "bucket", "key", "members", SIGNATURE_BLOCK).select("unit", "side", "same", "key", "sig")
     edges = work.table(by_unit(units).mapInArrow(_candidates(least, words), "a binary, b binary").distinct(), "candidates")
-    near = components(work, edges)
-    sizes = near.groupBy("component").agg(F.count("*").alias("size"))
-    members = work.table(near.withColumnRenamed("node", "key").join(sizes, "component").join(items.drop("sig"), "key"), "members")
+    # Sizes are written before they are joined: a join of two plain tables is one whose hot keys Spark can split.
+    near = work.table(components(work, edges).withColumnRenamed("node", "key"), "near")
+    sizes = work.table(near.groupBy("component").agg(F.count("*").alias("size")), "sizes")
+    members = work.table(near.join(sizes, "component").join(items.drop("sig"), "key"), "members")
     texts = fetch(members.where("size > 1"))
     units = in_blocks(texts, "component", "key", "size", TEXT_BLOCK).select("unit", "side", "same", "key", "copies", "text")
     found = work.table(by_unit(units).mapInArrow(_verify(similarity), "a binary, b binary, links long"), "links")
-    work.drop(shared, edges, members)
+    work.drop(shared, edges, near, sizes, members)
     linked = components(work, found)
     links = found.groupBy("a").agg(F.sum("links").alias("links"))
     return linked.join(links, F.col("node") == F.col("a")).select(F.col("node").alias("key"), "component", "links")

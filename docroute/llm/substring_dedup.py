@@ -199,8 +199,8 @@ def repeated(work: Scratch, documents: DataFrame, similarity: float = SIMILARITY
         return with_texts(documents, work.table(m, "wanted").where("th_ is not null"), "key binary, component binary, size long, copies long, text binary", _lines)
 
     near = work.table(near_classes(work, classes, in_buckets(classes, buckets), bands * ROWS, fetch, similarity, 4.0), "near")
-    linked = classes.select("key", "rep", "copies").join(near.where("links > 0"), "key")
-    first = linked.groupBy("component").agg(F.min("rep").alias("first"))
+    linked = work.table(classes.select("key", "rep", "copies").join(near.where("links > 0"), "key"), "linked")
+    first = work.table(linked.groupBy("component").agg(F.min("rep").alias("first")), "first")
     linked = linked.join(first, "component").select("key", "first")
     copied = classes.where("copies > 1").join(near, "key", "left_anti").select("key", F.col("rep").alias("first"))
     groups = work.table(linked.union(copied), "groups")
