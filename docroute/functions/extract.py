@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Letters that scans give for digits, and the words that mark an identifier's neighbourhood.
+#: Letters that scans give for digits, the words that mark an identifier's neighbourhood, and, here and in the
+#: functions below, the patterns of identifiers, which decide what is a candidate and so must not be changed.
 CONFUSED, MEANT = "OQDILZSGBT", "0001125687"
 CONTEXT_KEYWORDS = (
     "AWB", "AIR WAYBILL", "AIRWAY BILL", "AIRWAYBILL", "AIRWAY BILL NUMBER", "AIRWAYBILL NUMBER", "WAYBILL", "TRACKING", "TRACKING NUMBER", "SHIPMENT",
@@ -133,11 +134,11 @@ def label_candidates(text: Text) -> Column:
     return _some(F.concat(F.transform(found, norm_digits), airway_candidates(text)))
 
 
-def text_candidates(text: Text) -> Column:
-    """Everything on a page that may be an identifier."""
+def text_candidates(text: Text, aci: Column | None = None) -> Column:
+    """Everything on a page that may be an identifier. aci: its aci_candidates, if they are at hand."""
     loose = F.transform(_every(text, r"(?<!\d)400[\s\-:]{0,6}([0-9][0-9\-\s]{10,20})(?!\d)"), lambda x: F.when(F.trim(x).rlike(rf"^{STRICT}$"), digits(x)))
-    aci = F.transform(_every(text, r"(?i)(?<!\d)(?:A\s*[CGE6]\s*[I1L])[\D]{0,15}([0-9][0-9\-\s]{10,22})(?!\d)"), norm_digits)
-    return _some(F.concat(alnum_candidates(text), clean_candidates(text), loose, aci, aci_candidates(text)))
+    near_aci = F.transform(_every(text, r"(?i)(?<!\d)(?:A\s*[CGE6]\s*[I1L])[\D]{0,15}([0-9][0-9\-\s]{10,22})(?!\d)"), norm_digits)
+    return _some(F.concat(alnum_candidates(text), clean_candidates(text), loose, near_aci, aci_candidates(text) if aci is None else aci))
 
 
 def _windows(run: Column) -> Column:
@@ -162,16 +163,22 @@ def has_keyword(text: Column) -> Column:
 
 
 def keyword_adjacent(text: Text, candidates: Column) -> Column:
-    """Those candidates that stand within CONTEXT_CHARS of a keyword, or on a line next to a keyword's."""
+    """Those candidates that stand within CONTEXT_CHARS of a keyword, or on a line next to a keyword's.
+
+    The text is cut once at its numbers of twelve digits; of each number's surroundings, only what lies within reach is searched.
+    """
     s = _col(text)
     upper = F.upper(s)
-
-    def close(c: Column) -> Column:
-        starts = F.filter(F.sequence(F.lit(1), F.greatest(F.length(s) - 11, F.lit(1))), lambda i: (F.substring(s, i, F.lit(12)) == c) & ~F.substring(s, F.greatest(i - 1, F.lit(1)), (i > 1).cast("int")).rlike(r"\d") & ~F.substring(s, i + 12, F.lit(1)).rlike(r"\d"))
-        return F.exists(starts, lambda i: has_keyword(F.substring(upper, F.greatest(i - CONTEXT_CHARS, F.lit(1)), F.least(i - 1, F.lit(CONTEXT_CHARS)) + 12 + CONTEXT_CHARS)))
-
+    numbers, gaps = _every(s, TWELVE), F.split(upper, TWELVE, -1)
+    # Numbers have a gap of a character or more between them, so three numbers before or behind are all that may be in reach.
+    gap = lambda i: F.coalesce(F.get(gaps, i), F.lit(""))
+    number = lambda i: F.coalesce(F.get(numbers, i), F.lit(""))
+    before = lambda i: F.right(F.concat(*[x for k in (3, 2, 1) for x in (gap(i - k), number(i - k))], gap(i)), F.lit(CONTEXT_CHARS))
+    behind = lambda i: F.left(F.concat(gap(i + 1), *[x for k in (1, 2, 3) for x in (number(i + k), gap(i + k + 1))]), F.lit(CONTEXT_CHARS))
+    close = F.filter(numbers, lambda c, i: has_keyword(F.concat(before(i), c, behind(i))))
     around = F.flatten(F.transform(line_blocks(text, lambda x: has_keyword(F.upper(x)), 1, 1), lambda b: _every(b, TWELVE)))
-    return F.filter(candidates, lambda c: F.array_contains(around, c) | close(c))
+    none = F.array().cast("array<string>")
+    return F.when(s.rlike(TWELVE), F.array_intersect(candidates, F.concat(around, close))).otherwise(none)
 
 
 def near_keyword_candidates(text: Text, before: int = 1, after: int = 3) -> Column:

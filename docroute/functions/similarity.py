@@ -25,15 +25,29 @@ def ratio(a: str, b: str) -> float:
 
 
 def partial_ratio(a: str, b: str) -> float:
-    """The best ratio of the shorter text and a stretch of the longer one of its length, or shorter at the ends."""
+    """The best ratio of the shorter text and a stretch of the longer one of its length, or shorter at the ends.
+
+    Moving a stretch by one character changes the common length by one at most, so from each stretch it is known how many
+    of the next ones cannot be better than the best so far; these are skipped.
+    """
     short, long = sorted((a, b), key=len)
     if not short:
         return 100.0 if not long else 0.0
-    n, best = len(short), 0.0
-    for i in range(1 - n, len(long)):
-        best = max(best, ratio(short, long[max(i, 0) : i + n]))
+    n, m, best, i = len(short), len(long), 0.0, 1 - len(short)
+    while i < m:
+        part = long[max(i, 0) : i + n]
+        common, whole = common_length(short, part), n + len(part)
+        best = max(best, 200.0 * common / whole)
         if best == 100.0:
             break
+        if i < 0:  # stretches grow: the k-th next has a ratio of 200 (common + k) / (whole + k) at most
+            step, end = (best * whole - 200.0 * common) / (200.0 - best), 0
+        elif i + n <= m:  # whole stretches: 200 (common + k) / whole
+            step, end = (best * whole - 200.0 * common) / 200.0, m - n + 1
+        else:  # stretches shrink: 200 common / (whole - k)
+            step, end = (whole - 200.0 * common / best if best else m), m
+        # The first k that could be better; never past the end of such stretches, and a little early for rounding.
+        i = min(i + max(1, int(step - 1e-6) + (step > 1e-6)), max(end, i + 1))
     return best
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CAPACITY, COVER = 48, 1
 
@@ -11,22 +13,32 @@ CAPACITY, COVER = 48, 1
 def next_fit(groups: DataFrame, by: list[str], order: list[str], size: str, capacity: int = CAPACITY) -> DataFrame:
     """Add seq, batch_no and start_page: in order, a new batch opens when the next group does not fit.
 
-    The state (batch, pages used) is carried over one group's rows, which the caller keeps bounded by `by` (a tier
-    and a run); a group larger than a batch gets one of its own.
+    Rows of one `by` (a tier and a run) stand together in sorted partitions, and the state (batch, pages used) is carried
+    from row to row over Arrow batches, so a long run is a stream, never one array. A group larger than a batch gets one of its own.
     """
-    row = F.struct(*order, F.col(size).cast("long").alias("size_"))
-    first = F.struct(F.lit(1).cast("long").alias("batch"), F.lit(0).cast("long").alias("used"), F.lit(0).cast("long").alias("start"))
-
-    def step(acc: Column, x: Column) -> Column:
-        last = F.element_at(acc, -1)
-        opens = (last["used"] > 0) & (last["used"] + x["size_"] > capacity)
-        used = F.when(opens, F.lit(0).cast("long")).otherwise(last["used"])
-        return F.concat(acc, F.array(F.struct((last["batch"] + opens.cast("long")).alias("batch"), (used + x["size_"]).alias("used"), (used + 1).alias("start"))))
-
-    g = groups.groupBy(*by).agg(F.array_sort(F.collect_list(row)).alias("rows"))
-    g = g.withColumn("places", F.slice(F.aggregate("rows", F.array(first), step), 2, F.size("rows")))
-    g = g.select(*by, F.posexplode(F.arrays_zip("rows", "places")).alias("pos", "x"))
-    return g.select(*by, *[F.col(f"x.rows.{c}").alias(c) for c in order], F.col("x.rows.size_").alias(size), (F.col("pos") + 1).alias("seq"), F.col("x.places.batch").alias("batch_no"), F.col("x.places.start").alias("start_page"))
+    names = [*by, *order, size]
+    rows = groups.select(*by, *order, F.col(size).cast("long").alias(size))
+    schema = T.StructType([*rows.schema.fields, *(T.StructField(c, T.LongType()) for c in ("seq", "batch_no", "start_page"))])
+
+    def fold(batches):
+        last, seq, batch, used = None, 0, 1, 0
+        for b in batches:
+            keys = list(zip(*(b.column(c).to_pylist() for c in by), strict=True)) if by else [()] * b.num_rows
+            out = []
+            for key, n in zip(keys, b.column(size).to_pylist(), strict=True):
+                if seq == 0 or key != last:
+                    last, seq, batch, used = key, 0, 1, 0
+                n = n or 0
+                if used > 0 and used + n > capacity:
+                    batch, used = batch + 1, 0
+                seq += 1
+                out.append((seq, batch, used + 1))
+                used += n
+            columns = [pa.array(list(c), pa.int64()) for c in zip(*out, strict=True)] if out else [pa.array([], pa.int64())] * 3
+            yield pa.record_batch([*(b.column(c) for c in names), *columns], [*names, "seq", "batch_no", "start_page"])
+
+    placed = rows.repartition(*by) if by else rows.coalesce(1)
+    return placed.sortWithinPartitions(*by, *order).mapInArrow(fold, schema)
 
 
 def collision_name(df: DataFrame, stem: str, order: list[str], mark: str = "_") -> DataFrame:

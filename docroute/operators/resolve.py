@@ -18,9 +18,9 @@ def tiered_candidates(texts: DataFrame, keys: DataFrame, *ids: str) -> DataFrame
     """
     t = texts.select(
         *ids, "text",
-        F.array_distinct(F.concat(X.label_candidates("text"), X.aci_candidates("text"), X.carrier_candidates("text"))).alias("labelled"),
-        X.text_candidates("text").alias("plain"), X.windows_of_12("text").alias("windows"),
+        X.aci_candidates("text").alias("aci"), X.label_candidates("text").alias("label"), X.carrier_candidates("text").alias("carrier"), X.windows_of_12("text").alias("windows"),
     )
+    t = t.select(*ids, "text", "windows", F.array_distinct(F.concat("label", "aci", "carrier")).alias("labelled"), X.text_candidates("text", F.col("aci")).alias("plain"))
     t = t.withColumn("promoted", X.keyword_adjacent("text", F.array_union("plain", "windows")))
     c = t.select(*ids, "labelled", "plain", "promoted", F.explode(F.array_distinct(F.concat("labelled", "plain", "windows"))).alias("candidate"))
     has = lambda a: F.array_contains(a, F.col("candidate"))
@@ -39,18 +39,25 @@ def close_keys(candidates: DataFrame, keys: DataFrame, most: int = HIGH_DISTANCE
     """candidate, awb, distance of keys within `most` (2 at most) of each candidate.
 
     The pool is the keys that share the first or last four digits; only a candidate without any such key is compared
-    to all. Of three blocks of four digits, two errors leave one unhurt, so for the latter keys that share the middle
-    block are all there can be: an equi-join instead of a cross join.
+    to all. Of four blocks of three digits, two errors leave two unhurt: pairs meet by six of the twelve digits, at the
+    first two blocks that they share, in an equi-join of a million values and more. The ends that keys have are 20,000 at most.
     """
     if most > 2:
-        raise ValueError("three blocks find two errors at most")
-    block = lambda k: F.substring(k, F.col("b") * 4 + 1, F.lit(4))
-    cut = lambda df, c: df.select(F.col(c), F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("b")).withColumn("block", block(F.col(c)))
-    cands, known = cut(candidates.select("candidate").distinct(), "candidate"), cut(keys.select("awb").distinct(), "awb")
-    pooled = cands.where("b <> 1").join(known.where("b <> 1").select("b", "block").distinct(), ["b", "block"], "left_semi").select("candidate").distinct().withColumn("pooled", F.lit(True))
-    pairs = cands.join(known, ["b", "block"]).withColumn("distance", hamming(F.col("candidate"), F.col("awb"))).where(F.col("distance") <= most)
-    pairs = pairs.join(pooled, "candidate", "left").where((F.col("b") != 1) | F.col("pooled").isNull())
-    return pairs.select("candidate", "awb", "distance").distinct()
+        raise ValueError("four blocks find two errors at most")
+    two = [(i, j) for i in range(4) for j in range(i + 1, 4)]
+    block = lambda c, i: F.substring(c, 3 * i + 1, 3)
+    halves = lambda c: [F.concat(block(c, i), block(c, j)) for i, j in two]
+    cut = lambda df, c: df.select(c).distinct().select(c, F.posexplode(F.array(*halves(c))).alias("b", "block"))
+    pairs = cut(candidates, "candidate").join(cut(keys, "awb"), ["b", "block"])
+    first = F.lit(None).cast("int")
+    for k in reversed(range(len(two))):
+        first = F.when(halves("candidate")[k] == halves("awb")[k], F.lit(k)).otherwise(first)
+    pairs = pairs.where(F.col("b") == first).withColumn("distance", hamming(F.col("candidate"), F.col("awb"))).where(F.col("distance") <= most)
+    ends = lambda c: F.array(F.concat(F.lit("a"), F.substring(c, 1, 4)), F.concat(F.lit("z"), F.substring(c, 9, 4)))
+    known = F.broadcast(keys.select(F.explode(ends("awb")).alias("end")).distinct())
+    pooled = candidates.select("candidate").distinct().select("candidate", F.explode(ends("candidate")).alias("end")).join(known, "end", "left_semi").select("candidate").distinct()
+    pairs = pairs.join(pooled.withColumn("pooled", F.lit(True)), "candidate", "left")
+    return pairs.where(F.col("pooled").isNull() | F.arrays_overlap(ends("candidate"), ends("awb"))).select("candidate", "awb", "distance")
 
 
 def tolerance(candidates: DataFrame, close: DataFrame, most: int, *ids: str) -> DataFrame:
@@ -66,10 +73,9 @@ def tolerance(candidates: DataFrame, close: DataFrame, most: int, *ids: str) ->
 def prioritize(candidates: DataFrame, keys: DataFrame, *ids: str, include_tolerance: bool = True) -> DataFrame:
     """ids, status (matched, tie, none), awb, method, distance, hits, ties. candidates: ids, candidate, tier, known, hits.
 
-    Candidates are read several times and cost far more than they weigh, so they are kept; close keys are only looked for where
-    no exact match decides.
+    Candidates are read several times and cost far more than they weigh: pass a table that is written or persisted
+    (and is released by whoever did so). Close keys are only looked for where no exact match decides.
     """
-    candidates = candidates.persist()
     found = lambda tier: F.array_sort(F.collect_set(F.when(F.col("known") & (F.col("tier") == tier), F.col("candidate"))))
     per = candidates.groupBy(*ids).agg(found("High").alias("high"), found("Standard").alias("std"), F.countDistinct(F.when(F.col("tier") == "Standard", F.col("candidate"))).alias("n_std"))
     verdict = lambda ks, method, ok=None, d=None, h=None: [

@@ -34,21 +34,27 @@ def exact_pages(incoming: DataFrame, archive: DataFrame, by: str) -> DataFrame:
 
 
 def phash_pairs(left: DataFrame, right: DataFrame, most: int = PHASH_DISTANCE) -> DataFrame:
-    """left id a, right id b and distance of 64-bit hashes (columns id, h) that differ in at most `most` bits.
+    """left id a, right id b and distance of 64-bit hashes (columns id, h) that differ in at most `most` bits (11 at most).
 
-    most + 1 bands of bits: pairs within reach agree in one band at least, so bands join without loss; each pair is
-    taken at its first common band.
+    Of four bands of 16 bits one differs in two bits at most. Either side brings each band as it is and with each one bit turned
+    (17 keys), so bands two bits apart meet in the middle: the left side turns the lower bit, the right one the higher. A pair is
+    taken once, at its first near band. Equal hashes of a side are one row until the end.
     """
-    bands = most + 1
-    cut = [64 * k // bands for k in range(bands + 1)]
-    band = lambda h, k: F.shiftrightunsigned(h, cut[k]).bitwiseAND(F.lit((1 << (cut[k + 1] - cut[k])) - 1))
-    spread = lambda df, i, h: df.select(F.col("id").alias(i), F.col("h").alias(h), F.posexplode(F.array(*[band(F.col("h"), k) for k in range(bands)])).alias("band", "bits"))
-    p = spread(left, "a", "ha").join(spread(right, "b", "hb"), ["band", "bits"])
+    if most > 11:
+        raise ValueError("four bands find eleven bits at most")
+    band = lambda h, k: F.shiftrightunsigned(h, 16 * k).bitwiseAND(F.lit(0xFFFF))
+    keys = [(k, i, band(F.col("h"), k) if i < 0 else band(F.col("h"), k).bitwiseXOR(F.lit(1 << i))) for k in range(4) for i in range(-1, 16)]
+    key = F.explode(F.array(*[F.struct(F.lit(k).alias("band"), F.lit(i).alias("turned"), bits.alias("bits")) for k, i, bits in keys]))
+    spread = lambda df, h, turned: df.select("h").distinct().select(F.col("h").alias(h), key.alias("k")).select(h, F.col("k.band"), F.col("k.bits"), F.col("k.turned").alias(turned))
+    once = (F.col("tb") == -1) | ((F.col("ta") >= 0) & (F.col("ta") < F.col("tb")))
+    p = spread(left, "ha", "ta").join(spread(right, "hb", "tb"), ["band", "bits"]).where(once)
     distance = F.bit_count(F.col("ha").bitwiseXOR(F.col("hb")))
     first = F.lit(None).cast("int")
-    for k in reversed(range(bands)):
-        first = F.when(band(F.col("ha"), k) == band(F.col("hb"), k), F.lit(k)).otherwise(first)
-    return p.where((distance <= most) & (F.col("band") == first)).select("a", "b", distance.alias("distance"))
+    for k in reversed(range(4)):
+        first = F.when(F.bit_count(band(F.col("ha"), k).bitwiseXOR(band(F.col("hb"), k))) <= 2, F.lit(k)).otherwise(first)
+    p = p.where((distance <= most) & (F.col("band") == first)).select("ha", "hb", distance.alias("distance"))
+    p = p.join(left.select(F.col("id").alias("a"), F.col("h").alias("ha")), "ha").join(right.select(F.col("id").alias("b"), F.col("h").alias("hb")), "hb")
+    return p.select("a", "b", "distance")
 
 
 def prefilter(pairs: DataFrame) -> DataFrame:

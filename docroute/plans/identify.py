@@ -43,12 +43,12 @@ def _shown(df):
 
 
 def resolve_exact(spark, sf_dir):
-    c = _tiered(spark, sf_dir, "file_id").withColumn("hits", F.lit(1))
+    c = _tiered(spark, sf_dir, "file_id").withColumn("hits", F.lit(1)).persist()
     return _shown(R.prioritize(c, ref_keys(spark, sf_dir), "file_id", include_tolerance=False)).select("file_id", "status", "awb", "method", "ties")
 
 
 def resolve_full(spark, sf_dir):
-    c = _tiered(spark, sf_dir, "file_id").withColumn("hits", F.lit(1))
+    c = _tiered(spark, sf_dir, "file_id").withColumn("hits", F.lit(1)).persist()
     return _shown(R.prioritize(c, ref_keys(spark, sf_dir), "file_id")).select("file_id", "status", "awb", "method", "distance", "ties")
 
 
@@ -59,7 +59,7 @@ def close_keys(spark, sf_dir):
 def stage_cascade(spark, sf_dir):
     """Three texts of a document are its stages; the first that decides wins."""
     keys = ref_keys(spark, sf_dir)
-    pools = R.accumulate(_tiered(spark, sf_dir, "doc", "stage_seq"), "doc", "stage_seq")
+    pools = R.accumulate(_tiered(spark, sf_dir, "doc", "stage_seq"), "doc", "stage_seq").persist()
     return _shown(R.first_decisive(R.prioritize(pools, keys, "doc", "stage_seq"), "doc", "stage_seq")).select("doc", "status", "awb", "method", "stage", "ties")
 
 

@@ -51,9 +51,13 @@ def archive_prefilter(spark, sf_dir):
 
 
 def phash_near(spark, sf_dir):
-    """Pairs of sign-bit hashes of embeddings at distance 10 or less."""
+    """Pairs of hashes at distance 10 or less: sign bits of embeddings, every third one once more with 0 to 13 of its bits turned."""
     bits = F.aggregate(F.sequence(F.lit(1), F.lit(64)), F.lit(0).cast("long"), lambda h, i: F.shiftleft(h, 1).bitwiseOR((F.element_at("embedding", i) > 0).cast("long")))
     e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), bits.alias("h"))
+    # Turned bits stand five apart, from the second on.
+    mask = F.aggregate(F.sequence(F.lit(0), F.lit(12)), F.lit(0).cast("long"), lambda m, i: F.when(i < F.floor(F.col("id") / 3) % 14, m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), i * 5 + 1))).otherwise(m))
+    copies = F.array(F.struct(F.col("id").alias("id"), F.col("h").alias("h")), F.when(F.col("id") % 3 == 0, F.struct((-F.col("id") - 1).alias("id"), F.col("h").bitwiseXOR(mask).alias("h"))))
+    e = e.select(F.explode(copies).alias("x")).where("x is not null").select("x.id", "x.h")
     return R.phash_pairs(e, e).where("a < b")
 
 
@@ -100,7 +104,8 @@ ORACLES = {
  s AS (SELECT file_id, doc, coalesce(hits, 0) AS hits, round(2.5::DOUBLE * coalesce(hits, 0) + 0.5::DOUBLE * (1 - least(1.0::DOUBLE, abs(pages - doc_pages) / greatest(pages, 1)::DOUBLE)), 9) AS score FROM i JOIN a USING (awb) LEFT JOIN h USING (file_id, doc)),
  r AS (SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY score DESC, doc) AS rank, count(*) OVER (PARTITION BY file_id) AS n FROM s)
  SELECT file_id, doc, score, rank, n <= 3 OR hits > 0 OR rank <= 3 AS kept FROM r""",
-    "phash_near": """WITH e AS (SELECT vec_id, array_to_string(list_transform(embedding, lambda x: CASE WHEN x > 0 THEN '1' ELSE '0' END), '') AS h FROM embeddings)
+    "phash_near": """WITH s AS (SELECT vec_id, list_transform(embedding[1:64], lambda x: CASE WHEN x > 0 THEN '1' ELSE '0' END) AS l FROM embeddings),
+ e AS (SELECT vec_id, array_to_string(l, '') AS h FROM s UNION ALL SELECT -vec_id - 1, array_to_string(list_transform(l, lambda x, i: CASE WHEN (64 - i - 1) % 5 = 0 AND (64 - i - 1) >= 0 AND (64 - i - 1) // 5 < (vec_id // 3) % 14 THEN CASE x WHEN '1' THEN '0' ELSE '1' END ELSE x END), '') FROM s WHERE vec_id % 3 = 0)
  SELECT a.vec_id AS a, b.vec_id AS b, hamming(a.h, b.h) AS distance FROM e a JOIN e b ON a.vec_id < b.vec_id WHERE hamming(a.h, b.h) <= 10""",
     "routing_cases": f"""WITH l AS (SELECT DISTINCT l_partkey % 3 AS h, l_suppkey % 4 AS p, l_linenumber % 3 AS t, l_orderkey % 4 AS o, l_partkey % 5 AS rest FROM lineitem),
  d AS (SELECT h, p, t, o, h + p + t + o AS dup, h + p + t + o + rest AS total, {_CONF} AS confidence FROM l) SELECT *, {_ROUTE} AS route FROM d WHERE total > 0""",
