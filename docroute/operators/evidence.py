@@ -96,3 +96,17 @@ def confuse(key: Column, start: Column) -> Column:
 
 def grouped(token: Column, mark: Column) -> Column:
     return F.concat_ws("", F.substring(token, 1, 4), mark, F.substring(token, 5, 4), mark, F.substring(token, 9, 4))
+
+
+def diagnose(cases: DataFrame, candidates: DataFrame) -> DataFrame:
+    """file_id, n_high, n_std, in_high, in_std, known_high, known_std: where a case's expected key was seen, and how many candidates there were.
+
+    cases: file_id, expected; candidates: file_id, candidate, tier, known.
+    """
+    c = cases.join(candidates, "file_id", "left")
+    high, hit = F.col("tier") == "High", F.col("candidate") == F.col("expected")
+    some = lambda x: F.coalesce(F.bool_or(x), F.lit(False))
+    return c.groupBy("file_id").agg(
+        F.count_if(high).alias("n_high"), F.count_if(F.col("tier") == "Standard").alias("n_std"), some(hit & high).alias("in_high"), some(hit & ~high).alias("in_std"),
+        some(hit & high & F.col("known")).alias("known_high"), some(hit & ~high & F.col("known")).alias("known_std"),
+    )

@@ -105,3 +105,15 @@ def test_fresh_keys(spark, tmp_path):
     assert build(rows).count() == 1
     spark.createDataFrame([("2",)], "awb string").write.mode("append").parquet(str(tmp_path / "k"))
     assert build(rows).count() == 2
+
+
+def test_logs_grow_and_are_not_written_twice(spark, tmp_path):
+    from docroute.operators import audit
+
+    log = str(tmp_path / "log")
+    audit.append_rows(spark.createDataFrame([(1, "a")], "k int, x string"), log, "k")
+    audit.append_rows(spark.createDataFrame([(1, "again", 5), (2, "b", 6)], "k int, x string, n int"), log, "k")
+    assert sorted(map(tuple, audit.read_log(spark, log).select("k", "x", "n").collect())) == [(1, "a", None), (2, "b", 6)]
+    audit.append_json(spark.createDataFrame([("BATCH", "OK"), ("BATCH", None)], "stage string, status string"), str(tmp_path / "events"))
+    lines = sorted(x["value"] for x in spark.read.text(str(tmp_path / "events")).collect())
+    assert lines == ['{"stage":"BATCH","status":"OK"}', '{"stage":"BATCH"}']
