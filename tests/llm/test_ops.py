@@ -210,6 +210,58 @@ def test_quality_classifier(spark, edge, empty):
     assert all(r["selected"] == bool(words(r["text"])) for r in quality_classifier.score(edge.select("text"), None, ["text"]).collect())
 
 
+def _rows(x):
+    from docroute.llm.textmodel import Rows
+
+    row, ids = np.nonzero(x)
+    return Rows(len(x), row, ids.astype(np.int32), x[row, ids])
+
+
+def _slope(loss, at, h=1e-4):
+    """The largest finite difference of a plain loss around a point."""
+    return max(abs(loss(at + h * e) - loss(at - h * e)) / (2 * h) for e in np.eye(len(at)))
+
+
+@pytest.fixture
+def few_weights(monkeypatch):
+    from docroute.llm import textmodel
+
+    for module in (textmodel, toxicity, quality_classifier):
+        monkeypatch.setattr(module, "DIM", 8)
+
+
+def test_toxicity_fit_ends_where_a_plain_loss_is_flat(few_weights):
+    rnd = np.random.default_rng(51)
+    x = rnd.integers(0, 2, (80, 6)).astype(float)
+    y = (rnd.random(80) < 1 / (1 + np.exp(-(2 * x[:, 0] - 1.5 * x[:, 1])))).astype(float)
+    weight = rnd.random(80) + 0.5
+    a, z = x[:30], x[:30][:, [0, 1, 3, 2, 4, 5]]
+    w, b = toxicity.fit(_rows(x), y, weight, _rows(a), _rows(z), penalty=0.3, l1=0.0, rounds=4000)
+
+    def loss(v):
+        f, share = x @ v[:6] + v[6], weight / weight.sum()
+        return (share * (np.log1p(np.exp(f)) - y * f)).sum() + 0.3 * ((a @ v[:6] - z @ v[:6]) ** 2).mean()
+
+    assert _slope(loss, np.append(w[:6], b)) < 1e-3 and not w[6:].any()
+    assert _slope(loss, np.zeros(7)) > 1e-2
+
+
+def test_quality_fit_ends_where_a_plain_loss_is_flat(few_weights):
+    rnd = np.random.default_rng(52)
+    x = rnd.random((120, 5))
+    y = np.digitize(3 * x[:, 0] - 2 * x[:, 1] + rnd.logistic(size=120), [0.0, 1.0])
+    weight = rnd.random(120) + 0.5
+    w, cut = quality_classifier.fit(_rows(x), y, weight, grades=3, l1=0.0, rounds=6000)
+
+    def loss(v):
+        over = 1 / (1 + np.exp(-(x @ v[:5])[:, None] + v[5:]))
+        over = np.column_stack([np.ones(len(x)), over, np.zeros(len(x))])
+        p = over[np.arange(len(x)), y] - over[np.arange(len(x)), y + 1]
+        return -(weight / weight.sum() * np.log(p)).sum()
+
+    assert _slope(loss, np.append(w[:5], cut)) < 1e-3 and cut[0] < cut[1]
+
+
 # ---- 3 mixing
 
 
