@@ -136,22 +136,18 @@ def _stretches(batches):
         yield pa.record_batch([pa.array(list(c), k) for c, k in zip(columns, [pa.int64()] * 7 + [pa.binary()], strict=True)], names)
 
 
-def heads(texts: list[bytes], lengths: tuple[int, ...]) -> list[np.ndarray]:
-    """For each length, the ranks of all suffixes of all texts by their first so many bytes; equal heads, equal ranks.
+def heads(texts: list[bytes], lengths: tuple[int, ...], wanted: np.ndarray | None = None) -> list[np.ndarray]:
+    """For each length, the ranks of suffixes by their first so many bytes; equal heads, equal ranks.
 
-    Prefix doubling: suffixes are ranked by 7 bytes, then by twice as many, as two ranks make one. A head that is no power is
-    two heads that overlap. An end of a text comes before any byte.
+    Suffixes are the places in all texts one after the other, or the `wanted` ones of these. Prefix doubling: suffixes are ranked by
+    7 bytes, then by two or three times as many, as that many ranks make one number. A head of another length is two or three
+    heads that overlap. An end of a text comes before any byte.
     """
     data = np.frombuffer(b"".join(texts), np.uint8)
     size = np.fromiter(map(len, texts), np.int64, len(texts))
     left = np.repeat(np.cumsum(size), size) - np.arange(len(data))
-
-    def ahead(rank: np.ndarray, k: int) -> np.ndarray:
-        """The rank k bytes on, or 0 past the end."""
-        out = np.zeros(len(rank), np.uint64)
-        out[: len(rank) - k] = rank[k:]
-        out[left <= k] = 0
-        return out
+    bits = np.uint64(max(len(data).bit_length(), 1))
+    times = 3 if 3 * int(bits) <= 64 else 2
 
     def ranked(key: np.ndarray) -> np.ndarray:
         order = np.argsort(key)
@@ -160,36 +156,40 @@ def heads(texts: list[bytes], lengths: tuple[int, ...]) -> list[np.ndarray]:
         rank[order] = np.cumsum(np.append(True, own[1:] != own[:-1])) if len(key) else 0
         return rank
 
-    letter = data.astype(np.uint64) + np.uint64(1)
-    key = letter.copy()
-    for k in range(1, 7):
-        key = (key << np.uint64(9)) | ahead(letter, k)
-    rank, done, out = ranked(key), 7, {}
+    def joined(rank: np.ndarray, steps: list[int], width: np.uint64, at: np.ndarray | None = None) -> np.ndarray:
+        """The ranks so many bytes on, side by side in one number; 0 past the end."""
+        key = np.zeros(len(data) if at is None else len(at), np.uint64)
+        for k in steps:
+            if at is None:
+                own = np.zeros(len(data), np.uint64)
+                own[: max(len(data) - k, 0)] = rank[k:]
+                own[left <= k] = 0
+            else:
+                own = np.where(left[at] > k, rank[np.minimum(at + k, len(data) - 1)], np.uint64(0))
+            key = (key << width) | own
+        return key
+
+    rank, done, out = ranked(joined(data.astype(np.uint64) + np.uint64(1), list(range(7)), np.uint64(9))), 7, {}
     while True:
         for n in lengths:
-            if done <= n <= 2 * done and n not in out:
-                out[n] = rank if n == done else ranked((rank << np.uint64(32)) | ahead(rank, n - done))
+            if done <= n <= times * done and n not in out:
+                out[n] = ranked(joined(rank, sorted({*range(0, n - done, done), n - done}), bits, wanted))
         if len(out) == len(set(lengths)):
             return [out[n] for n in lengths]
-        rank, done = ranked((rank << np.uint64(32)) | ahead(rank, done)), 2 * done
+        rank, done = ranked(joined(rank, [done * k for k in range(times)], bits)), times * done
 
 
-def factors(texts: list[bytes], windows: np.ndarray, length: int, rank: np.ndarray, mode: str) -> tuple[np.ndarray, np.ndarray]:
-    """(text, place) of the suffixes that have a factor of `length` bytes elsewhere ("all") or at an earlier place ("later").
+def factors(left: np.ndarray, rank: np.ndarray, length: int, mode: str) -> np.ndarray:
+    """Which suffixes have a factor of `length` bytes elsewhere ("all") or at an earlier place ("later").
 
-    Only the first `windows` suffixes of each text count.
+    Suffixes are in order of place, with the bytes they have left and their ranks by heads of `length`.
     """
-    size = np.fromiter(map(len, texts), np.int64, len(texts))
-    many = np.minimum(windows, size - length + 1).clip(0)
-    owner = np.repeat(np.arange(len(texts)), many)
-    place = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
-    own = rank[(np.cumsum(size) - size)[owner] + place]
+    long = np.flatnonzero(left >= length)
+    own = rank[long]
     order = np.argsort(own, kind="stable")
     equal = own[order][1:] == own[order][:-1]
-    hit = np.zeros(len(own), bool)
-    previous, following = np.append(False, equal), np.append(equal, False)
-    hit[order] = previous[: len(own)] if mode == "later" else (previous | following)[: len(own)]
-    return owner[hit], place[hit]
+    previous, following = np.append(False, equal)[: len(own)], np.append(equal, False)[: len(own)]
+    return np.sort(long[order[previous if mode == "later" else previous | following]])
 
 
 RANGE = "doc_id long, th long, start long, stop long, length int"
@@ -202,9 +202,13 @@ def _compare(lengths: tuple[int, ...], mode: str):
         for t in whole_groups(batches, "anchor", 1000):
             texts = t.column("text").to_pylist()
             first = t.column("first").combine_chunks()
-            windows = t.column("last").to_numpy() - first.to_numpy() + 1
-            for n, rank in zip(lengths, heads(texts, lengths), strict=True):
-                owner, at = factors(texts, windows, n, rank, mode)
+            many = t.column("last").to_numpy() - first.to_numpy() + 1
+            size = np.fromiter(map(len, texts), np.int64, len(texts))
+            text = np.repeat(np.arange(len(texts)), many)
+            spot = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+            for n, rank in zip(lengths, heads(texts, lengths, (np.cumsum(size) - size)[text] + spot), strict=True):
+                hit = factors(size[text] - spot, rank, n, mode)
+                owner, at = text[hit], spot[hit]
                 begins = np.flatnonzero(np.append(True, (np.diff(at) != 1) | (np.diff(owner) != 0))) if len(at) else at
                 ends = np.append(begins[1:], len(at)) - 1
                 row, a, b = pa.array(owner[begins]), at[begins], at[ends] if len(at) else at

@@ -720,6 +720,10 @@ def test_heads_are_the_suffix_order():
     for n, rank in zip((7, 10, 28, 40), suffix_dedup.heads(texts, (7, 10, 28, 40)), strict=True):
         order = {h: k for k, h in enumerate(sorted({x[:n] for x in suffixes}), 1)}
         assert rank.tolist() == [order[x[:n]] for x in suffixes]
+    some = rnd.permutation(len(suffixes))[:90]
+    for n, rank in zip((7, 10, 28, 40), suffix_dedup.heads(texts, (7, 10, 28, 40), some), strict=True):
+        order = {h: k for k, h in enumerate(sorted({suffixes[x][:n] for x in some}), 1)}
+        assert rank.tolist() == [order[suffixes[x][:n]] for x in some]
 
 
 def test_suffix_edge_rows(edge, edge_rows, empty):
