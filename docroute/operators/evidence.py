@@ -110,3 +110,25 @@ def diagnose(cases: DataFrame, candidates: DataFrame) -> DataFrame:
         F.count_if(high).alias("n_high"), F.count_if(F.col("tier") == "Standard").alias("n_std"), some(hit & high).alias("in_high"), some(hit & ~high).alias("in_std"),
         some(hit & high & F.col("known")).alias("known_high"), some(hit & ~high & F.col("known")).alias("known_std"),
     )
+
+
+def synthetic_cases(keys: DataFrame, positives: int, negatives: int, seed: int) -> DataFrame:
+    """kind (forced, positive, negative), expected, text: cases for a key reader, the same for the same keys and seed.
+
+    Keys are picked by a seeded hash. Forced cases show each confusable digit once, in the first picked key that has it; positive
+    ones have one letter for a digit; negative ones are numbers that are no keys.
+    """
+    salt = F.lit(f"|{seed}")
+    order = F.md5(F.concat("awb", salt).cast("binary"))
+    picked = keys.select("awb", order.alias("o")).orderBy("o", "awb").limit(positives)
+    letter = {d: c for c, d in reversed(list(zip(CONFUSED, MEANT, strict=True)))}
+    digits = F.explode(F.array(*[F.struct(F.lit(d).alias("d"), F.lit(c).alias("c")) for d, c in sorted(letter.items())]))
+    each = picked.select("o", "awb", digits.alias("x")).where(F.contains("awb", F.col("x.d")))
+    forced = each.groupBy("x").agg(F.min(F.struct("o", "awb")).alias("k")).select(F.lit("forced").alias("kind"), F.col("k.awb").alias("expected"), "x")
+    at = F.instr(F.col("expected"), F.col("x.d"))
+    forced = forced.select("kind", "expected", F.concat(F.substring("expected", F.lit(1), at - 1), F.col("x.c"), F.substring("expected", at + 1, F.lit(12))).alias("token"))
+    changed = picked.select(F.lit("positive").alias("kind"), F.col("awb").alias("expected"), confuse(F.col("awb"), F.substring("awb", 11, 2).cast("int") % 12).alias("token"))
+    wrong = keys.sparkSession.range(negatives).select(F.substring(F.translate(F.md5(F.concat(F.lit("n"), F.col("id").cast("string"), salt).cast("binary")), "abcdef", "012345"), 1, 12).alias("token"))
+    wrong = wrong.join(keys.select(F.col("awb").alias("token")), "token", "left_anti").select(F.lit("negative").alias("kind"), F.lit(None).cast("string").alias("expected"), "token")
+    head = F.when(F.col("kind") == "negative", "Customer id ").otherwise("AWB NUMBER: ")
+    return forced.union(changed).union(wrong).select("kind", "expected", F.concat(head, "token").alias("text"))

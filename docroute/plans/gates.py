@@ -96,6 +96,11 @@ def case_diagnosis(spark, sf_dir):
     return E.diagnose(t.select("file_id", F.col("awb").alias("expected")), c)
 
 
+def synthetic_cases(spark, sf_dir):
+    """Forty positive and forty negative cases, and one for each confusable digit."""
+    return E.synthetic_cases(ref_keys(spark, sf_dir).select("awb"), 40, 40, 42)
+
+
 def _events(spark, sf_dir):
     k = F.col("event_id")
     e = table(spark, sf_dir, "events").select("ts", "event_id", F.col("user_id").cast("string").alias("awb"), F.concat(F.lit("f"), k.cast("string")).alias("file"), ((k % 1000) / 8.0).alias("secs"))
@@ -141,7 +146,7 @@ _LINES = [
     ("BATCH", 0, "BATCH_BUILT", "bb", "NULL"), ("BATCH", 1, "TIFF_CONVERTED", "bt", "NULL"), ("BATCH", 2, "TIFF_FAILED", "0", "NULL"),
 ]
 _FORM = "CASE WHEN o_orderkey % 7 {} THEN awb ELSE '' END"
-QUERIES = {f.__name__: f for f in (scan_gate, scan_window, text_choice, candidate_counts, probe_exit, page_outputs, archive_exists, context_forms, page_kinds, case_diagnosis, audit_rows, day_dashboard, print_copies)}
+QUERIES = {f.__name__: f for f in (scan_gate, scan_window, text_choice, candidate_counts, probe_exit, page_outputs, archive_exists, context_forms, page_kinds, case_diagnosis, synthetic_cases, audit_rows, day_dashboard, print_copies)}
 ORACLES = {
     "scan_gate": """WITH f AS (SELECT *, o_orderkey % 4 IN (0, 2) AND o_orderkey % 3 <> 0 AS cold FROM orders),
  r AS (SELECT *, (o_custkey % 2 = 0 OR cold) AND (o_orderkey % 5 = 0 OR (o_orderkey % 7 = 0 AND o_orderkey % 6 > 0)) AS run_scan FROM f)
@@ -162,6 +167,14 @@ ORACLES = {
  CASE WHEN o_orderkey % 5 IN (0, 1) THEN 'High' WHEN o_orderkey % 5 = 2 THEN 'Medium' ELSE 'Low' END AS batch_tier, CASE o_orderkey % 3 WHEN 0 THEN 'REJECTED' WHEN 1 THEN 'NEEDS-REVIEW' ELSE 'IN-PROGRESS' END AS status FROM ({REF_KEYS_SQL})""",
     "case_diagnosis": f"""WITH {_C} SELECT t.file_id, count(*) FILTER (WHERE tier = 'High') AS n_high, count(*) FILTER (WHERE tier = 'Standard') AS n_std, coalesce(bool_or(candidate = t.awb AND tier = 'High'), FALSE) AS in_high, coalesce(bool_or(candidate = t.awb AND tier = 'Standard'), FALSE) AS in_std,
  coalesce(bool_or(candidate = t.awb AND tier = 'High' AND known), FALSE) AS known_high, coalesce(bool_or(candidate = t.awb AND tier = 'Standard' AND known), FALSE) AS known_std FROM t LEFT JOIN cands USING (file_id) GROUP BY t.file_id""",
+    "synthetic_cases": f"""WITH keys AS ({REF_KEYS_SQL}), k AS (SELECT awb, md5(concat(awb, '|42')) AS o FROM keys ORDER BY o, awb LIMIT 40),
+ d AS (SELECT unnest(['0', '1', '2', '5', '6', '7', '8']) AS d, unnest(['O', 'I', 'Z', 'S', 'G', 'T', 'B']) AS c),
+ f AS (SELECT d, c, arg_min(awb, o) AS awb FROM d JOIN k ON contains(awb, d) GROUP BY d, c),
+ p AS (SELECT awb, list_filter(list_transform(range(0, 12), lambda i: (i + substring(awb, 11, 2)::INT % 12) % 12 + 1), lambda q: contains('0125678', substring(awb, q, 1)))[1] AS q FROM k),
+ n AS (SELECT substring(translate(md5(concat('n', i, '|42')), 'abcdef', '012345'), 1, 12) AS token FROM range(40) r(i))
+ SELECT 'forced' AS kind, awb AS expected, concat('AWB NUMBER: ', substring(awb, 1, instr(awb, d) - 1), c, substring(awb, instr(awb, d) + 1)) AS text FROM f
+ UNION ALL SELECT 'positive', awb, concat('AWB NUMBER: ', CASE WHEN q IS NULL THEN awb ELSE concat(substring(awb, 1, q - 1), translate(substring(awb, q, 1), '0125678', 'OIZSGTB'), substring(awb, q + 1)) END) FROM p
+ UNION ALL SELECT 'negative', NULL, concat('Customer id ', token) FROM n WHERE token NOT IN (SELECT awb FROM keys)""",
     "audit_rows": f"WITH {_HOT} SELECT file, method, tier, secs, result, verdict, ratio FROM h",
     "day_dashboard": _DASH + " UNION ALL ".join(f"SELECT '{s}' AS section, {k} AS line, '{label}' AS label, ({value})::VARCHAR AS value, {note} AS note FROM a" for s, k, label, value, note in _LINES),
     "print_copies": """SELECT concat('B', p_partkey, '.pdf') AS file, CASE WHEN p_partkey % 9 = 0 THEN NULL WHEN p_partkey % 3 <> 0 THEN concat('B', p_partkey, '.pdf') WHEN p_partkey % 6 = 0 OR p_partkey % 5 = 0 THEN concat('B', p_partkey, '_v3.pdf') ELSE concat('B', p_partkey, '_v2.pdf') END AS copy,
