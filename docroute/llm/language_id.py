@@ -9,8 +9,9 @@ a sixteenth of them, CALIBRATION_ROWS at most.
 
 No run is left out. All that is needed for a character is found by the character before it: its runs and contexts of two
 characters or more end there. So the arrays are cut into shards by that character, each of CELLS cells at most (or
-one character's), which are built one after the other. A model of several shards scores a text in as many readings, each with
-one shard in memory, and the parts are added up in Spark.
+one character's). The counts stay a written table from which a shard is built when it is needed, so the driver and a task
+hold one shard at a time, whatever the corpus. A model of several shards scores a text in as many readings, and the parts are
+added up in Spark.
 
 Null texts and texts without a letter are `und` with score 0. Repeated rows count as often as they stand; null languages
 teach nothing; other columns are not read. Without learning rows every text is `und`.
@@ -18,6 +19,7 @@ teach nothing; other columns are not read. Without learning rows every text is `
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -184,13 +186,21 @@ class Shard:
 
 @dataclass
 class Model:
-    """Shards by the last but one character of a run."""
+    """Shards by the last but one character of a run; `make` builds one of them, and the last one built is kept."""
 
     languages: list[str]
-    shards: list[Shard]
+    make: Callable[[int], Shard]
+    count: int
     shard_of: np.ndarray
     scale: float = 1.0
     limits: np.ndarray | None = None
+    last: tuple[int, Shard] | None = None
+
+    def shard(self, number: int) -> Shard:
+        if self.last is None or self.last[0] != number:
+            self.last = None
+            self.last = number, self.make(number)
+        return self.last[1]
 
 
 def before(key: np.ndarray) -> np.ndarray:
@@ -264,12 +274,13 @@ def train(work: Scratch, rows: DataFrame, order: int = ORDER, cells: int = CELLS
     pairs = counts.select("lang", F.col("run").bitwiseAND(F.lit((1 << 2 * int(BITS)) - 1)).alias("pair")).distinct()
     single = pairs.groupBy("lang", F.col("pair").bitwiseAND(F.lit(mask).cast("long")).alias("run")).agg(F.count("*").alias("n"))
     single = _by_language(single.toArrow(), languages)
-    shards, table = [], work.spark.createDataFrame([(c, int(shard_of[c])) for c in {r["char"] for r in by}], "char int, shard int")
-    for k in range(int(shard_of.max()) + 1):
-        own = counts if not shard_of.any() else counts.join(F.broadcast(table.where(F.col("shard") == k)), last == F.col("char"))
-        shards.append(build(languages, _by_language(own.select("lang", "run", "n").toArrow(), languages), single, order))
-    work.drop(counts)
-    model = Model(languages, shards, shard_of)
+    table = work.spark.createDataFrame([(c, int(shard_of[c])) for c in {r["char"] for r in by}], "char int, shard int")
+
+    def make(number: int) -> Shard:
+        own = counts if not shard_of.any() else counts.join(F.broadcast(table.where(F.col("shard") == number)), last == F.col("char"))
+        return build(languages, _by_language(own.select("lang", "run", "n").toArrow(), languages), single, order)
+
+    model = Model(languages, make, int(shard_of.max()) + 1, shard_of)
     sample = rows.join(F.broadcast(held), F.col("key") == F.col("key_")).where(F.col("lang").isin(languages))
     seen = totals(sample.select("lang", "text"), model, ["lang"]).select("lang", "n", "totals").collect()
     if not seen:
@@ -295,8 +306,8 @@ def totals(rows: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     part = "n long, lettered boolean, totals array<double>"
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema)
 
-    def read(number: int, columns: list[str]):
-        shard, shard_of = spark.sparkContext.broadcast(model.shards[number]), model.shard_of
+    def read(number: int, columns: list[str], shard):
+        shard_of = model.shard_of
 
         def run(batches):
             for b in batches:
@@ -308,14 +319,18 @@ def totals(rows: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 
         return run
 
-    if len(model.shards) == 1:
-        return rows.select(*keep, "text").mapInArrow(read(0, keep), f"{kept}, {part}")
+    share = lambda number: spark.sparkContext.broadcast(model.shard(number))
+    if model.count == 1:
+        return rows.select(*keep, "text").mapInArrow(read(0, keep, share(0)), f"{kept}, {part}")
     # A reading for each shard, known by the text's hashes; copies of a text have equal parts, of which one counts.
     text = F.coalesce("text", F.lit(""))
     keyed = rows.select(*keep, F.xxhash64(text).alias("th__"), F.xxhash64(F.lit(7), text).alias("tk__"), "text")
-    parts = None
-    for k in range(len(model.shards)):
-        one = keyed.select("th__", "tk__", "text").mapInArrow(read(k, ["th__", "tk__"]), f"th__ long, tk__ long, {part}").withColumn("shard__", F.lit(k))
+    parts, work = None, Scratch(spark, "language-parts")
+    for k in range(model.count):
+        shard = share(k)
+        one = keyed.select("th__", "tk__", "text").mapInArrow(read(k, ["th__", "tk__"], shard), f"th__ long, tk__ long, {part}").withColumn("shard__", F.lit(k))
+        one = work.table(one, "part")
+        shard.destroy()
         parts = one if parts is None else parts.union(one)
     once = parts.groupBy("th__", "tk__", "shard__").agg(F.first("n").alias("n"), F.first("lettered").alias("lettered"), F.first("totals").alias("totals"))
     sums = [F.sum(F.col("totals")[k]) for k in range(len(model.languages))]

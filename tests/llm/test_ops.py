@@ -430,10 +430,10 @@ def test_language_id(spark, edge, empty):
     got = language_id.predict(df.drop("lang"), model, ["doc_id"]).collect()
     assert np.mean([r["lang_pred"] == rows[r["doc_id"]][2] for r in got]) > 0.99
     # The probabilities of the characters that may follow a context add up to one, for each language.
-    t = model.shards[0].tables[2]
+    t = model.shard(0).tables[2]
     for context in ("th", "qu"):
         every = np.array([(ord(context[0]) << 24) | (ord(context[1]) << 12) | c for c in range(language_id.LETTERS + language_id.FOLD)], np.uint64)
-        assert np.exp(model.shards[0].log_probabilities(every, 3).astype(float)).sum(0) == pytest.approx([1, 1, 1], abs=1e-3)
+        assert np.exp(model.shard(0).log_probabilities(every, 3).astype(float)).sum(0) == pytest.approx([1, 1, 1], abs=1e-3)
     assert (np.diff(t.hashes.astype(object)) > 0).all()
     e = {r["doc_id"]: r for r in language_id.predict(edge, model, ["doc_id"]).collect()}
     assert {d for d, r in e.items() if r["lang_pred"] == "und"} == {0, 1, 2, 15}
@@ -480,7 +480,7 @@ def test_against_plain_kneser_ney_in_one_shard_and_in_many(spark):
     asked = spark.createDataFrame([(k, t) for k, t in enumerate([rows[3][1], rows[4][1], "Qux 字 abc", "", None, rows[3][1]])], "id int, text string")
     for cells, many in ((1 << 23, 1), (900, 2)):
         model = language_id.train(Scratch(spark, "t"), df, cells=cells)
-        assert len(model.shards) >= many and (many == 1) == (len(model.shards) == 1)
+        assert model.count >= many and (many == 1) == (model.count == 1)
         got = {r["id"]: r["totals"] for r in language_id.totals(asked, model, ["id"]).collect()}
         for k, t in asked.collect():
             assert got[k] == pytest.approx([plain[g](t or "") for g in ("aa", "bb")], rel=1e-4, abs=1e-3)
