@@ -35,6 +35,8 @@ from docroute.llm.near import class_keys, in_buckets, near_classes
 MIN_WORDS = 20
 #: Words of the shortest passage that goes wherever it stands, and of the runs that bring its copies together.
 PASSAGE, GRAM = 50, 8
+#: One window in so many is looked up first.
+PROBE = 8
 RECALL = 0.997
 ROWS = 2
 SEED = 7
@@ -120,20 +122,48 @@ def units(documents: DataFrame, bands: int, rows: int = ROWS) -> DataFrame:
     return d.mapInArrow(run, UNIT)
 
 
+WINDOWS = "doc_id long, th long, mark long, piece long, windows array<bigint>"
+
+
 def _windows(batches):
-    """Band and hash of the windows of wanted stretches."""
+    """Hashes of the windows of wanted stretches, in pieces of at most PASSAGE windows: the first one's place, and all hashes in a row."""
     memo = word_hashes()
     for b in batches:
-        parts = []
+        rows, marks, starts, sizes, hashes = [], [], [], [], []
         for k, (text, places) in enumerate(zip(b.column("text").to_pylist(), b.column("places").to_pylist(), strict=True)):
             own = shingles_of(*hash_words([text.split()], memo), PASSAGE)[0]
-            n = np.array([p["n"] for p in places])
-            at = np.repeat(np.array([p["first"] for p in places]) - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            parts.append((np.full(len(at), k), at, np.repeat(np.array([p["mark"] for p in places]), n), own[at].view(np.int64)))
-        if parts:
-            row, at, mark, own = (np.concatenate(x) for x in zip(*parts, strict=True))
-            row = pa.array(row)
-            yield pa.record_batch([b.column("doc_id").take(row), b.column("th").take(row), pa.array(at.astype(np.int64)), pa.array(mark), pa.array(own)], ["doc_id", "th", "first", "mark", "window"])
+            for p in places:
+                for at in range(p["first"], p["first"] + p["n"], PASSAGE):
+                    size = min(PASSAGE, p["first"] + p["n"] - at)
+                    rows.append(k), marks.append(p["mark"]), starts.append(at), sizes.append(size), hashes.append(own[at : at + size])
+        if rows:
+            lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), pa.array(np.concatenate(hashes).view(np.int64)))
+            row = pa.array(rows)
+            yield pa.record_batch([b.column("doc_id").take(row), b.column("th").take(row), pa.array(marks, pa.int64()), pa.array(starts, pa.int64()), lists], ["doc_id", "th", "mark", "piece", "windows"])
+
+
+def repeated_windows(work: Scratch, seen: DataFrame) -> DataFrame:
+    """doc_id, th, first and words of the windows that stand in an earlier document; `seen` are pieces.
+
+    Two windows of a piece overlap or touch, so all words between two that repeat go. Every PROBE-th window and the last one of a
+    piece are looked up first; what lies between those that repeat needs no look-up of its own. All others get one.
+    """
+    doc, i = F.struct("doc_id", "th"), F.col("i")
+    single = lambda rows: rows.select("doc_id", "th", "mark", "piece", *rows.columns[5:], F.size("windows").alias("size"), F.posexplode("windows").alias("i", "window"))
+    probe = (i % PROBE == 0) | (i == F.col("size") - 1)
+    heads = single(seen).groupBy("mark", "window").agg(F.min(doc).alias("head"), F.max(doc).alias("z")).where(~F.col("head").eqNullSafe(F.col("z")))
+    heads = work.table(heads.select("mark", "window", "head"), "heads")
+    later = lambda rows: rows.join(heads, ["mark", "window"]).where(doc > F.col("head"))
+    met = later(single(seen).where(probe)).groupBy("doc_id", "th", "piece").agg(F.min("i").alias("low"), F.max("i").alias("high"))
+    met = work.table(met, "met")
+    ends = met.select(F.col("doc_id").alias("doc_"), F.col("th").alias("th_"), F.col("piece").alias("piece_"), "low", "high")
+    known = seen.join(ends, (F.col("th") == F.col("th_")) & (F.col("piece") == F.col("piece_")) & F.col("doc_id").eqNullSafe(F.col("doc_")), "left")
+    known = known.select("doc_id", "th", "mark", "piece", "windows", "low", "high")
+    rest = later(single(known).where(~probe & (F.col("low").isNull() | (i < F.col("low")) | (i > F.col("high")))))
+    spans = met.select("doc_id", "th", (F.col("piece") + F.col("low")).alias("first"), (F.col("high") - F.col("low") + PASSAGE).alias("words"))
+    out = work.table(spans.union(rest.select("doc_id", "th", F.col("piece") + i, F.lit(PASSAGE))), "parts")
+    work.drop(heads, met)
+    return out
 
 
 def shared_passages(work: Scratch, documents: DataFrame, found: DataFrame, gone: DataFrame, copies: DataFrame) -> DataFrame:
@@ -157,13 +187,10 @@ def shared_passages(work: Scratch, documents: DataFrame, found: DataFrame, gone:
     mixed = work.table(kinds.groupBy("mark").agg(F.count("*").alias("classes")).where("classes > 1").select("mark"), "mixed")
     places = kinds.join(mixed, "mark").groupBy(F.col("least.doc_id").alias("doc_"), F.col("least.th").alias("th_")).agg(F.collect_list(F.struct("mark", "least.first", "n")).alias("places"))
     places = work.table(places, "places")
-    seen = with_texts(documents, places.where("th_ is not null"), "doc_id long, th long, first long, mark long, window long", _windows)
-    seen = work.table(seen, "windows")
-    heads = seen.groupBy("mark", "window").agg(F.min(doc).alias("a"), F.max(doc).alias("z")).where(~F.col("a").eqNullSafe(F.col("z")))
-    heads = work.table(heads.select("mark", "window", F.col("a").alias("head")), "heads")
-    parts = seen.join(heads, ["mark", "window"]).where(doc > F.col("head")).select("doc_id", "th", "first", F.lit(PASSAGE).alias("words"))
+    seen = work.table(with_texts(documents, places.where("th_ is not null"), WINDOWS, _windows), "windows")
+    parts = repeated_windows(work, seen)
     out = work.table(later.union(parts), "passages")
-    work.drop(again, left, kinds, mixed, places, seen, heads)
+    work.drop(again, left, kinds, mixed, places, seen, parts)
     return out
 
 

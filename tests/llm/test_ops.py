@@ -559,6 +559,21 @@ def test_passages_against_all_windows(spark):
     assert {k: got.get(k, t).split() for k, t in rows} == want
 
 
+def test_long_stretches_against_all_windows(spark):
+    """Texts of few words, whose stretches hold more windows than a piece does, and shared parts that are not in a row."""
+    rnd = np.random.default_rng(24)
+    some = lambda n: [f"u{x}" for x in rnd.integers(0, 10**6, n)]
+    round_ = some(9)
+    left, right = some(30), some(30)
+    core = some(22)
+    rows = [(k, some(5) + (round_ * 60)[int(rnd.integers(0, 9)) : int(rnd.integers(60, 500))] + some(int(rnd.integers(0, 9)))) for k in range(12)]
+    rows += [(20, some(8) + left + core + some(8)), (21, some(8) + core + right + some(8)), (22, some(3) + left + core + right + some(3))]
+    rows += [(30 + k, some(6) + left[int(rnd.integers(0, 30)) :] + core + right[: int(rnd.integers(0, 30))] + some(6)) for k in range(30)]
+    rows = [(k, "\n".join(" ".join(w[i : i + 11]) for i in range(0, len(w), 11))) for k, w in rows]
+    got = {r["doc_id"]: r["kept"] for r in substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {k: got.get(k, t).split() for k, t in rows} == plain_passages(rows)
+
+
 def test_wrapped_passages_are_cut_in_full(spark):
     """Passages in lines of under 20 words, and ones that enter or leave a line in the middle."""
     rnd = np.random.default_rng(21)
