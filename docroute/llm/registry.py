@@ -1,5 +1,7 @@
 """The queries of this folder by name."""
 
+from docroute.llm.chat_format import ORACLE as _op11
+from docroute.llm.chat_format import op11_chat_formatting
 from docroute.llm.jaccard_join import ORACLE as _op4
 from docroute.llm.jaccard_join import op4_ngram_jaccard_join
 from docroute.llm.language_id import op6_language_id
@@ -16,6 +18,7 @@ from docroute.llm.toxicity import op2_toxicity
 _ALL = (
     op1_media_columns, op2_toxicity, op3_source_mixing, op4_ngram_jaccard_join, op5_quality_classifier,
     op6_language_id, op7_substring_dedup, op8_best_fit_packing, op9_suffix_array_dedup, op10_quality_rules,
+    op11_chat_formatting,
 )
 QUERIES = {f.__name__: f for f in _ALL}
-ORACLES = {"op4_ngram_jaccard_join": _op4, "op10_quality_rules": _op10}
+ORACLES = {"op4_ngram_jaccard_join": _op4, "op10_quality_rules": _op10, "op11_chat_formatting": _op11}
