@@ -53,9 +53,9 @@ class Scratch:
         prepare(spark)
         self.spark, self.base = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
-    def table(self, df: DataFrame, name: str) -> DataFrame:
+    def table(self, df: DataFrame, name: str, **options: str) -> DataFrame:
         path = f"{self.base}/{name}-{uuid.uuid4().hex[:8]}"
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out.scratch_path = path
         return out
