@@ -308,15 +308,17 @@ def phrases(work: Scratch, documents: DataFrame, least: int = LEAST, shard: int
     kept = work.table(bitmaps.join(named, "shard").mapInArrow(_pairs, KEPT), "pairs", compression="zstd")
     work.drop(made)
     seen = kept.where("n is not null").select("shard", "a", "b", "n")
-    two = work.table(seen.groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "two")
-    again = seen.select("shard", "a", "b").join(two.select("a", "b"), ["a", "b"])
-    again = again.groupBy("shard").agg(F.collect_list(F.struct("a", "b")).alias("x")).select("shard", F.col("x.a").alias("firsts"), F.col("x.b").alias("seconds"))
+    # A pair has one row for each shard that holds it at most, and its sum stands beside each, so rows need not meet their sums again.
+    whole = seen.withColumn("n", F.sum("n").over(Window.partitionBy("a", "b"))).where(F.col("n") >= least)
+    whole = work.table(whole, "frequent", compression="zstd")
+    two = whole.groupBy("a", "b").agg(F.first("n").alias("n"))
+    again = whole.groupBy("shard").agg(F.collect_list(F.struct("a", "b")).alias("x")).select("shard", F.col("x.a").alias("firsts"), F.col("x.b").alias("seconds"))
     bitmaps = kept.where("n is null").select("shard", "own", "ids", "sizes", "blocks", "codes", "rest")
     more = bitmaps.join(again, "shard").mapInArrow(_longer, LONGER).groupBy("a", "b", "c", "d").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     none = lambda c: F.lit(-1).cast("long").alias(c)
     one = common.select(F.col("id").alias("a"), none("b"), none("c"), none("d"), "n")
     out = work.table(one.union(two.select("a", "b", none("c"), none("d"), "n")).union(more), "phrases")
-    work.drop(kept, two)
+    work.drop(kept, whole)
     return common, out, totals
 
 
