@@ -24,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docroute.llm.common import Scratch, group_starts, mix
@@ -258,11 +258,22 @@ def shards_for(sizes: dict[int, int], most: int) -> np.ndarray:
     return out
 
 
+def calibration_rows(rows: DataFrame, most: int) -> DataFrame:
+    """key_ and lang_ of the rows that scale and limits are fitted on, `most` at most: of each language an equal share of a fold of
+    its keys. A language keeps a key at least that is counted, so none is lost."""
+    keys = rows.select("lang", "key").distinct()
+    fold = F.pmod("key", F.lit(FOLDS)) == 0
+    known = keys.groupBy("lang").agg(F.count("*").alias("keys"))
+    languages = max(known.count(), 1)
+    first = keys.where(fold).withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("key"))).where(F.col("place") <= max(most // languages, 1))
+    return first.join(known, "lang").where(F.col("place") < F.col("keys")).select(F.col("key").alias("key_"), F.col("lang").alias("lang_"))
+
+
 def train(work: Scratch, rows: DataFrame, order: int = ORDER, cells: int = CELLS, calibration: int = CALIBRATION_ROWS) -> Model | None:
     """Learn from rows (key, lang, text): counts over all but the calibration rows, scale and limits on those."""
-    held = rows.select("key").where(F.pmod("key", F.lit(FOLDS)) == 0).distinct().orderBy("key").limit(calibration)
-    held = work.table(held.withColumnRenamed("key", "key_"), "held")
-    counts = work.table(gather(rows.join(F.broadcast(held), F.col("key") == F.col("key_"), "left_anti").select("lang", "text"), order), "runs")
+    held = work.table(calibration_rows(rows, calibration), "held")
+    own = (F.col("key") == F.col("key_")) & (F.col("lang") == F.col("lang_"))
+    counts = work.table(gather(rows.join(F.broadcast(held), own, "left_anti").select("lang", "text"), order), "runs")
     languages = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
     if not languages:
         return None
@@ -281,7 +292,7 @@ def train(work: Scratch, rows: DataFrame, order: int = ORDER, cells: int = CELLS
         return build(languages, _by_language(own.select("lang", "run", "n").toArrow(), languages), single, order)
 
     model = Model(languages, make, int(shard_of.max()) + 1, shard_of)
-    sample = rows.join(F.broadcast(held), F.col("key") == F.col("key_")).where(F.col("lang").isin(languages))
+    sample = rows.join(F.broadcast(held), own).where(F.col("lang").isin(languages)).dropDuplicates(["key", "lang"])
     seen = totals(sample.select("lang", "text"), model, ["lang"]).select("lang", "n", "totals").collect()
     if not seen:
         model.limits = np.full(len(languages), np.inf)
@@ -296,7 +307,8 @@ def train(work: Scratch, rows: DataFrame, order: int = ORDER, cells: int = CELLS
         losses.append(float((np.log(np.exp(z).sum(1)) - z[np.arange(len(z)), truth]).mean()))
     model.scale = float(scales[int(np.argmin(losses))])
     own = [ce[truth == k, k] for k in range(len(languages))]
-    model.limits = np.array([np.quantile(x, REJECT_QUANTILE) + REJECT_SLACK if len(x) else np.inf for x in own])
+    limits = np.array([np.quantile(x, REJECT_QUANTILE) + REJECT_SLACK if len(x) else -np.inf for x in own])
+    model.limits = np.where(np.isfinite(limits), limits, limits.max())  # a language without rows here takes the loosest limit
     return model
 
 

@@ -122,46 +122,48 @@ def units(documents: DataFrame, bands: int, rows: int = ROWS) -> DataFrame:
     return d.mapInArrow(run, UNIT)
 
 
-WINDOWS = "doc_id long, th long, mark long, piece long, windows array<bigint>"
+WINDOWS = "doc_id long, th long, mark long, origin long, piece long, windows array<bigint>"
+
+WINDOW_COLUMNS = ["doc_id", "th", "mark", "origin", "piece", "windows"]
 
 
 def _windows(batches):
     """Hashes of the windows of wanted stretches, in pieces of at most PASSAGE windows: the first one's place, and all hashes in a row."""
     memo = word_hashes()
     for b in batches:
-        rows, marks, starts, sizes, hashes = [], [], [], [], []
+        rows, marks, origins, starts, sizes, hashes = [], [], [], [], [], []
         for k, (text, places) in enumerate(zip(b.column("text").to_pylist(), b.column("places").to_pylist(), strict=True)):
             own = shingles_of(*hash_words([text.split()], memo), PASSAGE)[0]
             for p in places:
                 for at in range(p["first"], p["first"] + p["n"], PASSAGE):
                     size = min(PASSAGE, p["first"] + p["n"] - at)
-                    rows.append(k), marks.append(p["mark"]), starts.append(at), sizes.append(size), hashes.append(own[at : at + size])
+                    rows.append(k), marks.append(p["mark"]), origins.append(p["first"]), starts.append(at), sizes.append(size), hashes.append(own[at : at + size])
         if rows:
             lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), pa.array(np.concatenate(hashes).view(np.int64)))
             row = pa.array(rows)
-            yield pa.record_batch([b.column("doc_id").take(row), b.column("th").take(row), pa.array(marks, pa.int64()), pa.array(starts, pa.int64()), lists], ["doc_id", "th", "mark", "piece", "windows"])
+            yield pa.record_batch([b.column("doc_id").take(row), b.column("th").take(row), pa.array(marks, pa.int64()), pa.array(origins, pa.int64()), pa.array(starts, pa.int64()), lists], WINDOW_COLUMNS)
 
 
 def repeated_windows(work: Scratch, seen: DataFrame) -> DataFrame:
-    """doc_id, th, first and words of the windows that stand in an earlier document; `seen` are pieces.
+    """doc_id, th, mark, origin (their stretch's first word), first and words of the windows that stand in an earlier document; `seen` are pieces.
 
     Two windows of a piece overlap or touch, so all words between two that repeat go. Every PROBE-th window and the last one of a
     piece are looked up first; what lies between those that repeat needs no look-up of its own. All others get one.
     """
     doc, i = F.struct("doc_id", "th"), F.col("i")
-    single = lambda rows: rows.select("doc_id", "th", "mark", "piece", *rows.columns[5:], F.size("windows").alias("size"), F.posexplode("windows").alias("i", "window"))
+    single = lambda rows: rows.select("doc_id", "th", "mark", "origin", "piece", *rows.columns[6:], F.size("windows").alias("size"), F.posexplode("windows").alias("i", "window"))
     probe = (i % PROBE == 0) | (i == F.col("size") - 1)
     heads = single(seen).groupBy("mark", "window").agg(F.min(doc).alias("head"), F.max(doc).alias("z")).where(~F.col("head").eqNullSafe(F.col("z")))
     heads = work.table(heads.select("mark", "window", "head"), "heads")
     later = lambda rows: rows.join(heads, ["mark", "window"]).where(doc > F.col("head"))
-    met = later(single(seen).where(probe)).groupBy("doc_id", "th", "piece").agg(F.min("i").alias("low"), F.max("i").alias("high"))
+    met = later(single(seen).where(probe)).groupBy("doc_id", "th", "mark", "origin", "piece").agg(F.min("i").alias("low"), F.max("i").alias("high"))
     met = work.table(met, "met")
     ends = met.select(F.col("doc_id").alias("doc_"), F.col("th").alias("th_"), F.col("piece").alias("piece_"), "low", "high")
     known = seen.join(ends, (F.col("th") == F.col("th_")) & (F.col("piece") == F.col("piece_")) & F.col("doc_id").eqNullSafe(F.col("doc_")), "left")
-    known = known.select("doc_id", "th", "mark", "piece", "windows", "low", "high")
+    known = known.select(*WINDOW_COLUMNS, "low", "high")
     rest = later(single(known).where(~probe & (F.col("low").isNull() | (i < F.col("low")) | (i > F.col("high")))))
-    spans = met.select("doc_id", "th", (F.col("piece") + F.col("low")).alias("first"), (F.col("high") - F.col("low") + PASSAGE).alias("words"))
-    out = work.table(spans.union(rest.select("doc_id", "th", F.col("piece") + i, F.lit(PASSAGE))), "parts")
+    spans = met.select("doc_id", "th", "mark", "origin", (F.col("piece") + F.col("low")).alias("first"), (F.col("high") - F.col("low") + PASSAGE).alias("words"))
+    out = work.table(spans.union(rest.select("doc_id", "th", "mark", "origin", F.col("piece") + i, F.lit(PASSAGE))), "parts")
     work.drop(heads, met)
     return out
 
@@ -179,18 +181,23 @@ def shared_passages(work: Scratch, documents: DataFrame, found: DataFrame, gone:
     left = work.table(left.select("doc_id", "th", "mark", "first", "n", "kind"), "left")
     kinds = left.groupBy("mark", "kind", "n").agg(F.min(F.struct("doc_id", "th", "first")).alias("least"), F.count("*").alias("copies"))
     kinds = work.table(kinds, "kinds")
-    # Copies of whole stretches.
-    head = kinds.where("copies > 1").select(F.col("mark").alias("mark_"), F.col("kind").alias("kind_"), F.col("n").alias("n_"), F.struct("least.doc_id", "least.th").alias("head"))
-    later = left.join(head, (F.col("mark") == F.col("mark_")) & (F.col("kind") == F.col("kind_")) & (F.col("n") == F.col("n_"))).where(doc > F.col("head"))
-    later = later.select("doc_id", "th", "first", (F.col("n") + PASSAGE - 1).alias("words"))
+    # Copies of whole stretches: those in later documents go, those in the first one's own document share what befalls it.
+    head = kinds.where("copies > 1").select(F.col("mark").alias("mark_"), F.col("kind").alias("kind_"), F.col("n").alias("n_"), F.struct("least.doc_id", "least.th").alias("head"), F.col("least.first").alias("origin"))
+    members = left.join(head, (F.col("mark") == F.col("mark_")) & (F.col("kind") == F.col("kind_")) & (F.col("n") == F.col("n_")))
+    members = members.where((doc > F.col("head")) | (doc.eqNullSafe(F.col("head")) & (F.col("first") > F.col("origin"))))
+    members = work.table(members.select("doc_id", "th", "mark", "first", "n", "origin", (doc > F.col("head")).alias("later")), "members")
+    later = members.where("later").select("doc_id", "th", "first", (F.col("n") + PASSAGE - 1).alias("words"))
+    twins = members.where("not later").select(F.col("doc_id").alias("doc_"), F.col("th").alias("th_"), F.col("mark").alias("mark_"), F.col("origin").alias("origin_"), F.col("first").alias("twin")).distinct()
     # Stretches that differ but may share windows: one of each class.
     mixed = work.table(kinds.groupBy("mark").agg(F.count("*").alias("classes")).where("classes > 1").select("mark"), "mixed")
     places = kinds.join(mixed, "mark").groupBy(F.col("least.doc_id").alias("doc_"), F.col("least.th").alias("th_")).agg(F.collect_list(F.struct("mark", "least.first", "n")).alias("places"))
     places = work.table(places, "places")
     seen = work.table(with_texts(documents, places.where("th_ is not null"), WINDOWS, _windows), "windows")
     parts = repeated_windows(work, seen)
-    out = work.table(later.union(parts), "passages")
-    work.drop(again, left, kinds, mixed, places, seen, parts)
+    own = parts.join(twins, same & (F.col("mark") == F.col("mark_")) & (F.col("origin") == F.col("origin_")))
+    own = own.select("doc_id", "th", F.col("first") - F.col("origin") + F.col("twin"), "words")
+    out = work.table(later.union(parts.select("doc_id", "th", "first", "words")).union(own), "passages")
+    work.drop(again, left, kinds, members, mixed, places, seen, parts)
     return out
 
 

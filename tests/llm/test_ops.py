@@ -444,6 +444,29 @@ def test_language_id(spark, edge, empty):
     assert nothing is None and language_id.predict(edge, None, ["doc_id"]).where("lang_pred <> 'und'").count() == 0
 
 
+def test_no_language_is_lost_to_the_calibration(spark, tmp_path):
+    """Rare languages whose few rows all are, or of which none is, in the calibration's fold."""
+    inside = [k for k in range(4000) if _key(spark, k) % language_id.FOLDS == 0]
+    outside = [k for k in range(400) if _key(spark, k) % language_id.FOLDS]
+    rows = [(k, "en", "the house and the garden of the king") for k in outside[:300]] + [(k, "fi", "hyvää päivää kaikille täällä") for k in inside[:2]]
+    rows += [(k, "sv", "och det är så här på ön") for k in outside[300:302]] + [(inside[5], "pl", "cześć wszystkim")]
+    df = spark.createDataFrame([(k, *r[1:]) for k, r in ((_key(spark, x[0]), x) for x in rows)], "key long, lang string, text string")
+    model = language_id.train(Scratch(spark, "t"), df)
+    assert model.languages == ["en", "fi", "pl", "sv"]
+    assert np.isfinite(model.limits).all()
+    got = language_id.predict(spark.createDataFrame([(1, "päivää täällä"), (2, "det är på ön"), (3, "the king and the house")], "doc_id long, text string"), model, ["doc_id"]).collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in got} == {1: "fi", 2: "sv", 3: "en"}
+
+
+_keys = {}
+
+
+def _key(spark, k):
+    if not _keys:
+        _keys.update({r[0]: r[1] for r in spark.range(4000).selectExpr("id", "xxhash64(id)").collect()})
+    return _keys[k]
+
+
 def plain_kneser_ney(texts, order, discount):
     """log p(character | context) by dicts, from the definition."""
     counts = [Counter() for _ in range(order + 1)]
@@ -559,6 +582,20 @@ def test_passages_against_all_windows(spark):
     assert {k: got.get(k, t).split() for k, t in rows} == want
 
 
+def test_repeats_within_a_document_against_all_windows(spark):
+    """A passage that stands twice in a document, with the same words around it, and once in an earlier document with others."""
+    rnd = np.random.default_rng(29)
+    some = lambda n: [f"r{x}" for x in rnd.integers(0, 10**6, n)]
+    rows = []
+    for k in range(12):
+        passage, before, behind = some(80), some(int(rnd.integers(3, 60))), some(int(rnd.integers(3, 60)))
+        again = before + passage + behind
+        rows += [(10 * k, some(60) + passage + some(60)), (10 * k + 1, again * (2 + k % 3)), (10 * k + 2, some(9) + again + some(9)), (10 * k + 3, again * 2)]
+    rows = [(k, "\n".join(" ".join(w[i : i + 13]) for i in range(0, len(w), 13))) for k, w in rows]  # no line is a paragraph
+    got = {r["doc_id"]: r["kept"] for r in substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {k: got.get(k, t).split() for k, t in rows} == plain_passages(rows)
+
+
 def test_long_stretches_against_all_windows(spark):
     """Texts of few words, whose stretches hold more windows than a piece does, and shared parts that are not in a row."""
     rnd = np.random.default_rng(24)
