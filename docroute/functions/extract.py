@@ -97,10 +97,17 @@ def aci_candidates(text: Text) -> Column:
 
 
 def line_blocks(text: Text, marked, before: int, after: int) -> Column:
-    """Around each line that `marked` holds for, the lines before and after joined by spaces."""
+    """Around each line that `marked` holds for, the lines before and after joined by spaces.
+
+    Each line stands beside its neighbours (the same array, moved), so what is done for a line reads these few lines only.
+    """
     lines = F.split(_col(text), r"\r\n|\n|\r")
-    block = lambda i: F.array_join(F.slice(lines, F.greatest(i + 1 - before, F.lit(1)), F.least(i, F.lit(before)) + after + 1), " ")
-    return F.filter(F.transform(lines, lambda x, i: F.when(marked(x), block(i))), lambda x: x.isNotNull())
+    none = F.lit(None).cast("string")
+    moved = [F.concat(F.array_repeat(none, k), lines) for k in range(before, 0, -1)] + [F.slice(lines, k + 1, F.size(lines)) for k in range(after + 1)]
+    # Rows past the last line have no line of their own, which `marked` does not hold for.
+    rows = F.arrays_zip(*[x.alias(f"l{i}") for i, x in enumerate(moved)])
+    kept = F.filter(rows, lambda r: F.coalesce(marked(r[f"l{before}"]), F.lit(False)))
+    return F.transform(kept, lambda r: F.array_join(F.array(*[r[f"l{i}"] for i in range(len(moved))]), " "))
 
 
 def _in_blocks(text: Text, marked, before: int = 1, after: int = 2) -> Column:
@@ -165,17 +172,17 @@ def has_keyword(text: Column) -> Column:
 def keyword_adjacent(text: Text, candidates: Column) -> Column:
     """Those candidates that stand within CONTEXT_CHARS of a keyword, or on a line next to a keyword's.
 
-    The text is cut once at its numbers of twelve digits; of each number's surroundings, only what lies within reach is searched.
+    One scan each gives all numbers of twelve digits, what stands before and what stands behind them, within reach; keywords are
+    looked for in these surroundings, so the work grows with the text and not with its numbers.
     """
     s = _col(text)
     upper = F.upper(s)
-    numbers, gaps = _every(s, TWELVE), F.split(upper, TWELVE, -1)
-    # Numbers have a gap of a character or more between them, so three numbers before or behind are all that may be in reach.
-    gap = lambda i: F.coalesce(F.get(gaps, i), F.lit(""))
-    number = lambda i: F.coalesce(F.get(numbers, i), F.lit(""))
-    before = lambda i: F.right(F.concat(*[x for k in (3, 2, 1) for x in (gap(i - k), number(i - k))], gap(i)), F.lit(CONTEXT_CHARS))
-    behind = lambda i: F.left(F.concat(gap(i + 1), *[x for k in (1, 2, 3) for x in (number(i + k), gap(i + k + 1))]), F.lit(CONTEXT_CHARS))
-    close = F.filter(numbers, lambda c, i: has_keyword(F.concat(before(i), c, behind(i))))
+    reach = rf"[\s\S]{{{CONTEXT_CHARS}}}"
+    # The look-behind takes the whole reach, or all from the text's start.
+    before = _every(upper, rf"{TWELVE}(?<=({reach}|\A[\s\S]{{0,{CONTEXT_CHARS}}})\d{{12}})", 2)
+    behind = _every(upper, rf"{TWELVE}(?=([\s\S]{{0,{CONTEXT_CHARS}}}))", 2)
+    spans = F.arrays_zip(_every(upper, TWELVE).alias("number"), before.alias("before"), behind.alias("behind"))
+    close = F.transform(F.filter(spans, lambda x: has_keyword(F.concat(x["before"], x["number"], x["behind"]))), lambda x: x["number"])
     around = F.flatten(F.transform(line_blocks(text, lambda x: has_keyword(F.upper(x)), 1, 1), lambda b: _every(b, TWELVE)))
     none = F.array().cast("array<string>")
     return F.when(s.rlike(TWELVE), F.array_intersect(candidates, F.concat(around, close))).otherwise(none)

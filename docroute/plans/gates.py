@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from docroute.functions import extract as X
@@ -13,7 +15,7 @@ from docroute.operators import resolve as R
 from docroute.operators import routing
 from docroute.plans.identify import _C, _CLEAN, _T, joined
 from docroute.plans.pages import _ROUTE, _SIDES, _sides
-from docroute.sources.fixtures import REF_KEYS_SQL, ref_keys, stage_texts, table
+from docroute.sources.fixtures import KEY, REF_KEYS_SQL, ref_keys, stage_texts, table
 
 DAY = "2024-01-10"
 
@@ -81,6 +83,40 @@ def context_forms(spark, sf_dir):
     )
 
 
+#: Texts whose numbers stand at all distances from a keyword, by up to 50 characters and 25 lines, before and behind it.
+_MARKS = ("AWB", "Tracking #", "M-A-W-B", "bill  no", "nothing", "FED EX TRACKING")
+_REACH_SQL = f"""SELECT o_orderkey, awb AS one, {KEY.format('(o_orderkey + 1)')} AS two, {KEY.format('(o_orderkey + 2)')} AS three,
+ concat({KEY.format('(o_orderkey + 2)')}, repeat(concat(chr(10), '.'), cast(o_custkey % 25 as int)), chr(10), CASE o_orderkey % {len(_MARKS)} {" ".join(f"WHEN {i} THEN '{m}'" for i, m in enumerate(_MARKS))} END,
+ repeat(concat(chr(10), '-'), cast(o_orderkey % 23 as int)), repeat(' ', cast(o_custkey % 3 as int)), awb, repeat(concat('~', chr(10)), cast(o_custkey % 19 as int)), ' ', {KEY.format('(o_orderkey + 1)')}) AS text
+ FROM (SELECT k.o_orderkey, awb, o_custkey FROM ({REF_KEYS_SQL}) k JOIN orders o ON o.o_orderkey = k.o_orderkey)"""
+
+
+def keyword_reach(spark, sf_dir):
+    """Which of three numbers of a text stand next to a keyword."""
+    k = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.expr(KEY.format("o_orderkey")).alias("awb"))
+    mark = F.element_at(F.array(*map(F.lit, _MARKS)), (F.col("o_orderkey") % len(_MARKS) + 1).cast("int"))
+    fill = lambda x, n: F.repeat(F.lit(x), n.cast("int"))
+    two, three = (F.expr(KEY.format(f"(o_orderkey + {n})")) for n in (1, 2))
+    text = F.concat(three, fill("\n.", F.col("o_custkey") % 25), F.lit("\n"), mark, fill("\n-", F.col("o_orderkey") % 23), fill(" ", F.col("o_custkey") % 3), F.col("awb"), fill("~\n", F.col("o_custkey") % 19), F.lit(" "), two)
+    near = X.keyword_adjacent("text", X.clean_candidates("text"))
+    has = lambda c: F.array_contains("near", c)
+    return k.select("o_orderkey", "awb", two.alias("two"), three.alias("three"), text.alias("text")).withColumn("near", near).select("o_orderkey", has(F.col("awb")).alias("one"), has(F.col("two")).alias("two"), has(F.col("three")).alias("three"))
+
+
+_WORDS = "|".join(re.escape(w) for w in X.CONTEXT_KEYWORDS).replace("\\ ", " ").replace("\\#", "#").replace("\\-", "-")
+_BARE = "|".join(sorted({"".join(c for c in w if c.isalnum()) for w in X.CONTEXT_KEYWORDS}))
+
+
+def _marked(x: str) -> str:
+    return f"(regexp_matches({x}, '{_WORDS}') OR regexp_matches(regexp_replace({x}, '[^A-Z0-9]+', '', 'g'), '{_BARE}'))"
+
+
+def _reached(c: str) -> str:
+    at, most = f"strpos(text, {c})", X.CONTEXT_CHARS
+    window = f"upper(substring(text, greatest({at} - {most}, 1), {at} + 11 + {most} - greatest({at} - {most}, 1) + 1))"
+    return f"({_marked(window)} OR len(list_filter(range(1, len(lines) + 1), lambda i: contains(lines[i], {c}) AND len(list_filter(marks, lambda j: abs(i - j) <= 1)) > 0)) > 0)"
+
+
 def page_kinds(spark, sf_dir):
     """Exempt pages, tiers of detection methods and states of outcomes."""
     k = F.col("o_orderkey")
@@ -146,7 +182,7 @@ _LINES = [
     ("BATCH", 0, "BATCH_BUILT", "bb", "NULL"), ("BATCH", 1, "TIFF_CONVERTED", "bt", "NULL"), ("BATCH", 2, "TIFF_FAILED", "0", "NULL"),
 ]
 _FORM = "CASE WHEN o_orderkey % 7 {} THEN awb ELSE '' END"
-QUERIES = {f.__name__: f for f in (scan_gate, scan_window, text_choice, candidate_counts, probe_exit, page_outputs, archive_exists, context_forms, page_kinds, case_diagnosis, synthetic_cases, audit_rows, day_dashboard, print_copies)}
+QUERIES = {f.__name__: f for f in (scan_gate, scan_window, text_choice, candidate_counts, probe_exit, page_outputs, archive_exists, context_forms, keyword_reach, page_kinds, case_diagnosis, synthetic_cases, audit_rows, day_dashboard, print_copies)}
 ORACLES = {
     "scan_gate": """WITH f AS (SELECT *, o_orderkey % 4 IN (0, 2) AND o_orderkey % 3 <> 0 AS cold FROM orders),
  r AS (SELECT *, (o_custkey % 2 = 0 OR cold) AND (o_orderkey % 5 = 0 OR (o_orderkey % 7 = 0 AND o_orderkey % 6 > 0)) AS run_scan FROM f)
@@ -163,6 +199,9 @@ ORACLES = {
     "archive_exists": """WITH c AS (SELECT o_orderkey, CASE o_custkey % 4 WHEN 0 THEN TRUE WHEN 1 THEN FALSE END AS cached, CASE WHEN o_orderkey % 5 = 1 THEN FALSE WHEN o_orderkey % 5 IN (0, 4) THEN o_orderkey % 3 > 0 END AS fresh FROM orders)
  SELECT o_orderkey, coalesce(cached, fresh) AS found, cached IS NULL AND fresh IS NOT NULL AS to_cache FROM c""",
     "context_forms": f"""SELECT o_orderkey, {_FORM.format('= 0')} AS aci, {_FORM.format('= 1')} AS carrier, {_FORM.format('= 2')} AS airway, {_FORM.format('IN (0, 1, 2, 4)')} AS adjacent, {_FORM.format('IN (0, 1, 2, 4, 5)')} AS near FROM ({REF_KEYS_SQL})""",
+    "keyword_reach": f"""WITH t AS ({_REACH_SQL}), l AS (SELECT *, string_split(text, chr(10)) AS lines FROM t),
+ m AS (SELECT *, list_filter(range(1, len(lines) + 1), lambda j: {_marked('upper(lines[j])')}) AS marks FROM l)
+ SELECT o_orderkey, {_reached('one')} AS one, {_reached('two')} AS two, {_reached('three')} AS three FROM m""",
     "page_kinds": f"""SELECT o_orderkey, o_orderkey % 4 IN (0, 1) AS exempt, CASE WHEN o_orderkey % 5 IN (0, 1) THEN 'High' WHEN o_orderkey % 5 IN (2, 3) THEN 'Medium' ELSE 'Low' END AS audit_tier,
  CASE WHEN o_orderkey % 5 IN (0, 1) THEN 'High' WHEN o_orderkey % 5 = 2 THEN 'Medium' ELSE 'Low' END AS batch_tier, CASE o_orderkey % 3 WHEN 0 THEN 'REJECTED' WHEN 1 THEN 'NEEDS-REVIEW' ELSE 'IN-PROGRESS' END AS status FROM ({REF_KEYS_SQL})""",
     "case_diagnosis": f"""WITH {_C} SELECT t.file_id, count(*) FILTER (WHERE tier = 'High') AS n_high, count(*) FILTER (WHERE tier = 'Standard') AS n_std, coalesce(bool_or(candidate = t.awb AND tier = 'High'), FALSE) AS in_high, coalesce(bool_or(candidate = t.awb AND tier = 'Standard'), FALSE) AS in_std,
