@@ -73,12 +73,12 @@ def archive_documents(responses: DataFrame) -> DataFrame:
     return d.select("awb", "document_id", F.struct("group_no", "no").alias("place"))
 
 
-def existence_cache(texts: DataFrame) -> DataFrame:
-    """awb, exists, checked_at from JSON maps (body); values are objects or bare booleans."""
-    entries = texts.select(F.explode(F.from_json("body", "map<string,string>")).alias("awb", "value"))
+def existence_cache(texts: DataFrame, *keep: str) -> DataFrame:
+    """awb, exists, checked_at (and columns to keep) from JSON maps (body); values are objects or bare booleans."""
+    entries = texts.select(*keep, F.explode(F.from_json("body", "map<string,string>")).alias("awb", "value"))
     o = F.from_json("value", "exists boolean, checked_at string")
     bare = F.col("value").isin("true", "false")
-    return entries.select("awb", F.when(bare, F.col("value") == "true").otherwise(o["exists"]).alias("exists"), F.when(~bare, o["checked_at"]).alias("checked_at")).where("exists is not null")
+    return entries.select("awb", F.when(bare, F.col("value") == "true").otherwise(o["exists"]).alias("exists"), F.when(~bare, o["checked_at"]).alias("checked_at"), *keep).where("exists is not null")
 
 
 def last_wins(rows: DataFrame, key: str, order: str) -> DataFrame:
