@@ -35,12 +35,18 @@ def hamming(a: Column, b: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.least(F.length(a), F.length(b))), F.lit(0), lambda n, i: n + (F.substring(a, i, F.lit(1)) != F.substring(b, i, F.lit(1))).cast("int"))
 
 
-def close_keys(candidates: DataFrame, keys: DataFrame, most: int = HIGH_DISTANCE) -> DataFrame:
+#: Keys that may share six digits before two more tell them apart.
+HEAVY = 50_000
+
+
+def close_keys(candidates: DataFrame, keys: DataFrame, most: int = HIGH_DISTANCE, heavy: int = HEAVY) -> DataFrame:
     """candidate, awb, distance of keys within `most` (2 at most) of each candidate.
 
     The pool is the keys that share the first or last four digits; only a candidate without any such key is compared
     to all. Of four blocks of three digits, two errors leave two unhurt: pairs meet by six of the twelve digits, at the
-    first two blocks that they share, in an equi-join of a million values and more. The ends that keys have are 20,000 at most.
+    first two blocks that they share, in an equi-join of a million values and more. Where over `heavy` keys share these six digits,
+    the other six are three parts of two, of which two errors leave one unhurt, and pairs meet by that part as well, the first that
+    they share. The ends that keys have are 20,000 at most.
     """
     if most > 2:
         raise ValueError("four blocks find two errors at most")
@@ -48,7 +54,16 @@ def close_keys(candidates: DataFrame, keys: DataFrame, most: int = HIGH_DISTANCE
     block = lambda c, i: F.substring(c, 3 * i + 1, 3)
     halves = lambda c: [F.concat(block(c, i), block(c, j)) for i, j in two]
     cut = lambda df, c: df.select(c).distinct().select(c, F.posexplode(F.array(*halves(c))).alias("b", "block"))
-    pairs = cut(candidates, "candidate").join(cut(keys, "awb"), ["b", "block"])
+    left, right = cut(candidates, "candidate"), cut(keys, "awb")
+    # Only blocks that a candidate has are counted and joined.
+    right = right.join(left.select("b", "block").distinct(), ["b", "block"], "left_semi")
+    crowded = right.groupBy("b", "block").agg(F.count("*").alias("members")).where(F.col("members") > heavy).select("b", "block")
+    rest = lambda c: F.element_at(F.array(*[F.concat(*[block(c, k) for k in range(4) if k not in p]) for p in two]), F.col("b") + 1)
+    parts = lambda c: F.array(*[F.substring(rest(c), 2 * k + 1, 2) for k in range(3)])
+    spread = lambda df, c: df.join(crowded, ["b", "block"]).select("b", "block", c, F.posexplode(parts(c)).alias("part", "digits"))
+    same = F.array_position(F.zip_with(parts("candidate"), parts("awb"), lambda x, y: x == y), F.lit(True)) - 1
+    dense = spread(left, "candidate").join(spread(right, "awb"), ["b", "block", "part", "digits"]).where(F.col("part") == same).select("b", "block", "candidate", "awb")
+    pairs = left.join(right.join(crowded, ["b", "block"], "left_anti"), ["b", "block"]).select("b", "block", "candidate", "awb").union(dense)
     first = F.lit(None).cast("int")
     for k in reversed(range(len(two))):
         first = F.when(halves("candidate")[k] == halves("awb")[k], F.lit(k)).otherwise(first)

@@ -37,8 +37,12 @@ def scan_window(spark, sf_dir):
 
 
 def text_choice(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", F.left("text", F.lit(30)).alias("raw"))
-    return d.select("doc_id", G.better_text(F.col("raw"), F.concat(F.lit("sorted "), "raw"), F.col("doc_id") % 3, F.col("doc_id") % 4).alias("text"))
+    """Whole texts as they are, or with numbers that spaces have torn apart put together if that shows more candidates."""
+    together = F.regexp_replace("text", "([0-9]) +([0-9])", "$1$2")
+    n = lambda c: G.unique_candidates(F.regexp_extract_all(c, F.lit(X.TWELVE), F.lit(1)))
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", together.alias("together"))
+    chosen = G.better_text(F.col("text"), F.col("together"), n(F.col("text")), n(F.col("together")))
+    return d.select("doc_id", F.length(chosen).cast("long").alias("chars"), F.md5(chosen.cast("binary")).alias("digest"))
 
 
 def candidate_counts(spark, sf_dir):
@@ -189,7 +193,9 @@ ORACLES = {
  SELECT o_orderkey, run_scan, CASE WHEN run_scan AND NOT cold THEN 10 END AS scan_pages FROM r""",
     "scan_window": f"""WITH {_SIDES} SELECT file_id, count(*) AS pairs, count(*) FILTER (WHERE page_no = 1 AND doc_page = 1) AS first, max(doc_page) AS last_page FROM inc JOIN arc USING (awb)
  WHERE page_no <= 3 AND page_no % 4 <> 2 AND doc_page <= 5 GROUP BY file_id""",
-    "text_choice": "SELECT doc_id, CASE WHEN length(trim(left(text, 30))) > 20 AND doc_id % 4 > doc_id % 3 THEN concat('sorted ', left(text, 30)) ELSE left(text, 30) END AS text FROM documents",
+    "text_choice": """WITH d AS (SELECT doc_id, text, regexp_replace(text, '([0-9]) +([0-9])', '\\1\\2', 'g') AS together FROM documents),
+ n AS (SELECT *, len(list_distinct(list_filter(regexp_extract_all(text, '[0-9]+'), lambda x: length(x) = 12))) AS a, len(list_distinct(list_filter(regexp_extract_all(together, '[0-9]+'), lambda x: length(x) = 12))) AS b FROM d),
+ c AS (SELECT doc_id, CASE WHEN length(trim(text)) > 20 AND b > a THEN together ELSE text END AS t FROM n) SELECT doc_id, length(t) AS chars, md5(t) AS digest FROM c""",
     "candidate_counts": f"WITH {_T} SELECT file_id, len({_CLEAN}) AS n FROM t",
     "probe_exit": f"WITH {_T} SELECT file_id, awb, CASE variant WHEN 3 THEN 'Probe-400' ELSE 'Probe-Exact-High' END AS method FROM t WHERE variant IN (0, 1, 3)",
     "page_outputs": f"""WITH {_SIDES}, x AS (SELECT inc.file_id, inc.page_no, m.doc IS NOT NULL AS d FROM inc LEFT JOIN m ON inc.file_id = m.file_id AND inc.page_no = m.page_no),

@@ -72,3 +72,18 @@ def test_noisy_stages_are_held_back(spark):
     rest = {(1, 0, "h"), (1, 1, "2"), (1, 2, "9"), (2, 0, "0"), (2, 0, "1"), (2, 0, "2")}
     assert kept("Rotation-180") == rest
     assert kept("AirwayLabel-Rotation-180") == {r[:3] for r in c} == kept("OCR-Main")
+
+
+def test_close_keys_under_one_prefix(spark):
+    """All keys share six digits and more: the same pairs as from all pairs, however few make a crowd."""
+    from docroute.operators.resolve import close_keys
+
+    rnd = random.Random(5)
+    keys = [f"123456{rnd.randrange(10**6):06d}" for _ in range(3000)]
+    asked = [k[:6] + "".join(c if rnd.random() < 0.8 else str(rnd.randrange(10)) for c in k[6:]) for k in rnd.sample(keys, 60)] + ["123456000000", "923456000000", "124456111111"]
+    df = lambda xs, c: spark.createDataFrame([(x,) for x in xs], f"{c} string")
+    far = lambda a, b: sum(x != y for x, y in zip(a, b, strict=True))
+    want = {(a, b, far(a, b)) for a in asked for b in set(keys) if far(a, b) <= 2 and (a[:4] == b[:4] or a[8:] == b[8:] or not any(a[:4] == k[:4] or a[8:] == k[8:] for k in keys))}
+    for heavy in (50_000, 100):
+        got = list(map(tuple, close_keys(df(asked, "candidate"), df(keys, "awb"), heavy=heavy).collect()))
+        assert len(got) == len(set(got)) and set(got) == want
