@@ -185,7 +185,8 @@ def keyword_adjacent(text: Text, candidates: Column) -> Column:
     close = F.transform(F.filter(spans, lambda x: has_keyword(F.concat(x["before"], x["number"], x["behind"]))), lambda x: x["number"])
     around = F.flatten(F.transform(line_blocks(text, lambda x: has_keyword(F.upper(x)), 1, 1), lambda b: _every(b, TWELVE)))
     none = F.array().cast("array<string>")
-    return F.when(s.rlike(TWELVE), F.array_intersect(candidates, F.concat(around, close))).otherwise(none)
+    # A text without any keyword has none in a part of it.
+    return F.when(s.rlike(TWELVE) & has_keyword(upper), F.array_intersect(candidates, F.concat(around, close))).otherwise(none)
 
 
 def near_keyword_candidates(text: Text, before: int = 1, after: int = 3) -> Column:
