@@ -55,15 +55,16 @@ def close_keys(candidates: DataFrame, keys: DataFrame, most: int = HIGH_DISTANCE
     halves = lambda c: [F.concat(block(c, i), block(c, j)) for i, j in two]
     cut = lambda df, c: df.select(c).distinct().select(c, F.posexplode(F.array(*halves(c))).alias("b", "block"))
     left, right = cut(candidates, "candidate"), cut(keys, "awb")
-    # Only blocks that a candidate has are counted and joined.
-    right = right.join(left.select("b", "block").distinct(), ["b", "block"], "left_semi")
     crowded = right.groupBy("b", "block").agg(F.count("*").alias("members")).where(F.col("members") > heavy).select("b", "block")
     rest = lambda c: F.element_at(F.array(*[F.concat(*[block(c, k) for k in range(4) if k not in p]) for p in two]), F.col("b") + 1)
     parts = lambda c: F.array(*[F.substring(rest(c), 2 * k + 1, 2) for k in range(3)])
     spread = lambda df, c: df.join(crowded, ["b", "block"]).select("b", "block", c, F.posexplode(parts(c)).alias("part", "digits"))
     same = F.array_position(F.zip_with(parts("candidate"), parts("awb"), lambda x, y: x == y), F.lit(True)) - 1
     dense = spread(left, "candidate").join(spread(right, "awb"), ["b", "block", "part", "digits"]).where(F.col("part") == same).select("b", "block", "candidate", "awb")
-    pairs = left.join(right.join(crowded, ["b", "block"], "left_anti"), ["b", "block"]).select("b", "block", "candidate", "awb").union(dense)
+    if keys.limit(heavy + 1).count() <= heavy or crowded.isEmpty():  # no block is crowded: the plain join gives the same pairs
+        pairs = left.join(right, ["b", "block"])
+    else:
+        pairs = left.join(right.join(crowded, ["b", "block"], "left_anti"), ["b", "block"]).select("b", "block", "candidate", "awb").union(dense)
     first = F.lit(None).cast("int")
     for k in reversed(range(len(two))):
         first = F.when(halves("candidate")[k] == halves("awb")[k], F.lit(k)).otherwise(first)
