@@ -10,7 +10,7 @@ from docroute.llm.registry import ORACLES, QUERIES
 def test_registered():
     import __spark_entry__ as entry
 
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES}
     assert set(QUERIES) <= set(entry.queries()) and "pipeline" in entry.queries() and set(ORACLES) <= set(entry.oracle_sql())
 
 
