@@ -33,32 +33,37 @@ def exact_pages(incoming: DataFrame, archive: DataFrame, by: str) -> DataFrame:
     return incoming.join(a, [by, "page_hash"]).select("file_id", "page_no", F.col("m.doc").alias("doc"), F.col("m.doc_page").alias("doc_page"))
 
 
-def phash_pairs(left: DataFrame, right: DataFrame, most: int = PHASH_DISTANCE) -> DataFrame:
-    """left id a, right id b and distance of 64-bit hashes (columns id, h) that differ in at most `most` bits (11 at most).
+def near_hashes(left: DataFrame, right: DataFrame, *by: str, most: int = PHASH_DISTANCE) -> DataFrame:
+    """`by`, ha, hb and distance of the different 64-bit hashes (column h) of two sides that differ in at most `most` bits (11 at most).
 
     Of four bands of 16 bits one differs in two bits at most. Either side brings each band as it is and with each one bit turned
     (17 keys), so bands two bits apart meet in the middle: the left side turns the lower bit, the right one the higher. A pair is
-    taken once, at its first near band. Equal hashes of a side are one row until the end.
+    taken once, at its first near band. With columns `by`, only hashes equal in these meet.
     """
     if most > 11:
         raise ValueError("four bands find eleven bits at most")
     band = lambda h, k: F.shiftrightunsigned(h, 16 * k).bitwiseAND(F.lit(0xFFFF))
     keys = [(k, i, band(F.col("h"), k) if i < 0 else band(F.col("h"), k).bitwiseXOR(F.lit(1 << i))) for k in range(4) for i in range(-1, 16)]
     key = F.explode(F.array(*[F.struct(F.lit(k).alias("band"), F.lit(i).alias("turned"), bits.alias("bits")) for k, i, bits in keys]))
-    spread = lambda df, h, turned: df.select("h").distinct().select(F.col("h").alias(h), key.alias("k")).select(h, F.col("k.band"), F.col("k.bits"), F.col("k.turned").alias(turned))
+    spread = lambda df, h, turned: df.select(*by, "h").distinct().select(*by, F.col("h").alias(h), key.alias("k")).select(*by, h, F.col("k.band"), F.col("k.bits"), F.col("k.turned").alias(turned))
     once = (F.col("tb") == -1) | ((F.col("ta") >= 0) & (F.col("ta") < F.col("tb")))
-    p = spread(left, "ha", "ta").join(spread(right, "hb", "tb"), ["band", "bits"]).where(once)
+    p = spread(left, "ha", "ta").join(spread(right, "hb", "tb"), [*by, "band", "bits"]).where(once)
     distance = F.bit_count(F.col("ha").bitwiseXOR(F.col("hb")))
     first = F.lit(None).cast("int")
     for k in reversed(range(4)):
         first = F.when(F.bit_count(band(F.col("ha"), k).bitwiseXOR(band(F.col("hb"), k))) <= 2, F.lit(k)).otherwise(first)
-    p = p.where((distance <= most) & (F.col("band") == first)).select("ha", "hb", distance.alias("distance"))
+    return p.where((distance <= most) & (F.col("band") == first)).select(*by, "ha", "hb", distance.alias("distance"))
+
+
+def phash_pairs(left: DataFrame, right: DataFrame, most: int = PHASH_DISTANCE) -> DataFrame:
+    """left id a, right id b and distance of hashes (columns id, h) that differ in at most `most` bits. Equal hashes of a side are one row until the end."""
+    p = near_hashes(left, right, most=most)
     p = p.join(left.select(F.col("id").alias("a"), F.col("h").alias("ha")), "ha").join(right.select(F.col("id").alias("b"), F.col("h").alias("hb")), "hb")
     return p.select("a", "b", "distance")
 
 
-def prefilter(pairs: DataFrame) -> DataFrame:
-    """file_id, doc, score, rank, kept. pairs: file_id, doc, hash_hits, phash_hits, token_share, page_gap, pages.
+def prefilter(pairs: DataFrame, *more: str) -> DataFrame:
+    """file_id, doc, `more`, score, rank, kept. pairs: file_id, doc, hash_hits, phash_hits, token_share, page_gap, pages.
 
     A document is kept for any strong signal or as one of the best three, unless all its signals are cold. Files
     with few documents keep them all.
@@ -70,7 +75,7 @@ def prefilter(pairs: DataFrame) -> DataFrame:
     top = F.col("rank") <= TOP_DOCS
     strong = (F.col("hash_hits") > 0) | (F.col("phash_hits") >= 1) | (F.col("token_share") >= 0.2) | top
     cold = (F.col("hash_hits") == 0) & (F.col("phash_hits") <= 0) & (F.col("token_share") <= 0.05) & ~top
-    return p.select("file_id", "doc", "score", "rank", ((F.col("docs") <= FEW_DOCS) | (strong & ~cold)).alias("kept"))
+    return p.select("file_id", "doc", *more, "score", "rank", ((F.col("docs") <= FEW_DOCS) | (strong & ~cold)).alias("kept"))
 
 
 def cargo_control_page(text: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from docroute.operators import prefilter as P
 from docroute.operators import routing as R
 from docroute.sources.fixtures import FILE_PAGES_SQL, file_pages, table
 
@@ -50,6 +51,21 @@ def archive_prefilter(spark, sf_dir):
     return R.prefilter(p)
 
 
+#: Lines as pages with sparse hashes and numbers; two customers are one key.
+_SIGNS = """SELECT o_custkey - o_custkey % 2 AS awb, o_orderkey AS file_id, l_linenumber AS page_no, l_linenumber = 6 AS exempt, CASE WHEN l_partkey % 19 > 0 THEN l_partkey % 389 END AS page_hash,
+  CASE WHEN l_suppkey % 13 > 0 THEN (l_suppkey * 31 + l_partkey * 7) % 32749 * 281479271743489 END AS phash,
+  concat('n ', cast(100000 + l_partkey % 97 as string), CASE WHEN l_linenumber % 2 = 0 THEN ' no 12345' ELSE '' END, ' of ', cast(2000000 + l_suppkey % 53 as string)) AS text
+FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_extendedprice) AS once FROM {lines}) l JOIN {orders} o ON o_orderkey = l_orderkey WHERE once = 1"""
+
+
+def prefilter_signals(spark, sf_dir):
+    """The documents that each file is compared with, by hashes, near hashes, frequent numbers and page counts."""
+    for name in ("lineitem", "orders"):
+        table(spark, sf_dir, name).createOrReplaceTempView(f"{name}_of_signs")
+    p = spark.sql(_SIGNS.format(lines="lineitem_of_signs", orders="orders_of_signs"))
+    return P.kept_documents(p.where("file_id % 2 = 0"), p.where("file_id % 2 = 1").withColumnsRenamed({"file_id": "doc", "page_no": "doc_page"}))
+
+
 def phash_near(spark, sf_dir):
     """Pairs of hashes at distance 10 or less: sign bits of embeddings, every third one once more with 0 to 13 of its bits turned."""
     bits = F.aggregate(F.sequence(F.lit(1), F.lit(64)), F.lit(0).cast("long"), lambda h, i: F.shiftleft(h, 1).bitwiseOR((F.element_at("embedding", i) > 0).cast("long")))
@@ -85,7 +101,7 @@ arc AS (SELECT file_id // 40 AS awb, file_id AS doc, page_no AS doc_page, page_h
 m AS (SELECT file_id, page_no, doc, doc_page FROM (SELECT inc.file_id, inc.page_no, doc, doc_page, row_number() OVER (PARTITION BY inc.file_id, inc.page_no ORDER BY doc, doc_page) AS n FROM inc JOIN arc USING (awb, page_hash)) WHERE n = 1)"""
 _CONF = "CASE WHEN h >= 1 THEN 'HIGH' WHEN p >= 2 AND t + o >= 1 THEN 'HIGH' WHEN p >= 3 THEN 'MEDIUM' WHEN t + o >= 3 AND p >= 1 THEN 'MEDIUM' ELSE 'LOW' END"
 _ROUTE = "CASE WHEN dup = 0 THEN 'CLEAN' WHEN dup = total AND confidence = 'LOW' THEN 'CLEAN-UNCHECKED' WHEN dup = total THEN 'REJECTED' WHEN dup > 5 AND dup >= 0.7 * total AND confidence <> 'LOW' THEN 'REJECTED' ELSE 'PARTIAL-CLEAN' END"
-QUERIES = {f.__name__: f for f in (numeric_top_tokens, page_fingerprints, exact_page_matches, page_routes, archive_prefilter, phash_near, routing_cases, method_summary)}
+QUERIES = {f.__name__: f for f in (numeric_top_tokens, page_fingerprints, exact_page_matches, page_routes, archive_prefilter, prefilter_signals, phash_near, routing_cases, method_summary)}
 ORACLES = {
     "numeric_top_tokens": r"""WITH x AS (SELECT source, doc_id, regexp_extract_all(text, '\b[0-9]{6,16}\b') AS ts FROM documents),
  y AS (SELECT source, doc_id, unnest(ts) AS token, unnest(range(len(ts))) AS pos FROM x),
@@ -104,6 +120,19 @@ ORACLES = {
  s AS (SELECT file_id, doc, coalesce(hits, 0) AS hits, round(2.5::DOUBLE * coalesce(hits, 0) + 0.5::DOUBLE * (1 - least(1.0::DOUBLE, abs(pages - doc_pages) / greatest(pages, 1)::DOUBLE)), 9) AS score FROM i JOIN a USING (awb) LEFT JOIN h USING (file_id, doc)),
  r AS (SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY score DESC, doc) AS rank, count(*) OVER (PARTITION BY file_id) AS n FROM s)
  SELECT file_id, doc, score, rank, n <= 3 OR hits > 0 OR rank <= 3 AS kept FROM r""",
+    "prefilter_signals": f"""WITH p AS MATERIALIZED ({_SIGNS.format(lines='lineitem', orders='orders')}), inc AS (SELECT * FROM p WHERE file_id % 2 = 0), arc AS (SELECT awb, file_id AS doc, page_no AS doc_page, page_hash, phash, text FROM p WHERE file_id % 2 = 1),
+ f AS (SELECT awb, file_id, count(*) AS pages FROM inc GROUP BY ALL), d AS (SELECT awb, doc, count(*) AS doc_pages FROM arc GROUP BY ALL),
+ h AS (SELECT file_id, doc, count(DISTINCT page_hash) AS hash_hits FROM inc JOIN arc USING (awb, page_hash) WHERE NOT exempt GROUP BY ALL),
+ n AS (SELECT file_id, doc, count(DISTINCT page_no) AS phash_hits FROM inc JOIN arc USING (awb) WHERE NOT exempt AND bit_count(xor(inc.phash, arc.phash)) <= {R.PHASH_DISTANCE} GROUP BY ALL),
+ w AS (SELECT file_id AS id, file_id % 2 AS side, page_no, regexp_extract_all(text, '\\b[0-9]{{6,16}}\\b') AS ts FROM p WHERE file_id % 2 = 1 OR NOT exempt),
+ x AS (SELECT id, side, page_no, unnest(ts) AS token, unnest(range(len(ts))) AS pos FROM w), y AS (SELECT id, side, token, count(*) AS n, min((page_no, pos)) AS first FROM x GROUP BY ALL),
+ z AS (SELECT id, side, token FROM (SELECT *, row_number() OVER (PARTITION BY id, side ORDER BY n DESC, first) AS r FROM y) WHERE r <= {R.TOP_TOKENS}), c AS (SELECT id AS file_id, count(*) AS tokens FROM z WHERE side = 0 GROUP BY id),
+ t AS (SELECT f.file_id, d.doc, count(*) AS token_hits FROM f JOIN d USING (awb) JOIN z a ON a.id = f.file_id AND a.side = 0 JOIN z b ON b.id = d.doc AND b.side = 1 AND a.token = b.token GROUP BY ALL),
+ s AS (SELECT file_id, doc, pages, doc_pages, tokens, coalesce(hash_hits, 0) AS hash_hits, coalesce(phash_hits, 0) AS phash_hits, coalesce(token_hits, 0) AS token_hits, count(*) OVER (PARTITION BY file_id) AS docs
+  FROM f JOIN d USING (awb) LEFT JOIN h USING (file_id, doc) LEFT JOIN n USING (file_id, doc) LEFT JOIN t USING (file_id, doc) LEFT JOIN c USING (file_id)),
+ v AS (SELECT *, token_hits / greatest(coalesce(tokens, 0), 1)::DOUBLE AS share, round(2.5::DOUBLE * hash_hits + 1.5::DOUBLE * phash_hits + 2.0::DOUBLE * (token_hits / greatest(coalesce(tokens, 0), 1)::DOUBLE) + 0.5::DOUBLE * (1 - least(1.0::DOUBLE, abs(pages - doc_pages) / greatest(pages, 1)::DOUBLE)), 9) AS score FROM s),
+ r AS (SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY score DESC, doc) <= {R.TOP_DOCS} AS top FROM v)
+ SELECT file_id, doc, hash_hits, phash_hits, token_hits, score, top FROM r WHERE docs <= {R.FEW_DOCS} OR top OR hash_hits > 0 OR phash_hits >= 1 OR share >= 0.2""",
     "phash_near": """WITH s AS (SELECT vec_id, list_transform(embedding[1:64], lambda x: CASE WHEN x > 0 THEN '1' ELSE '0' END) AS l FROM embeddings),
  e AS (SELECT vec_id, array_to_string(l, '') AS h FROM s UNION ALL SELECT -vec_id - 1, array_to_string(list_transform(l, lambda x, i: CASE WHEN (64 - i - 1) % 5 = 0 AND (64 - i - 1) >= 0 AND (64 - i - 1) // 5 < (vec_id // 3) % 14 THEN CASE x WHEN '1' THEN '0' ELSE '1' END ELSE x END), '') FROM s WHERE vec_id % 3 = 0)
  SELECT a.vec_id AS a, b.vec_id AS b, hamming(a.h, b.h) AS distance FROM e a JOIN e b ON a.vec_id < b.vec_id WHERE hamming(a.h, b.h) <= 10""",
