@@ -46,12 +46,17 @@ def dashboard(hot: DataFrame, checks: DataFrame, batches: DataFrame, day: Column
 
 
 def append_rows(rows: DataFrame, path: str, key: str | None = None) -> None:
-    """Append rows to a Parquet log whose columns may grow: new columns are added, missing ones are null; by `key`, rows that stand there are not written again."""
+    """Append rows to a Parquet log whose columns may grow: new columns are added, missing ones are null; by `key`, a row is written once.
+
+    Of rows with one key in an append any one is written, and rows that stand in the log are left out. One append at a time: two at once do not see each other.
+    """
     spark = rows.sparkSession
     jvm = spark._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
     if key and at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
         rows = rows.join(read_log(spark, path).select(key), key, "left_anti")
+    if key:
+        rows = rows.dropDuplicates([key])
     rows.write.mode("append").parquet(path)
 
 
