@@ -14,8 +14,18 @@ from docroute.llm.common import Scratch, row_once, text_hash
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def shuffled(spark: SparkSession) -> None:
+    """Joins of tables that grow with the input are shuffled at every size; small ones are broadcast where the code asks for it.
+
+    Each table that Spark broadcasts by itself is built on the driver in a thread of its own, and the hundreds of joins of all stages
+    leave the driver with the memory of over a hundred of them.
+    """
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier selects. It learns from the labels of the documents that arrive here."""
+    shuffled(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality_classifier.train(docs, labels)
     return quality_classifier.score(docs.select(*COLUMNS), model, COLUMNS).where("selected").select(*COLUMNS)

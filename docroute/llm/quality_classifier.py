@@ -98,12 +98,24 @@ def train(documents: DataFrame, labels: DataFrame, grade: Column | None = None,
             got = [features(t, memo) for t in b.column("text").to_pylist()]
             yield pa.record_batch({"label": b.column("label"), "ids": pa.array([x.tobytes() for x, _ in got], pa.binary()), "v": pa.array([v.tobytes() for _, v in got], pa.binary())})
 
-    got = picked.mapInArrow(run, "label int, ids binary, v binary").collect()
+    def learn(batches):
+        rows = [r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("label", "ids", "v")), strict=True)]
+        if not rows:
+            return
+        label, ids, v = zip(*rows, strict=True)
+        y = np.array(label)
+        weight = np.array([counts[int(g)] / max((y == g).sum(), 1) for g in y], float)
+        w, cut = fit(Rows.of(ids, v).seen_by(LEAST_ROWS), y, weight, grades)
+        at = np.flatnonzero(w)
+        yield pa.record_batch({"at": [at.tobytes()], "w": [w[at].tobytes()], "cut": [cut.tobytes()]})
+
+    # The sample is bounded, so one task can fit on it, in one order at every run; only the weights reach the driver.
+    got = picked.mapInArrow(run, "label int, ids binary, v binary").repartition(1).sortWithinPartitions("label", "ids", "v").mapInArrow(learn, "at binary, w binary, cut binary").collect()
     if not got:
         return None
-    y = np.array([r["label"] for r in got])
-    weight = np.array([counts[int(v)] / max((y == v).sum(), 1) for v in y], float)
-    return fit(Rows.of([r["ids"] for r in got], [r["v"] for r in got]).seen_by(LEAST_ROWS), y, weight, grades)
+    w = np.zeros(DIM)
+    w[np.frombuffer(got[0]["at"], np.int64)] = np.frombuffer(got[0]["w"])
+    return w, np.frombuffer(got[0]["cut"])
 
 
 def score(documents: DataFrame, model: tuple[np.ndarray, np.ndarray] | None, keep: list[str]) -> DataFrame:

@@ -1,6 +1,7 @@
 """Each operator against a plain version of itself, and on awkward rows."""
 
 import hashlib
+import os
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -210,6 +211,21 @@ def test_quality_classifier(spark, edge, empty):
     assert all(r["selected"] == bool(words(r["text"])) for r in quality_classifier.score(edge.select("text"), None, ["text"]).collect())
 
 
+def test_quality_classifier_is_fitted_in_a_task(spark, monkeypatch):
+    """The driver gets the weights, not the sample, and they are the same however the documents are dealt out."""
+    docs, labels, _ = labelled(spark, np.random.default_rng(3))
+    driver, real = os.getpid(), quality_classifier.fit
+
+    def elsewhere(*a):
+        assert os.getpid() != driver
+        return real(*a)
+
+    monkeypatch.setattr(quality_classifier, "fit", elsewhere)
+    (w, cut), (w_, cut_) = (quality_classifier.train(docs.repartition(n), labels) for n in (1, 5))
+    assert (w == w_).all() and (cut == cut_).all() and np.count_nonzero(w)
+    assert quality_classifier.train(docs, labels.limit(0)) is None
+
+
 def _rows(x):
     from docroute.llm.textmodel import Rows
 

@@ -43,3 +43,11 @@ def test_stages(spark, sf_dir):
         pieces[d] += k == 0
     assert dict(pieces) == dict(taken)
     assert packed.groupby("sequence_id")["length"].sum().max() <= 1024
+
+
+def test_joins_are_shuffled(spark, sf_dir):
+    """A small table of the kind that grows is not broadcast by Spark itself, as each of these takes a thread of the driver."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    P.STAGES[0][1](spark, docs, sf_dir)
+    plan = docs.join(docs.limit(3).select("doc_id"), "doc_id")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
