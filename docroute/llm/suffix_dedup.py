@@ -38,6 +38,8 @@ SHORT = 250
 AT_ONCE = 1 << 22
 #: Classes of an anchor that one task compares.
 CROWD = 2000
+#: One window in so many of a crowded anchor's stretch is looked up first.
+PROBE = 8
 _BASE = 0x9E3779B97F4A7C15
 _LETTERS = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
 
@@ -219,8 +221,12 @@ def _compare(lengths: tuple[int, ...], mode: str):
     return run
 
 
-def _crowded(stretches: DataFrame, lengths: tuple[int, ...], mode: str) -> DataFrame:
-    """The same for anchors of very many classes: a row for each window, grouped by Spark."""
+def _crowded(work: Scratch, stretches: DataFrame, lengths: tuple[int, ...], mode: str) -> DataFrame:
+    """The same for anchors of very many classes: windows grouped by Spark.
+
+    Two windows of a stretch overlap, as all hold its anchor, so all bytes between two that repeat go. Every PROBE-th window and the last
+    one of a stretch are looked up first; what lies between those that repeat needs no look-up of its own. All others get one.
+    """
 
     def run(batches):
         powers = Powers()
@@ -233,16 +239,32 @@ def _crowded(stretches: DataFrame, lengths: tuple[int, ...], mode: str) -> DataF
                 many = np.minimum(last - first + 1, size - n + 1).clip(0)
                 owner = np.repeat(np.arange(len(texts)), many)
                 place = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
-                h, row = powers.hashes(sums, (np.cumsum(size) - size)[owner] + place, n), pa.array(owner)
-                columns = [b.column("anchor").take(row), pa.array(h.view(np.int64)), pa.array(np.full(len(h), n, np.int32)), b.column("doc_id").take(row), b.column("th").take(row), pa.array(first[owner] + place)]
-                yield pa.record_batch(columns, ["anchor", "h", "length", "doc_id", "th", "start"])
-
-    rows = stretches.select("anchor", "doc_id", "th", "first", "last", "text").mapInArrow(run, "anchor long, h long, length int, doc_id long, th long, start long")
-    seen = rows.groupBy("anchor", "h", "length").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "th", "start")).alias("least")).where("n > 1")
-    out = rows.join(seen, ["anchor", "h", "length"])
-    if mode == "later":
-        out = out.where(F.struct("doc_id", "th", "start") > F.col("least"))
-    return out.select("doc_id", "th", "start", (F.col("start") + F.col("length")).alias("stop"), "length")
+                h, full = powers.hashes(sums, (np.cumsum(size) - size)[owner] + place, n), np.flatnonzero(many)
+                lists = pa.ListArray.from_arrays(np.append(0, np.cumsum(many[full])).astype(np.int32), pa.array(h.view(np.int64)))
+                row = pa.array(full)
+                columns = [*(b.column(c).take(row) for c in ("anchor", "doc_id", "th", "first")), pa.array(np.full(len(full), n, np.int32)), lists]
+                yield pa.record_batch(columns, ["anchor", "doc_id", "th", "first", "length", "windows"])
+
+    rows = stretches.select("anchor", "doc_id", "th", "first", "last", "text").mapInArrow(run, "anchor long, doc_id long, th long, first long, length int, windows array<bigint>")
+    rows = work.table(rows, "windows")
+    i, own = F.col("i"), ["doc_id", "th", "first", "length"]
+    place = F.struct("doc_id", "th", (F.col("first") + i).alias("start"))
+    single = lambda rows: rows.select("anchor", *own, *rows.columns[6:], F.size("windows").alias("size"), F.posexplode("windows").alias("i", "h"))
+    seen = single(rows).groupBy("anchor", "h", "length").agg(F.count("*").alias("n"), F.min(place).alias("least")).where("n > 1")
+    seen = work.table(seen.select("anchor", "h", "length", "least"), "seen")
+
+    def again(rows: DataFrame) -> DataFrame:
+        out = rows.join(seen, ["anchor", "h", "length"])
+        return out.where(place > F.col("least")) if mode == "later" else out
+
+    probe = (i % PROBE == 0) | (i == F.col("size") - 1)
+    met = work.table(again(single(rows).where(probe)).groupBy(*own).agg(F.min("i").alias("low"), F.max("i").alias("high")), "met")
+    ends = met.select(F.col("doc_id").alias("doc_"), F.col("th").alias("th_"), F.col("first").alias("first_"), F.col("length").alias("length_"), "low", "high")
+    same = (F.col("th") == F.col("th_")) & F.col("doc_id").eqNullSafe(F.col("doc_")) & (F.col("first") == F.col("first_")) & (F.col("length") == F.col("length_"))
+    known = rows.join(ends, same, "left").select(*rows.columns, "low", "high")
+    rest = again(single(known).where(~probe & (F.col("low").isNull() | (i < F.col("low")) | (i > F.col("high")))))
+    found = met.select(*own, "low", "high").union(rest.select(*own, "i", "i"))
+    return found.select("doc_id", "th", (F.col("first") + F.col("low")).alias("start"), (F.col("first") + F.col("high") + F.col("length")).alias("stop"), "length")
 
 
 def repeats(work: Scratch, documents: DataFrame, length: int = LENGTH, kmer: int = KMER, mode: str = "all", short: int | None = None) -> DataFrame:
@@ -274,7 +296,7 @@ def repeats(work: Scratch, documents: DataFrame, length: int = LENGTH, kmer: int
     few = stretches.where(F.col("classes") <= CROWD).repartition("anchor").sortWithinPartitions("anchor", "doc_id", "th", "first")
     part = few.mapInArrow(_compare(lengths, mode), RANGE)
     if several.where(F.col("classes") > CROWD).limit(1).count():
-        part = part.union(_crowded(stretches.where(F.col("classes") > CROWD), lengths, mode))
+        part = part.union(_crowded(work, stretches.where(F.col("classes") > CROWD), lengths, mode))
     out = work.table(whole.union(part), "repeats")
     work.drop(left, kinds, several, places)
     return out

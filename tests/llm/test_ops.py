@@ -766,6 +766,20 @@ def test_crowded_anchors(spark, monkeypatch):
         assert [got.get(k, texts[k].encode()) for k in range(len(texts))] == want
 
 
+def test_crowded_windows_look_up_their_ends(spark, monkeypatch):
+    """A range for each stretch and the windows before its first probe or after its last, not one for each window."""
+    monkeypatch.setattr(suffix_dedup, "CROWD", 3)
+    rnd = np.random.default_rng(11)
+    piece = lambda n: bytes(rnd.integers(97, 123, n, dtype=np.uint8)).decode()
+    shared = piece(160)
+    texts = [piece(20) + shared + piece(20) for _ in range(30)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for mode, many in (("all", 30), ("later", 29)):
+        ranges = suffix_dedup.repeats(Scratch(spark, "t"), df, 40, 12, mode).collect()
+        assert {(r["doc_id"], b) for r in ranges for b in range(r["start"], r["stop"])} >= {(d, b) for d in range(30 - many, 30) for b in range(20, 180)}
+        assert len(ranges) < many * (160 - 40 + 1) / 3
+
+
 def test_two_lengths_from_one_order(spark, monkeypatch):
     rnd = np.random.default_rng(12)
     piece = lambda n: bytes(rnd.integers(97, 99, n, dtype=np.uint8)).decode()
