@@ -60,8 +60,9 @@ FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER B
 
 def prefilter_signals(spark, sf_dir):
     """The documents that each file is compared with, by hashes, near hashes, frequent numbers and page counts."""
-    for name in ("lineitem", "orders"):
-        table(spark, sf_dir, name).createOrReplaceTempView(f"{name}_of_signs")
+    # Lines are dealt by order once: their window, the join and a file's signs all keep to it.
+    table(spark, sf_dir, "lineitem").repartition("l_orderkey").createOrReplaceTempView("lineitem_of_signs")
+    table(spark, sf_dir, "orders").createOrReplaceTempView("orders_of_signs")
     p = spark.sql(_SIGNS.format(lines="lineitem_of_signs", orders="orders_of_signs"))
     return P.kept_documents(p.where("file_id % 2 = 0"), p.where("file_id % 2 = 1").withColumnsRenamed({"file_id": "doc", "page_no": "doc_page"}))
 

@@ -67,6 +67,31 @@ def test_prefilter_against_plain(spark):
     assert {x[0] for x in want if x[1] < 2} == {f for _, f in few}
 
 
+def _some_pages(seed):
+    r = random.Random(seed)
+    near = [r.getrandbits(63) for _ in range(20)]
+    text = lambda: r.choice([None, " ".join(r.choice(["x", "012345", str(100000 + r.randrange(40))]) for _ in range(r.randrange(9)))])
+    signs = lambda: (r.choice([None, f"h{r.randrange(50)}"]), r.choice([None, r.choice(near) ^ sum(1 << b for b in r.sample(range(63), r.choice([0, 10, 11])))]), text())
+    key = lambda i: f"k{i % 4 * (i % 3 > 0)}"  # half of them have k0
+    inc = [(key(f), f, p, r.random() < 0.2, *signs()) for f in range(30) for p in range(r.choice([1, 2, 5]))]
+    return inc, [(key(d), d, p, *signs()) for d in range(40) for p in range(r.choice([1, 3, 12]))]
+
+
+def test_prefilter_of_small_keys_spreads_no_hashes(spark, monkeypatch):
+    """Sixty-eight rows for each perceptual hash took the disk; pages of a key with few of them meet directly."""
+    inc, arc = _some_pages(7)
+    monkeypatch.setattr(P, "near_hashes", None)
+    got = P.kept_documents(spark.createDataFrame(inc, _INC), spark.createDataFrame(arc, _ARC)).collect()
+    assert len(got) == len(_plain(inc, arc)) and {tuple(x) for x in got} == _plain(inc, arc)
+
+
+def test_prefilter_of_crowded_keys(spark):
+    inc, arc = _some_pages(8)
+    for crowded in (0, 20):  # all keys, and k0 alone
+        got = P.kept_documents(spark.createDataFrame(inc, _INC), spark.createDataFrame(arc, _ARC), crowded=crowded).collect()
+        assert len(got) == len(_plain(inc, arc)) and {tuple(x) for x in got} == _plain(inc, arc)
+
+
 def test_prefilter_empty(spark):
     inc, arc = spark.createDataFrame([], _INC), spark.createDataFrame([], _ARC)
     one = spark.createDataFrame([("k", 1, 1, None, None, None, None)], _INC)
