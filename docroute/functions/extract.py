@@ -31,6 +31,23 @@ def _every(text: Text, pattern: str, group: int = 1) -> Column:
     return F.regexp_extract_all(_col(text), F.lit(pattern), F.lit(group))
 
 
+def _if(gate: Column, values: Column) -> Column:
+    """An array where the gate, a cheap test that whatever has values passes, lets it be looked for."""
+    return F.when(gate, values).otherwise(F.array().cast("array<string>"))
+
+
+def _letters(text: Text, some: str) -> Column:
+    """Whether a text has all of these letters, in either case."""
+    upper, all_of = F.upper(_col(text)), F.lit(True)
+    for c in some:
+        all_of = all_of & upper.contains(c)
+    return all_of
+
+
+def _holds(text: Text, part: str) -> Column:
+    return F.upper(_col(text)).contains(part)
+
+
 def digits(text: Text) -> Column:
     return F.regexp_replace(_col(text), r"\D", "")
 
@@ -93,7 +110,11 @@ def is_batch_name(name: Text) -> Column:
 def aci_candidates(text: Text) -> Column:
     near = _every(text, r"(?i)(?<!\w)(?:A\s*[CGE6]\s*[I1L])\b[\D]{0,15}(\d(?:[\s\-]?\d){11})(?!\d)")
     labelled = _every(text, rf"(?i)(?<!\w)(?:A\s*[CGE6]\s*[I1L])\s*{NUMBER_WORD}\s*[:\-]?\s*{STRICT}")
-    return _some(F.transform(F.concat(near, labelled), norm_digits))
+    return _some(F.transform(_if(_aci(text), F.concat(near, labelled)), norm_digits))
+
+
+def _aci(text: Text) -> Column:
+    return _col(text).rlike(r"(?i)A\s*[CGE6]\s*[I1L]")
 
 
 def line_blocks(text: Text, marked, before: int, after: int) -> Column:
@@ -101,13 +122,17 @@ def line_blocks(text: Text, marked, before: int, after: int) -> Column:
 
     Each line stands beside its neighbours (the same array, moved), so what is done for a line reads these few lines only.
     """
-    lines = F.split(_col(text), r"\r\n|\n|\r")
     none = F.lit(None).cast("string")
-    moved = [F.concat(F.array_repeat(none, k), lines) for k in range(before, 0, -1)] + [F.slice(lines, k + 1, F.size(lines)) for k in range(after + 1)]
-    # Rows past the last line have no line of their own, which `marked` does not hold for.
-    rows = F.arrays_zip(*[x.alias(f"l{i}") for i, x in enumerate(moved)])
-    kept = F.filter(rows, lambda r: F.coalesce(marked(r[f"l{before}"]), F.lit(False)))
-    return F.transform(kept, lambda r: F.array_join(F.array(*[r[f"l{i}"] for i in range(len(moved))]), " "))
+
+    def blocks(lines: Column) -> Column:
+        moved = [F.concat(F.array_repeat(none, k), lines) for k in range(before, 0, -1)] + [F.slice(lines, k + 1, F.size(lines)) for k in range(after + 1)]
+        # Rows past the last line have no line of their own, which `marked` does not hold for.
+        rows = F.arrays_zip(*[x.alias(f"l{i}") for i, x in enumerate(moved)])
+        kept = F.filter(rows, lambda r: F.coalesce(marked(r[f"l{before}"]), F.lit(False)))
+        return F.transform(kept, lambda r: F.array_join(F.array(*[r[f"l{i}"] for i in range(len(moved))]), " "))
+
+    # As the one element of an array, the lines are split once for all their uses.
+    return F.flatten(F.transform(F.array(F.split(_col(text), r"\r\n|\n|\r")), blocks))
 
 
 def _in_blocks(text: Text, marked, before: int = 1, after: int = 2) -> Column:
@@ -116,7 +141,8 @@ def _in_blocks(text: Text, marked, before: int = 1, after: int = 2) -> Column:
 
 def carrier_candidates(text: Text) -> Column:
     near = F.transform(_every(text, rf"(?i)(?:FED[\s\-]*EX|FEDEX)[\D]{{0,30}}{STRICT}"), norm_digits)
-    return _some(F.concat(near, _in_blocks(text, lambda x: F.regexp_replace(F.upper(x), r"\s+", "").contains("FEDEX") | F.upper(x).contains("FED-EX"))))
+    lines = _in_blocks(text, lambda x: F.regexp_replace(F.upper(x), r"\s+", "").contains("FEDEX") | F.upper(x).contains("FED-EX"))
+    return _some(_if(_letters(text, "XFD"), F.concat(near, lines)))
 
 
 def airway_candidates(text: Text) -> Column:
@@ -126,25 +152,25 @@ def airway_candidates(text: Text) -> Column:
         bare = F.regexp_replace(F.upper(x), r"[^A-Z0-9]+", "")
         return (bare.contains("AIRWAY") & bare.contains("BILL")) | bare.contains("AWAYBILL")
 
-    return _some(F.concat(near, _in_blocks(text, marked)))
+    return _some(_if(_letters(text, "YWB"), F.concat(near, _in_blocks(text, marked))))
 
 
 def label_candidates(text: Text) -> Column:
     """Numbers behind a label; these are of the high tier."""
     found = F.concat(
-        _every(text, r"(?i)(?<!\w)(HAWB|MAWB|AWB(?:\s*(?:NO|NUMBER))?)\b[\D]{0,15}(\d[\d\-\s]{10,24})", 2),
-        _every(text, r"(?<!\d)400(?:[\s\-]{0,2})(\d(?:[\s\-]?\d){11})(?!\d)"),
-        _every(text, rf"(?i)(?<!\d)400\s*{NUMBER_WORD}\s*[:\-]?\s*{STRICT}"),
-        _every(text, r"(?i)(?<!\d)(?:A\s*[CGE6]\s*[I1L])(?:\D{0,15})(\d[\d\-\s]{10,24})(?!\d)"),
-        _every(text, r"(?i)(?<!\w)(?:TRACK(?:ING)?(?:\s*(?:NO|NUMBER|#))?|TRK(?:\s*(?:NO|NUMBER|#))?)\b[\D]{0,20}([A-Z0-9][A-Z0-9\-\s:/._]{10,30})"),
+        _if(_holds(text, "AWB"), _every(text, r"(?i)(?<!\w)(HAWB|MAWB|AWB(?:\s*(?:NO|NUMBER))?)\b[\D]{0,15}(\d[\d\-\s]{10,24})", 2)),
+        _if(_col(text).contains("400"), _every(text, r"(?<!\d)400(?:[\s\-]{0,2})(\d(?:[\s\-]?\d){11})(?!\d)")),
+        _if(_col(text).contains("400"), _every(text, rf"(?i)(?<!\d)400\s*{NUMBER_WORD}\s*[:\-]?\s*{STRICT}")),
+        _if(_aci(text), _every(text, r"(?i)(?<!\d)(?:A\s*[CGE6]\s*[I1L])(?:\D{0,15})(\d[\d\-\s]{10,24})(?!\d)")),
+        _if(_letters(text, "KTR"), _every(text, r"(?i)(?<!\w)(?:TRACK(?:ING)?(?:\s*(?:NO|NUMBER|#))?|TRK(?:\s*(?:NO|NUMBER|#))?)\b[\D]{0,20}([A-Z0-9][A-Z0-9\-\s:/._]{10,30})")),
     )
     return _some(F.concat(F.transform(found, norm_digits), airway_candidates(text)))
 
 
 def text_candidates(text: Text, aci: Column | None = None) -> Column:
     """Everything on a page that may be an identifier. aci: its aci_candidates, if they are at hand."""
-    loose = F.transform(_every(text, r"(?<!\d)400[\s\-:]{0,6}([0-9][0-9\-\s]{10,20})(?!\d)"), lambda x: F.when(F.trim(x).rlike(rf"^{STRICT}$"), digits(x)))
-    near_aci = F.transform(_every(text, r"(?i)(?<!\d)(?:A\s*[CGE6]\s*[I1L])[\D]{0,15}([0-9][0-9\-\s]{10,22})(?!\d)"), norm_digits)
+    loose = F.transform(_if(_col(text).contains("400"), _every(text, r"(?<!\d)400[\s\-:]{0,6}([0-9][0-9\-\s]{10,20})(?!\d)")), lambda x: F.when(F.trim(x).rlike(rf"^{STRICT}$"), digits(x)))
+    near_aci = F.transform(_if(_aci(text), _every(text, r"(?i)(?<!\d)(?:A\s*[CGE6]\s*[I1L])[\D]{0,15}([0-9][0-9\-\s]{10,22})(?!\d)")), norm_digits)
     return _some(F.concat(alnum_candidates(text), clean_candidates(text), loose, near_aci, aci_candidates(text) if aci is None else aci))
 
 
@@ -161,12 +187,21 @@ def windows_of_12(text: Text) -> Column:
     return F.array_distinct(F.flatten(F.filter(F.transform(F.concat(runs, spans), _windows), lambda x: x.isNotNull())))
 
 
+#: Context keywords without separators; one that holds another is found with it.
+_BARE_KEYWORDS = {"".join(c for c in k if c.isalnum()) for k in CONTEXT_KEYWORDS}
+_SHORTEST_KEYWORDS = sorted(k for k in _BARE_KEYWORDS if not any(x != k and x in k for x in _BARE_KEYWORDS))
+
+
 def has_keyword(text: Column) -> Column:
-    """Whether upper-case text holds a context keyword, as written or without separators."""
-    bare = F.regexp_replace(text, r"[^A-Z0-9]+", "")
-    alike = sorted({"".join(c for c in k if c.isalnum()) for k in CONTEXT_KEYWORDS})
-    quote = lambda words: "|".join(r"\Q" + w + r"\E" for w in words)
-    return text.rlike(quote(CONTEXT_KEYWORDS)) | bare.rlike(quote(alike))
+    """Whether upper-case text holds a context keyword, as written or without separators; a text that has it as written has it without them too."""
+    by_first = {c: "|".join(k[1:] for k in _SHORTEST_KEYWORDS if k[0] == c) for c in sorted({k[0] for k in _SHORTEST_KEYWORDS})}
+    any_of = "|".join(f"{c}(?:{rest})" for c, rest in by_first.items())
+    return F.regexp_replace(text, "[^A-Z0-9]+", "").rlike(any_of)
+
+
+def _marked_line(line: Column) -> Column:
+    """has_keyword of a line as it stands; a line shorter than every keyword is not looked at."""
+    return (F.length(line) >= min(map(len, _SHORTEST_KEYWORDS))) & has_keyword(F.upper(line))
 
 
 def keyword_adjacent(text: Text, candidates: Column) -> Column:
@@ -177,13 +212,12 @@ def keyword_adjacent(text: Text, candidates: Column) -> Column:
     """
     s = _col(text)
     upper = F.upper(s)
-    reach = rf"[\s\S]{{{CONTEXT_CHARS}}}"
-    # The look-behind takes the whole reach, or all from the text's start.
-    before = _every(upper, rf"{TWELVE}(?<=({reach}|\A[\s\S]{{0,{CONTEXT_CHARS}}})\d{{12}})", 2)
-    behind = _every(upper, rf"{TWELVE}(?=([\s\S]{{0,{CONTEXT_CHARS}}}))", 2)
+    # What stands before a number stands behind it in the text read backwards; looking back over a stretch of any length is slow.
+    surroundings = lambda x: _every(x, rf"{TWELVE}(?=([\s\S]{{0,{CONTEXT_CHARS}}}))", 2)
+    before, behind = F.transform(F.reverse(surroundings(F.reverse(upper))), F.reverse), surroundings(upper)
     spans = F.arrays_zip(_every(upper, TWELVE).alias("number"), before.alias("before"), behind.alias("behind"))
     close = F.transform(F.filter(spans, lambda x: has_keyword(F.concat(x["before"], x["number"], x["behind"]))), lambda x: x["number"])
-    around = F.flatten(F.transform(line_blocks(text, lambda x: has_keyword(F.upper(x)), 1, 1), lambda b: _every(b, TWELVE)))
+    around = F.flatten(F.transform(line_blocks(text, _marked_line, 1, 1), lambda b: _every(b, TWELVE)))
     none = F.array().cast("array<string>")
     # A text without any keyword has none in a part of it.
     return F.when(s.rlike(TWELVE) & has_keyword(upper), F.array_intersect(candidates, F.concat(around, close))).otherwise(none)
@@ -192,6 +226,6 @@ def keyword_adjacent(text: Text, candidates: Column) -> Column:
 def near_keyword_candidates(text: Text, before: int = 1, after: int = 3) -> Column:
     """Strict numbers in lines around a keyword's line, or within CONTEXT_CHARS of a keyword."""
     relaxed = r"(?i)AIR\w{0,6}WAY\w{0,6}BIL{1,2}|WAY\w{0,6}BIL{1,2}|TRACK\w{0,10}(NO|NUM|NUMBER)?|\bAWB\b|BIL{1,2}\w{0,8}(NO|NUM|NUMBER)"
-    marked = lambda x: has_keyword(F.upper(x)) | x.rlike(relaxed)
+    marked = lambda x: _marked_line(x) | x.rlike(relaxed)
     around = _in_blocks(text, marked, before, after)
     return F.array_distinct(F.concat(around, keyword_adjacent(text, clean_candidates(text))))

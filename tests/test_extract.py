@@ -72,3 +72,23 @@ def test_next_fit(spark):
 def test_cargo_page(spark):
     assert one(spark, routing.cargo_control_page(F.col("t")), t="Cargo control document 400-1234567890")
     assert not one(spark, routing.cargo_control_page(F.col("t")), t="Cargo control document")
+
+
+def test_reach_before_and_behind(spark):
+    """Forty characters on either side count, whatever they are; no pattern looks back over a stretch, which took most of keyword_reach's time."""
+    near = X.keyword_adjacent("text", X.clean_candidates("text"))
+    assert "(?<=" not in near._jc.toString()
+    n = "123456789012"
+    gaps = (0, 33, 34, 35, 60)  # behind three line ends, so only the reach counts, and the keyword takes three characters of it
+    texts = [(t, gap <= 34) for gap in gaps for fill in ("\U0001f600" * gap,) for t in (f"awb\n\n\n{fill}{n}", f"{n}{fill}\n\n\nawb")]
+    rows = spark.createDataFrame(texts, "text string, near boolean").withColumn("found", near).collect()
+    assert [bool(x.found) for x in rows] == [x.near for x in rows]
+
+
+def test_gates_turn_nothing_away(spark):
+    """Patterns are only tried where a cheap test lets them; spread letters and small ones must pass it."""
+    n = "123456789012"
+    texts = {"carrier": [f"F e d e\tx\n{n}", f"fed-ex {n}", f"fEdEx {n}"], "airway": [f"air-way bil {n}", f"a i r w a y b i l l\n{n}"], "aci": [f"a c 1 {n}", f"A6I no: {n}"], "label": [f"hawb {n}", f"trk# {n}", f"Track {n}", f"400 no {n}"]}
+    for name, some in texts.items():
+        got = spark.createDataFrame([(t,) for t in some], "text string").select(getattr(X, f"{name}_candidates")("text").alias("c")).collect()
+        assert [x.c for x in got] == [[n]] * len(some), name
