@@ -25,14 +25,18 @@ def tiered_candidates(texts: DataFrame, keys: DataFrame, *ids: str) -> DataFrame
     c = t.select(*ids, "labelled", "plain", "promoted", F.explode(F.array_distinct(F.concat("labelled", "plain", "windows"))).alias("candidate"))
     has = lambda a: F.array_contains(a, F.col("candidate"))
     c = c.select(*ids, "candidate", has("labelled").alias("labelled"), has("plain").alias("plain"), has("promoted").alias("promoted"))
-    c = c.where(~X.disqualified(F.col("candidate"))).join(keys.select(F.col("awb").alias("candidate"), F.lit(True).alias("known")).distinct(), "candidate", "left")
+    # Keys grow with the texts, and Spark takes a table of made strings for a small one.
+    c = c.where(~X.disqualified(F.col("candidate"))).join(keys.select(F.col("awb").alias("candidate"), F.lit(True).alias("known")).distinct().hint("merge"), "candidate", "left")
     c = c.withColumn("known", F.coalesce("known", F.lit(False))).where(F.col("labelled") | F.col("plain") | F.col("known"))
     c = c.withColumn("tier", F.when(F.col("labelled") | F.col("promoted"), "High").otherwise("Standard"))
     return c.where((F.col("tier") == "High") | ~X.date_like(F.col("candidate"))).select(*ids, "candidate", "tier", "known")
 
 
-def hamming(a: Column, b: Column) -> Column:
-    return F.aggregate(F.sequence(F.lit(1), F.least(F.length(a), F.length(b))), F.lit(0), lambda n, i: n + (F.substring(a, i, F.lit(1)) != F.substring(b, i, F.lit(1))).cast("int"))
+def _unequal_bytes(bits: Column) -> Column:
+    """How many of six bytes are not 0: the bits of a byte are gathered in its lowest one."""
+    for n in (4, 2, 1):
+        bits = bits.bitwiseOR(F.shiftright(bits, n))
+    return F.bit_count(bits.bitwiseAND(F.lit(0x010101010101)))
 
 
 #: Keys that may share six digits before two more tell them apart.
@@ -46,29 +50,36 @@ def close_keys(candidates: DataFrame, keys: DataFrame, most: int = HIGH_DISTANCE
     to all. Of four blocks of three digits, two errors leave two unhurt: pairs meet by six of the twelve digits, at the
     first two blocks that they share, in an equi-join of a million values and more. Where over `heavy` keys share these six digits,
     the other six are three parts of two, of which two errors leave one unhurt, and pairs meet by that part as well, the first that
-    they share. The ends that keys have are 20,000 at most.
+    they share. Pairs grow with keys and candidates, so they are two numbers a side, each six characters of one byte: what differs is told by
+    their bits, and texts are made of the few that are close. The ends that keys have are 20,000 at most.
     """
     if most > 2:
         raise ValueError("four blocks find two errors at most")
     two = [(i, j) for i in range(4) for j in range(i + 1, 4)]
     block = lambda c, i: F.substring(c, 3 * i + 1, 3)
     halves = lambda c: [F.concat(block(c, i), block(c, j)) for i, j in two]
-    cut = lambda df, c: df.select(c).distinct().select(c, F.posexplode(F.array(*halves(c))).alias("b", "block"))
+    half = lambda c, at: F.conv(F.hex(F.substring(c, at, 6)), 16, 10).cast("long")
+    cut = lambda df, c: df.select(c).distinct().select(F.posexplode(F.array(*halves(c))).alias("b", "block"), half(c, 1).alias(f"{c}_1"), half(c, 7).alias(f"{c}_2"))
+    text = lambda c: F.concat(*[F.unhex(F.lpad(F.hex(f"{c}_{k}"), 12, "0")).cast("string") for k in (1, 2)])
     left, right = cut(candidates, "candidate"), cut(keys, "awb")
+    numbers = [f"{c}_{k}" for c in ("candidate", "awb") for k in (1, 2)]
     crowded = right.groupBy("b", "block").agg(F.count("*").alias("members")).where(F.col("members") > heavy).select("b", "block")
-    rest = lambda c: F.element_at(F.array(*[F.concat(*[block(c, k) for k in range(4) if k not in p]) for p in two]), F.col("b") + 1)
+    rest = lambda c: F.element_at(F.array(*[F.concat(*[block(text(c), k) for k in range(4) if k not in p]) for p in two]), F.col("b") + 1)
     parts = lambda c: F.array(*[F.substring(rest(c), 2 * k + 1, 2) for k in range(3)])
-    spread = lambda df, c: df.join(crowded, ["b", "block"]).select("b", "block", c, F.posexplode(parts(c)).alias("part", "digits"))
+    spread = lambda df, c: df.join(crowded, ["b", "block"]).select("b", "block", f"{c}_1", f"{c}_2", F.posexplode(parts(c)).alias("part", "digits"))
     same = F.array_position(F.zip_with(parts("candidate"), parts("awb"), lambda x, y: x == y), F.lit(True)) - 1
-    dense = spread(left, "candidate").join(spread(right, "awb"), ["b", "block", "part", "digits"]).where(F.col("part") == same).select("b", "block", "candidate", "awb")
+    dense = spread(left, "candidate").join(spread(right, "awb").hint("merge"), ["b", "block", "part", "digits"]).where(F.col("part") == same).select("b", *numbers)
     if keys.limit(heavy + 1).count() <= heavy or crowded.isEmpty():  # no block is crowded: the plain join gives the same pairs
-        pairs = left.join(right, ["b", "block"])
+        pairs = left.join(right.hint("merge"), ["b", "block"])
     else:
-        pairs = left.join(right.join(crowded, ["b", "block"], "left_anti"), ["b", "block"]).select("b", "block", "candidate", "awb").union(dense)
+        pairs = left.join(right.join(crowded, ["b", "block"], "left_anti").hint("merge"), ["b", "block"]).select("b", *numbers).union(dense)
+    apart = [F.col(f"candidate_{k}").bitwiseXOR(F.col(f"awb_{k}")) for k in (1, 2)]
+    blocks = [x for a in apart for x in (F.shiftright(a, 24), a.bitwiseAND(F.lit(0xFFFFFF)))]  # 0: the same three characters
     first = F.lit(None).cast("int")
-    for k in reversed(range(len(two))):
-        first = F.when(halves("candidate")[k] == halves("awb")[k], F.lit(k)).otherwise(first)
-    pairs = pairs.where(F.col("b") == first).withColumn("distance", hamming(F.col("candidate"), F.col("awb"))).where(F.col("distance") <= most)
+    for k, (i, j) in reversed(list(enumerate(two))):
+        first = F.when((blocks[i] == 0) & (blocks[j] == 0), F.lit(k)).otherwise(first)
+    pairs = pairs.where(F.col("b") == first).withColumn("distance", _unequal_bytes(apart[0]) + _unequal_bytes(apart[1])).where(F.col("distance") <= most)
+    pairs = pairs.select(text("candidate").alias("candidate"), text("awb").alias("awb"), "distance")
     ends = lambda c: F.array(F.concat(F.lit("a"), F.substring(c, 1, 4)), F.concat(F.lit("z"), F.substring(c, 9, 4)))
     known = F.broadcast(keys.select(F.explode(ends("awb")).alias("end")).distinct())
     pooled = candidates.select("candidate").distinct().select("candidate", F.explode(ends("candidate")).alias("end")).join(known, "end", "left_semi").select("candidate").distinct()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from docroute.functions import extract as X
 from docroute.operators import resolve as R
 from docroute.sources.fixtures import REF_KEYS_SQL, STAGE_TEXTS_SQL, ref_keys, stage_texts
+from docroute.sources.scratch import keeper
 
 joined = lambda c: F.array_join(F.array_sort(c), ",")
 
@@ -48,7 +49,7 @@ def resolve_exact(spark, sf_dir):
 
 
 def resolve_full(spark, sf_dir):
-    c = _tiered(spark, sf_dir, "file_id").withColumn("hits", F.lit(1)).persist()
+    c = keeper(spark, "resolve")(_tiered(spark, sf_dir, "file_id").withColumn("hits", F.lit(1)), "candidates")
     return _shown(R.prioritize(c, ref_keys(spark, sf_dir), "file_id")).select("file_id", "status", "awb", "method", "distance", "ties")
 
 
