@@ -53,3 +53,16 @@ def test_tiers_focus_and_gates(spark, tmp_path):
     got = {(r["file_id"], r["page_no"]): (r["method"], r["doc"]) for r in D.check(inc, arc, files, keep).collect()}
     # Three pages by hash put document 7 into focus; the fourth is near to all of them by its perceptual hash. File 3's scan is near document 8.
     assert got == {(1, 1): ("HASH", 7), (1, 2): ("HASH", 7), (1, 3): ("HASH", 7), (1, 4): ("PHASH", 7), (2, 1): ("TEXT", 8), (3, 1): ("OCR", 8)}
+
+
+def test_repeated_texts_are_compared_once(monkeypatch):
+    import pandas as pd
+
+    from docroute.functions import similarity as S
+
+    done = []
+    monkeypatch.setattr(S, "similarity", lambda a, b: done.append((a, b)) or 50.0)
+    assert list(S.text_similarity.func(pd.Series(["a", "a", None, "a"]), pd.Series(["b", "b", "b", "c"]))) == [50.0] * 4
+    monkeypatch.setattr(D, "signature_of", lambda x: done.append(x) or (0, [], 0, [], []))
+    assert len(next(D.signature.func(iter([pd.Series(["t", None, "t"])])))) == 3
+    assert len(done) == 5
